@@ -1,0 +1,37 @@
+"""Repeatable pseudo-random draws.
+
+A draw is a function of (seed, row id, number of the draw) only. A lost task that runs again
+gives the same rows, and any other engine with ``md5`` gives them too.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+PER_DIGEST = 4
+
+
+def with_digests(df, row_id: str, seed: int, draws: int):
+    """Adds the digest columns from which ``draw`` cuts ``draws`` numbers of 32 bits each."""
+    digests = -(-draws // PER_DIGEST)
+    return df.withColumns(
+        {
+            f"_digest{i}": F.md5(F.concat_ws(":", F.lit(seed), F.lit(i), F.col(row_id).cast("string")))
+            for i in range(digests)
+        }
+    )
+
+
+def draw(n: int, bound: int) -> Column:
+    """The n-th draw of the row, 0 <= draw < bound."""
+    digest = F.col(f"_digest{n // PER_DIGEST}")
+    word = F.substring(digest, 1 + 8 * (n % PER_DIGEST), 8)
+    return F.conv(word, 16, 10).cast("bigint") % F.lit(bound)
+
+
+def one_of(n: int, values: Sequence[str]) -> Column:
+    """One value of a list."""
+    return F.element_at(F.array(*map(F.lit, values)), (draw(n, len(values)) + 1).cast("int"))
