@@ -1,7 +1,7 @@
 """Joins with keyed static tables.
 
-No join here asks for a broadcast. Spark broadcasts a side when its measured size is under
-``spark.sql.autoBroadcastJoinThreshold`` and shuffles both sides otherwise.
+A table is broadcast only after a look at its size. A bigger one is joined by shuffling, with the
+rows of each key spread over several tasks; Spark splits what is still uneven at run time.
 """
 
 from __future__ import annotations
@@ -12,14 +12,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SALT = "_salt"
+SALTS = 8
+SMALL_ROWS = 10_000
 
 
-def _salted(fact: DataFrame, spread: Sequence[str], salts: int) -> DataFrame:
-    return fact.withColumn(SALT, F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
+def is_small(dim: DataFrame, rows: int = SMALL_ROWS) -> bool:
+    """True for a static table of at most ``rows`` rows; reads no more than it takes to know."""
+    return len(dim.select(F.lit(1)).take(rows + 1)) <= rows
 
 
-def _repeated(dim: DataFrame, salts: int) -> DataFrame:
-    return dim.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+def join_static(
+    df: DataFrame,
+    side: DataFrame,
+    key: str,
+    how: str,
+    salts: int = SALTS,
+    spread: Sequence[str] | None = None,
+) -> DataFrame:
+    """Joins rows to a static table that holds each key once.
+
+    If the table is too big to broadcast, the rows of one key, and those without a key, are spread
+    over ``salts`` tasks by a hash of the ``spread`` columns, and the table is repeated as often.
+    """
+    if is_small(side):
+        return df.join(F.broadcast(side), key, how)
+    spread = spread or [c for c in df.columns if c != key]
+    if salts == 1 or not spread:
+        return df.join(side, key, how)
+    salted = df.withColumn(SALT, F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
+    copies = side.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(copies, [key, SALT], how).drop(SALT)
 
 
 def enrich(
@@ -28,24 +50,18 @@ def enrich(
     key: str,
     columns: Mapping[str, str | Column],
     how: str = "left_outer",
-    salts: int = 1,
+    salts: int = SALTS,
     spread: Sequence[str] | None = None,
 ) -> DataFrame:
     """Adds columns of the row of ``dim`` with the same key; ``dim`` holds a key once.
 
-    ``columns`` maps new names to columns of ``dim``. With ``salts`` above 1 the rows of one key,
-    and those without a key, are spread over that many tasks by a hash of the ``spread`` columns,
-    and ``dim`` is repeated as often: for tables that are too big to broadcast.
+    ``columns`` maps new names to columns of ``dim``.
     """
     side = dim.select(
         F.col(key),
         *[(F.col(c) if isinstance(c, str) else c).alias(name) for name, c in columns.items()],
     )
-    if salts == 1:
-        return df.join(side, key, how).select(*df.columns, *columns)
-    spread = spread or [c for c in df.columns if c != key]
-    joined = _salted(df, spread, salts).join(_repeated(side, salts), [key, SALT], how)
-    return joined.select(*df.columns, *columns)
+    return join_static(df, side, key, how, salts, spread).select(*df.columns, *columns)
 
 
 def mark_known(
@@ -53,7 +69,7 @@ def mark_known(
     dim: DataFrame,
     key: str,
     name: str,
-    salts: int = 1,
+    salts: int = SALTS,
     spread: Sequence[str] | None = None,
 ) -> DataFrame:
     """Adds a flag: does ``dim`` hold the key of the row? False for rows without a key."""
@@ -67,6 +83,7 @@ def orphans(
     key: str,
     constants: Mapping[str, Column],
     dedup: str = "batch",
+    spread: Sequence[str] | None = None,
 ) -> DataFrame:
     """Keys of ``df`` that ``dim`` does not hold, with constant columns for the rest of the row.
 
@@ -76,10 +93,14 @@ def orphans(
     """
     if dedup not in ("batch", "global"):
         raise ValueError("dedup is 'batch' or 'global'")
-    refs = df.select(key).where(F.col(key).isNotNull())
-    if not df.isStreaming:
-        refs = refs.distinct()
-    missing = refs.join(dim.select(key), key, "left_anti")
-    if df.isStreaming and dedup == "global":
-        missing = missing.dropDuplicates([key])
+    referred = df.where(F.col(key).isNotNull())
+    keys = dim.select(key)
+    if df.isStreaming:
+        spread = spread or [c for c in df.columns if c != key]
+        refs = referred.select(key, *spread)
+        missing = join_static(refs, keys, key, "left_anti", spread=spread).select(key)
+        if dedup == "global":
+            missing = missing.dropDuplicates([key])
+    else:
+        missing = join_static(referred.select(key).distinct(), keys, key, "left_anti")
     return missing.select(key, *[value.alias(name) for name, value in constants.items()])

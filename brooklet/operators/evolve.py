@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions.avro_schema import READABLE_FROM, ReaderField, reader_fields, reader_struct
 from ..functions.envelope import body_of, bytes_to_id, seal
+from ..functions.parse import once
+from .enrich import join_static
 from .registry import get_schema
 
 REASON = "reason"
@@ -53,7 +55,7 @@ def with_writer(messages: DataFrame, registry: DataFrame) -> DataFrame:
             )
         ).alias(WRITER_FIELDS),
     )
-    return messages.join(side, "schema_id", "left_outer")
+    return join_static(messages, side, "schema_id", "left_outer", spread=["body"])
 
 
 def evolve(record: Column, writer_fields: Column, fields: list[ReaderField], fill_nullable: bool = False) -> tuple[Column, Column]:
@@ -100,28 +102,36 @@ def decode(
     kept = [c for c in messages.columns if c != "value"]
     rows = with_writer(split_envelope(messages), registry)
 
+    # Each body is parsed once, as the reader of its own schema name sees it.
+    writer = F.col("writer_name")
+    text = F.col("body").cast("string")
+    bodies = [
+        F.when(writer == name, F.from_json(text, _with_bad_text(fields))).alias(f"_body{i}")
+        for i, (name, fields) in enumerate(readers.items())
+    ]
+    rows = rows.select("*", once(F.struct(*bodies)))
+
     decoded: list[tuple[str, Column, Column]] = []
-    for name, fields in readers.items():
-        body = F.from_json(F.col("body").cast("string"), _with_bad_text(fields))
+    for i, (name, fields) in enumerate(readers.items()):
+        body = F.col(f"_body{i}")
         record, problem = evolve(body, F.col(WRITER_FIELDS), fields, fill_nullable)
         unreadable = F.when(body[BAD_TEXT].isNotNull() | body.isNull(), F.lit("unreadable body"))
         decoded.append((name, record, F.coalesce(unreadable, problem)))
 
     def per_name(default: Column, pick: int) -> Column:
         return reduce(
-            lambda chain, d: chain.when(F.col("writer_name") == d[0], d[pick]),
+            lambda chain, d: chain.when(writer == d[0], d[pick]),
             decoded[1:],
-            F.when(F.col("writer_name") == decoded[0][0], decoded[0][pick]),
+            F.when(writer == decoded[0][0], decoded[0][pick]),
         ).otherwise(default)
 
     reason = (
         F.when(F.col("schema_id").isNull(), F.lit("no schema id"))
-        .when(F.col("writer_name").isNull(), F.lit("unknown schema id"))
+        .when(writer.isNull(), F.lit("unknown schema id"))
         .otherwise(per_name(F.lit("no reader version"), 2))
     )
     judged = rows.withColumn(REASON, reason)
     good = F.col(REASON).isNull()
-    writer = F.col("writer_name")
     if strict:
         # One expression over both sides of the join, so that no filter on the name runs before it.
         problem = F.concat(F.lit("message without a record: "), F.col(REASON))

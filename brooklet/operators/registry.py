@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.avro_schema import canonical_form, parsing_form
+from ..functions.parse import once
 from ..schemas import INT, REGISTRY, TEXT, struct
 from .latest import latest
 
@@ -44,9 +45,9 @@ def registry_history(messages: DataFrame) -> DataFrame:
     """Schema messages as registry records, with the offset that orders them."""
     record = F.from_json(F.col("value").cast("string"), SCHEMA_MESSAGE)
     return (
-        messages.select("offset", record.alias("s"))
-        .where(F.col("s.id").isNotNull())
-        .select("offset", "s.id", "s.name", "s.version", F.col("s.avroSchema").alias("avro_schema"))
+        messages.select("offset", once(record))
+        .where(F.col("id").isNotNull())
+        .withColumnRenamed("avroSchema", "avro_schema")
         .withColumn("parsing_form", parsing_form("avro_schema"))
     )
 

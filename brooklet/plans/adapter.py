@@ -40,19 +40,19 @@ def transactions_from(
 ) -> DataFrame:
     """Events as transactions, with the event time repeated as ``timestamp``.
 
-    ``k``, the number in ``props``, decides which of customer, vendor and price is missing.
+    The last digit in ``props`` decides which of customer, vendor and price is missing.
     """
-    digit = F.from_json("props", "k int")["k"] % 10
+    digit = F.substring("props", -2, 1)
     vendor = F.floor((F.col("user_id") * 7 + F.col("event_id") % 60) / 10)
     when = F.col("ts").cast("timestamp")
     return events.select(
         F.col("event_id").cast("string").alias("transaction_id"),
-        F.when(~digit.isin(0, 1), (F.col("user_id") * 11).cast("int")).alias("customer_id"),
-        F.when(~digit.isin(2, 3), vendor.cast("int")).alias("vendor_id"),
+        F.when(~digit.isin("0", "1"), (F.col("user_id") * 11).cast("int")).alias("customer_id"),
+        F.when(~digit.isin("2", "3"), vendor.cast("int")).alias("vendor_id"),
         _lookup(F.col("event_type"), states).alias("event_state"),
         when.alias("event_timestamp"),
         F.when(
-            digit != 4, F.round(F.col("value") * 100).cast("bigint").cast("string")
+            digit != "4", F.round(F.col("value") * 100).cast("bigint").cast("string")
         ).alias("price"),
         _lookup(F.col("event_id") % 4, cards).alias("card_type"),
         when.alias("timestamp"),

@@ -37,8 +37,8 @@ from ..streaming.upsert import UpsertTable
 DELAY = "10 seconds"
 SIMPLE_DELAY = "1 minute"
 WIDTH = "1 minute"
-# Tasks over which the transactions of one customer or vendor are spread in big joins.
-SALTS = 8
+# Columns that spread the transactions of one customer or vendor over several tasks.
+SPREAD = ["transaction_id", "event_timestamp"]
 
 # What an orphan's row holds besides its key.
 UNKNOWN = "Unknown"
@@ -75,11 +75,11 @@ def routed(transactions: DataFrame) -> dict[str, DataFrame]:
 
 
 def customer_orphans(valid: DataFrame, customers: DataFrame, dedup: str = "batch") -> DataFrame:
-    return orphans(valid, customers, "customer_id", customer_orphan_columns(), dedup)
+    return orphans(valid, customers, "customer_id", customer_orphan_columns(), dedup, SPREAD)
 
 
 def vendor_orphans(valid: DataFrame, vendors: DataFrame, dedup: str = "batch") -> DataFrame:
-    return orphans(valid, vendors, "vendor_id", vendor_orphan_columns(), dedup)
+    return orphans(valid, vendors, "vendor_id", vendor_orphan_columns(), dedup, SPREAD)
 
 
 def customers_flow(customers: DataFrame, states: DataFrame) -> DataFrame:
@@ -141,8 +141,8 @@ def rich_metadata(
         ts, "customer_id", "vendor_id", "price", "valid_record", "transaction_id"
     )
     spread = ["transaction_id", ts]
-    known = mark_known(narrow, customers, "customer_id", "known_customer", SALTS, spread)
-    known = mark_known(known, vendors, "vendor_id", "known_vendor", SALTS, spread)
+    known = mark_known(narrow, customers, "customer_id", "known_customer", spread=spread)
+    known = mark_known(known, vendors, "vendor_id", "known_vendor", spread=spread)
     valid = F.col("valid_record")
     flags = {
         "num_valid": valid,
@@ -162,8 +162,7 @@ def simple_flow(transactions: DataFrame, customers: DataFrame) -> dict[str, Data
         customers,
         "customer_id",
         {"customer_first_name": "first_name", "customer_last_name": "last_name"},
-        salts=SALTS,
-        spread=["transaction_id", "event_timestamp"],
+        spread=SPREAD,
     )
     domains = {"card_type": SIMPLE_CARD_TYPES, "event_state": SIMPLE_EVENT_STATES}
     return {

@@ -16,15 +16,15 @@ def _tx(states: dict[str, str], cards: dict[int, str]) -> str:
     card = " ".join(f"WHEN {k} THEN '{v}'" for k, v in cards.items())
     return f"""
   SELECT CAST(event_id AS VARCHAR) AS transaction_id,
-         CASE WHEN k % 10 NOT IN (0, 1) THEN CAST(user_id * 11 AS INTEGER) END AS customer_id,
-         CASE WHEN k % 10 NOT IN (2, 3)
+         CASE WHEN digit NOT IN ('0', '1') THEN CAST(user_id * 11 AS INTEGER) END AS customer_id,
+         CASE WHEN digit NOT IN ('2', '3')
               THEN CAST((user_id * 7 + event_id % 60) // 10 AS INTEGER) END AS vendor_id,
          CASE event_type {state} END AS event_state,
          ts AS event_timestamp,
-         CASE WHEN k % 10 <> 4
+         CASE WHEN digit <> '4'
               THEN CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) END AS price,
          CASE event_id % 4 {card} END AS card_type
-  FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)"""
+  FROM (SELECT *, substr(props, -2, 1) AS digit FROM events)"""
 
 
 TX = _tx(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions.parse import once
 from ..schemas import EVENT_TIME
 from .messages import Source
 
@@ -30,7 +31,7 @@ def json_file(spark: SparkSession, path: str, view: str | None = None) -> Source
 
     def load(schema: StructType) -> DataFrame:
         lines = spark.read.text(path).where(F.trim("value") != "")
-        frame = lines.select(F.from_json("value", schema).alias("entity")).select("entity.*")
+        frame = lines.select(once(F.from_json("value", schema)))
         if view is not None:
             frame.createOrReplaceTempView(view)
         return frame

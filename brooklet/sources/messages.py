@@ -10,10 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions.parse import once
 from ..functions.text import nth_field
 from ..schemas import EVENT_TIME
 
@@ -90,19 +91,15 @@ def parse_json(
     column that keeps the text.
     """
     text = F.col("value").cast("string")
-    kept = [F.from_json(text, schema).alias("entity")]
+    kept = []
     if event_time is BROKER_TIME:
         kept.append(F.col("timestamp").alias(EVENT_TIME))
     if raw is not None:
         kept.append(text.alias(raw))
-    columns: list[str | Column] = ["entity.*"]
-    if event_time is BROKER_TIME:
-        columns.append(EVENT_TIME)
-    elif event_time is not None:
-        columns.append(F.col(f"entity.{event_time}").alias(EVENT_TIME))
-    if raw is not None:
-        columns.append(raw)
-    return messages.select(*kept).select(*columns)
+    rows = messages.select(once(F.from_json(text, schema)), *kept)
+    if event_time is None or event_time is BROKER_TIME:
+        return rows
+    return rows.withColumn(EVENT_TIME, F.col(event_time))
 
 
 def parse_text(messages: DataFrame) -> DataFrame:
@@ -120,8 +117,7 @@ def text_records(messages: DataFrame) -> DataFrame:
 def parse_csv(messages: DataFrame, ddl: str, keep: tuple[str, ...] = ("key",)) -> DataFrame:
     """Delimited values as rows; a bad or missing field is NULL, the others stay."""
     kept = [F.col(c).cast("string").alias(c) if c == "key" else F.col(c) for c in keep]
-    fields = F.from_csv(F.col("value").cast("string"), ddl).alias("entity")
-    return messages.select(*kept, fields).select(*keep, "entity.*")
+    return messages.select(*kept, once(F.from_csv(F.col("value").cast("string"), ddl)))
 
 
 def parse_sightings(messages: DataFrame) -> DataFrame:
