@@ -146,6 +146,7 @@ def register_schema(
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
     """The registry table; empty where nothing has been registered."""
-    from ..streaming.upsert import read_if_present
+    from ..streaming.upsert import no_rows, read_if_present
 
-    return read_if_present(spark, path, REGISTRY)
+    registry = read_if_present(spark, path, REGISTRY)
+    return no_rows(spark, REGISTRY) if registry is None else registry

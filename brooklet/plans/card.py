@@ -112,6 +112,11 @@ def vendors_flow(vendors: DataFrame) -> DataFrame:
     )
 
 
+def operational_metadata(transactions: DataFrame) -> DataFrame:
+    """All transactions per minute, valid or not; the rows bring their watermark."""
+    return count_by_window(transactions, EVENT_TIME, WIDTH, None)
+
+
 def transactions_flow(
     transactions: DataFrame, customers: DataFrame, vendors: DataFrame, dedup: str = "batch"
 ) -> dict[str, DataFrame]:
@@ -124,8 +129,7 @@ def transactions_flow(
         "undecided_transactions": routes[UNDECIDED],
         "customer_orphans": customer_orphans(routes[VALID], customers, dedup),
         "vendor_orphans": vendor_orphans(routes[VALID], vendors, dedup),
-        # The watermark is on the rows already.
-        "transactions_operational_metadata": count_by_window(rows, EVENT_TIME, WIDTH, None),
+        "transactions_operational_metadata": operational_metadata(rows),
     }
 
 
@@ -234,20 +238,12 @@ def full_application(
     names come from one query that reads the stream once.
     """
 
-    def flow() -> dict[str, DataFrame]:
-        return transactions_flow(
-            sources.transaction_stream(TRANSACTION),
-            sources.customers(CUSTOMER),
-            sources.vendors(VENDOR),
-            dedup,
-        )
-
     def build(name: str) -> Callable[[], DataFrame]:
         if name == "customers":
             return lambda: customers_flow(sources.customer_stream(CUSTOMER), sources.states(STATE))
         if name == "vendors":
             return lambda: vendors_flow(sources.vendor_stream(VENDOR))
-        return lambda: flow()[name]
+        return lambda: transaction_output(name, sources.transaction_stream(TRANSACTION), sources, dedup)
 
     outputs = []
     if shared_pass:
@@ -256,18 +252,31 @@ def full_application(
     return QueryGroup(spark, outputs, checkpoint_base, before_start, available_now)
 
 
-SHARED_QUERY = "transactions_shared_pass"
+def transaction_output(
+    name: str, transactions: DataFrame, sources: Sources, dedup: str = "batch"
+) -> DataFrame:
+    """One output of the transactions; opens no static table that it does not need."""
+    rows = with_watermark(transactions, EVENT_TIME, DELAY)
+    if name == "transactions_operational_metadata":
+        return operational_metadata(rows)
+    routes = routed(rows)
+    if name == "customer_orphans":
+        return customer_orphans(routes[VALID], sources.customers(CUSTOMER), dedup)
+    if name == "vendor_orphans":
+        return vendor_orphans(routes[VALID], sources.vendors(VENDOR), dedup)
+    return routes[name.removesuffix("_transactions")]
 
 
-def _shared_output(sources: Sources, tables: Mapping[str, UpsertTable]) -> Output:
-    def derive(name: str) -> Callable[[DataFrame], DataFrame]:
-        def from_batch(batch: DataFrame) -> DataFrame:
-            return transactions_flow(batch, sources.customers(CUSTOMER), sources.vendors(VENDOR))[name]
+SHARED_QUERY = "transactions_shared_pass"
 
-        return from_batch
 
+def _shared_output(sources: Sources, tables: Mapping[str, UpsertTable]) -> Output:
     if "transactions_operational_metadata" in tables:
         raise ValueError("counts per window need their own query: they keep state")
+
+    def derive(name: str) -> Callable[[DataFrame], DataFrame]:
+        return lambda batch: transaction_output(name, batch, sources)
+
     derived = {name: (derive(name), table) for name, table in tables.items()}
     sink = fan_out_sink(SHARED_QUERY, derived, SINK_RETRIES)
     return Output(lambda: sources.transaction_stream(TRANSACTION), sink)

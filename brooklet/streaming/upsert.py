@@ -36,14 +36,19 @@ COMMIT = struct(version=INT, base=TEXT, deltas=ArrayType(TEXT), run=INT, batch_i
 
 def read_if_present(
     spark: SparkSession, path: str, schema: StructType, file_format: str = "parquet"
-) -> DataFrame:
-    """The files under a path, or an empty frame where there is no such path yet."""
+) -> DataFrame | None:
+    """The files under a path, or None where there is no such path yet."""
     try:
         return spark.read.format(file_format).schema(schema).load(path)
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return None
+
+
+def no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
+    """An empty frame that the optimizer knows to be empty."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
 
 
 @dataclass(frozen=True)
@@ -123,7 +128,8 @@ class UpsertTable:
 
     def _log(self) -> DataFrame:
         schema = StructType(self.spec.schema.fields + LOG_PARTITIONS.fields)
-        return read_if_present(self.spark, f"{self.path}/log", schema)
+        log = read_if_present(self.spark, f"{self.path}/log", schema)
+        return no_rows(self.spark, schema) if log is None else log
 
     def _snapshot(self, snapshot: str) -> DataFrame:
         schema = StructType(self.spec.schema.fields + SNAPSHOT_PARTITIONS.fields)
@@ -185,11 +191,14 @@ class UpsertTable:
 
     # -- folding the log
 
+    def _commits(self) -> DataFrame | None:
+        return read_if_present(self.spark, f"{self.path}/commits", COMMIT, "json")
+
     def current_commit(self) -> Commit:
-        commits = read_if_present(self.spark, f"{self.path}/commits", COMMIT, "json")
-        row = commits.orderBy(F.col("version").desc()).first()
-        if row is None:
+        commits = self._commits()
+        if commits is None:
             return Commit()
+        row = commits.orderBy(F.col("version").desc()).first()
         return Commit(row["version"], row["base"], tuple(row["deltas"]), row["run"], row["batch_id"])
 
     def compact(
@@ -269,7 +278,9 @@ class UpsertTable:
 
     def obsolete(self) -> list[str]:
         """Snapshot folders that no current commit names."""
-        commits = read_if_present(self.spark, f"{self.path}/commits", COMMIT, "json")
+        commits = self._commits()
+        if commits is None:
+            return []
         now = self.current_commit()
         named = commits.select(F.explode("deltas").alias("s")).union(commits.select("base")).distinct()
         current = {now.base, *now.deltas, None}
