@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.avro_schema import canonical_form, parsing_form
 from ..functions.parse import once
 from ..schemas import INT, REGISTRY, TEXT, struct
+from .enrich import join_static
 from .latest import latest
 
 # How a schema file is named, and the fields of a schema message.
@@ -113,7 +114,7 @@ def find_schema(registry: DataFrame, avro_schema: str) -> Row:
 def match_schemas(schemas: DataFrame, registry: DataFrame) -> DataFrame:
     """Registry id, name and version for each row of a table with a ``parsing_form``."""
     side = registry.select("parsing_form", "id", "name", "version")
-    return schemas.join(side, "parsing_form", "left_outer")
+    return join_static(schemas, side, "parsing_form", "left_outer")
 
 
 def next_id(registry: DataFrame, column: str = "id") -> DataFrame:

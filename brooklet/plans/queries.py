@@ -331,7 +331,7 @@ def offload_old_months(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.max("l_shipdate").alias("last_day"),
         )
 
-    old = spark.read.parquet(f"{path}-old")
+    old = spark.read.parquet(f"{path}-old").select(*spec.schema.names)
     return plain_times(measured(old, "files").union(measured(shipments.read(), "table")))
 
 

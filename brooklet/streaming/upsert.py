@@ -15,12 +15,12 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
@@ -31,7 +31,8 @@ RUN, BATCH, REJECTED = "run", "batch_id", "rejected"
 MONTH, BUCKET = "month", "key_bucket"
 LOG_PARTITIONS = struct(run=INT, batch_id=LONG, rejected=BOOL)
 SNAPSHOT_PARTITIONS = struct(month=TEXT, key_bucket=INT)
-COMMIT = struct(version=INT, base=TEXT, deltas=ArrayType(TEXT), run=INT, batch_id=LONG)
+SNAPSHOT = struct(id=TEXT, keep_from=TEXT)
+COMMIT = struct(version=INT, base=SNAPSHOT, deltas=ArrayType(SNAPSHOT), run=INT, batch_id=LONG)
 
 
 def read_if_present(
@@ -51,13 +52,21 @@ def no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
 
 
+@dataclass(frozen=True)
+class Snapshot:
+    """A folded part of the log; the months before ``keep_from`` have been moved away."""
+
+    id: str
+    keep_from: str | None = None
+
+
 @dataclass(frozen=True)
 class Commit:
     """Current snapshots, and the last batch that they include."""
 
     version: int = -1
-    base: str | None = None
-    deltas: tuple[str, ...] = ()
+    base: Snapshot | None = None
+    deltas: tuple[Snapshot, ...] = ()
     run: int = -1
     batch_id: int = -1
 
@@ -103,13 +112,24 @@ class UpsertTable:
         ``months`` (``yyyy-MM`` of the range column) and ``keys`` (values of key columns) read
         only the folders they need.
         """
+        chosen = self._chosen(keys)
+        if months is not None:
+            self._check_months()
+            chosen.append(F.col(MONTH).isin(*months))
         commit = self.current_commit()
-        tail = self._fold(self._versions(commit, months, keys))
+        return self._merge(commit, self._log_after(commit), chosen)
+
+    def _merge(self, commit: Commit, log: DataFrame, chosen: list[Column]) -> DataFrame:
+        """Last rows of the snapshots and the log, where the conditions on the folders hold."""
+
+        def narrowed(rows: DataFrame) -> DataFrame:
+            return reduce(DataFrame.where, chosen, rows)
+
+        tail = self._fold(narrowed(self._versions(commit.deltas, log)))
         if commit.base is None:
             return tail
-        base = self._pruned(self._snapshot(commit.base), months, keys)
-        key = list(self.spec.key)
-        untouched = base.join(tail.select(*key), key, "left_anti")
+        base = narrowed(self._snapshot(commit.base)).select(*self._names)
+        untouched = base.join(tail.select(*self.spec.key), list(self.spec.key), "left_anti")
         return untouched.select(*self._names).unionByName(tail)
 
     def rejects(self) -> DataFrame:
@@ -131,9 +151,10 @@ class UpsertTable:
         log = read_if_present(self.spark, f"{self.path}/log", schema)
         return no_rows(self.spark, schema) if log is None else log
 
-    def _snapshot(self, snapshot: str) -> DataFrame:
+    def _snapshot(self, snapshot: Snapshot) -> DataFrame:
         schema = StructType(self.spec.schema.fields + SNAPSHOT_PARTITIONS.fields)
-        return self.spark.read.schema(schema).parquet(f"{self.path}/snapshot/{snapshot}")
+        rows = self.spark.read.schema(schema).parquet(f"{self.path}/snapshot/{snapshot.id}")
+        return rows if snapshot.keep_from is None else rows.where(F.col(MONTH) >= snapshot.keep_from)
 
     def _log_after(self, commit: Commit) -> DataFrame:
         newer = (F.col(RUN) > commit.run) | (
@@ -141,17 +162,14 @@ class UpsertTable:
         )
         return self._log().where(newer & ~F.col(REJECTED))
 
-    def _versions(
-        self, commit: Commit, months: Sequence[str] | None, keys: Mapping[str, Any] | None
-    ) -> DataFrame:
-        """All versions newer than the base: deltas by age, then the log."""
-        log = self._with_layout(self._log_after(commit).drop(REJECTED))
-        parts = [self._pruned(log, months, keys)]
-        for age, delta in enumerate(commit.deltas):
-            older = self._pruned(self._snapshot(delta), months, keys)
-            # Deltas are older than any batch in the log, whose runs start from 0.
-            behind = F.lit(age - len(commit.deltas))
-            parts.append(older.withColumns({RUN: behind, BATCH: F.lit(0).cast("bigint")}))
+    def _versions(self, snapshots: Sequence[Snapshot], log: DataFrame) -> DataFrame:
+        """All versions in the snapshots, from old to new, and in the log."""
+        parts = [self._with_layout(log.drop(REJECTED))]
+        for age, snapshot in enumerate(snapshots):
+            # Snapshots are older than any batch in the log, whose runs start from 0.
+            behind = F.lit(age - len(snapshots))
+            place = {RUN: behind, BATCH: F.lit(0).cast("bigint")}
+            parts.append(self._snapshot(snapshot).withColumns(place))
         return reduce(DataFrame.unionByName, parts)
 
     def _fold(self, versions: DataFrame) -> DataFrame:
@@ -169,25 +187,23 @@ class UpsertTable:
             {MONTH: month, BUCKET: F.pmod(hashed, F.lit(self.spec.buckets)).cast("int")}
         )
 
-    def _pruned(
-        self, rows: DataFrame, months: Sequence[str] | None, keys: Mapping[str, Any] | None
-    ) -> DataFrame:
-        if months is not None:
-            if self.spec.range_column is None:
-                raise ValueError(f"{self.spec.name} has no months")
-            rows = rows.where(F.col(MONTH).isin(*months))
-        if keys:
-            types = {f.name: f.dataType for f in self.spec.schema}
-            wanted = {k: F.lit(v).cast(types[k]) for k, v in keys.items()}
-            if not set(wanted) <= set(self.spec.key):
-                raise ValueError(f"{self.spec.name}: keys are {self.spec.key}")
-            for column, value in wanted.items():
-                rows = rows.where(F.col(column) == value)
-            if set(self.spec.bucket_columns) <= set(wanted):
-                hashed = F.xxhash64(*[wanted[c] for c in self.spec.bucket_columns])
-                bucket = F.pmod(hashed, F.lit(self.spec.buckets)).cast("int")
-                rows = rows.where(F.col(BUCKET) == bucket)
-        return rows
+    def _check_months(self) -> None:
+        if self.spec.range_column is None:
+            raise ValueError(f"{self.spec.name} has no months")
+
+    def _chosen(self, keys: Mapping[str, Any] | None) -> list[Column]:
+        """Conditions on key columns, and on the bucket where they determine it."""
+        if not keys:
+            return []
+        if not set(keys) <= set(self.spec.key):
+            raise ValueError(f"{self.spec.name}: keys are {self.spec.key}")
+        types = {f.name: f.dataType for f in self.spec.schema}
+        wanted = {k: F.lit(v).cast(types[k]) for k, v in keys.items()}
+        chosen = [F.col(column) == value for column, value in wanted.items()]
+        if set(self.spec.bucket_columns) <= set(wanted):
+            hashed = F.xxhash64(*[wanted[c] for c in self.spec.bucket_columns])
+            chosen.append(F.col(BUCKET) == F.pmod(hashed, F.lit(self.spec.buckets)).cast("int"))
+        return chosen
 
     # -- folding the log
 
@@ -199,105 +215,115 @@ class UpsertTable:
         if commits is None:
             return Commit()
         row = commits.orderBy(F.col("version").desc()).first()
-        return Commit(row["version"], row["base"], tuple(row["deltas"]), row["run"], row["batch_id"])
+        base = None if row["base"] is None else Snapshot(*row["base"])
+        deltas = tuple(Snapshot(*d) for d in row["deltas"])
+        return Commit(row["version"], base, deltas, row["run"], row["batch_id"])
 
-    def compact(
-        self, full: bool = False, keep_from: str | None = None, settled: bool = False
-    ) -> Commit:
+    def compact(self, full: bool = False, settled: bool = False) -> Commit:
         """Folds the log into a snapshot and makes it current.
 
         The usual run folds only what came since the last one, into a delta. A ``full`` run folds
-        everything into a new base; ``keep_from`` then leaves out the months before it. The newest
-        batch stays in the log, because a restarted query may write it again, unless the table is
-        ``settled``: its query has ended for good. Folders that are no longer needed stay until
-        they are removed by hand; ``obsolete`` lists the snapshots among them.
+        everything into a new base. The newest batch stays in the log, because a restarted query
+        may write it again, unless the table is ``settled``: its query has ended for good. Folders
+        that are no longer needed stay until they are removed by hand; ``obsolete`` lists the
+        snapshots among them.
         """
-        if keep_from is not None and not full:
-            raise ValueError("months can be left out in a full run only")
         before = self.current_commit()
-        newest = self._log().agg(F.max(F.struct(RUN, BATCH)).alias("last")).first()["last"]
-        upto = newest
-        if newest is not None and not settled:
-            upto = self._last_batch_before(newest[RUN], newest[BATCH])
+        upto = self._last_batch()
+        if upto is not None and not settled:
+            upto = self._last_batch(upto)
         log = self._log_after(before)
-        if upto is None or (upto[RUN], upto[BATCH]) <= (before.run, before.batch_id):
-            upto = {RUN: before.run, BATCH: before.batch_id}
-            if not full or before.version < 0:
+        if upto is None or upto <= (before.run, before.batch_id):
+            upto = (before.run, before.batch_id)
+            if not full or before.base is None:
                 return before
+        run, batch_id = upto
         log = log.where(
-            (F.col(RUN) < upto[RUN]) | ((F.col(RUN) == upto[RUN]) & (F.col(BATCH) <= upto[BATCH]))
+            (F.col(RUN) < run) | ((F.col(RUN) == run) & (F.col(BATCH) <= batch_id))
         )
         full = full or before.base is None
         if full:
-            versions = self._all_versions(before, log)
+            rows = self._merge(before, log, [])
         else:
-            versions = log.drop(REJECTED)
-        snapshot = uuid.uuid4().hex
-        self._write_snapshot(self._fold(versions), snapshot, keep_from)
-        after = Commit(
-            before.version + 1,
-            snapshot if full else before.base,
-            () if full else (*before.deltas, snapshot),
-            upto[RUN],
-            upto[BATCH],
+            rows = self._fold(self._versions((), log))
+        snapshot = Snapshot(uuid.uuid4().hex)
+        self._write_snapshot(rows, snapshot)
+        return self._write_commit(
+            replace(
+                before,
+                base=snapshot if full else before.base,
+                deltas=() if full else (*before.deltas, snapshot),
+                run=run,
+                batch_id=batch_id,
+            )
         )
-        self._write_commit(after)
-        return after
-
-    def _last_batch_before(self, run: int, batch_id: int) -> Any:
-        older = (F.col(RUN) < run) | ((F.col(RUN) == run) & (F.col(BATCH) < batch_id))
-        return self._log().where(older).agg(F.max(F.struct(RUN, BATCH)).alias("last")).first()["last"]
 
-    def _all_versions(self, commit: Commit, log: DataFrame) -> DataFrame:
-        parts = [log.select(*self._names, RUN, BATCH)]
-        snapshots = ([commit.base] if commit.base else []) + list(commit.deltas)
-        for age, snapshot in enumerate(snapshots):
-            behind = F.lit(age - len(snapshots))
-            parts.append(
-                self._snapshot(snapshot).select(
-                    *self._names, behind.alias(RUN), F.lit(0).cast("bigint").alias(BATCH)
-                )
-            )
-        return reduce(DataFrame.unionByName, parts)
+    def _last_batch(self, before: tuple[int, int] | None = None) -> tuple[int, int] | None:
+        """Run and number of the newest batch, or of the newest one before another."""
+        log = self._log()
+        if before is not None:
+            run, batch_id = before
+            log = log.where((F.col(RUN) < run) | ((F.col(RUN) == run) & (F.col(BATCH) < batch_id)))
+        newest = log.agg(F.max(F.struct(RUN, BATCH)).alias("newest")).first()["newest"]
+        return None if newest is None else (newest[RUN], newest[BATCH])
 
-    def _write_snapshot(self, rows: DataFrame, snapshot: str, keep_from: str | None) -> None:
-        laid_out = self._with_layout(rows)
-        if keep_from is not None:
-            if self.spec.range_column is None:
-                raise ValueError(f"{self.spec.name} has no months")
-            laid_out = laid_out.where(F.col(MONTH) >= keep_from)
+    def _write_snapshot(self, rows: DataFrame, snapshot: Snapshot) -> None:
         # Few files per folder, and big folders split over several tasks.
-        laid_out = laid_out.hint("rebalance", MONTH, BUCKET)
-        target = f"{self.path}/snapshot/{snapshot}"
+        laid_out = self._with_layout(rows).hint("rebalance", MONTH, BUCKET)
+        target = f"{self.path}/snapshot/{snapshot.id}"
         laid_out.write.partitionBy(MONTH, BUCKET).parquet(target)
 
-    def _write_commit(self, commit: Commit) -> None:
-        row = (commit.version, commit.base, list(commit.deltas), commit.run, commit.batch_id)
+    def _write_commit(self, commit: Commit) -> Commit:
+        commit = replace(commit, version=commit.version + 1)
+
+        def plain(snapshot: Snapshot) -> tuple[str, str | None]:
+            return snapshot.id, snapshot.keep_from
+
+        base = None if commit.base is None else plain(commit.base)
+        row = (commit.version, base, [plain(d) for d in commit.deltas], commit.run, commit.batch_id)
         one = self.spark.createDataFrame([row], COMMIT)
         one.coalesce(1).write.mode("append").json(f"{self.path}/commits")
+        return commit
 
     def obsolete(self) -> list[str]:
-        """Snapshot folders that no current commit names."""
+        """Snapshot folders that the current commit does not name."""
         commits = self._commits()
         if commits is None:
             return []
         now = self.current_commit()
-        named = commits.select(F.explode("deltas").alias("s")).union(commits.select("base")).distinct()
-        current = {now.base, *now.deltas, None}
-        return [f"{self.path}/snapshot/{r['s']}" for r in named.collect() if r["s"] not in current]
+        named = commits.select(F.explode("deltas").alias("s")).union(commits.select("base"))
+        current = {s.id for s in (now.base, *now.deltas) if s is not None}
+        ids = [r["id"] for r in named.select("s.id").distinct().collect()]
+        return [f"{self.path}/snapshot/{i}" for i in ids if i is not None and i not in current]
 
     # -- moving old months away
 
-    def offload(self, before: str, target: str, settled: bool = False) -> None:
-        """Writes the months before ``before`` to plain Parquet, by month, and drops them here.
+    def offload(self, before: str, target: str, settled: bool = False) -> Commit:
+        """Moves the months before ``before`` to plain Parquet, in a folder per offload and month.
 
-        Rows of the newest batch are copied but stay as well, unless the table is ``settled``.
+        Only those months are read, and nothing is rewritten: the commit notes from which month on
+        the snapshots are kept. Rows that are still in the log stay, as do rows that come later for
+        an old month; the next offload moves them, and its folder has the greater ``version``.
         """
-        if self.spec.range_column is None:
-            raise ValueError(f"{self.spec.name} has no months")
-        old = self._with_layout(self.read()).where(F.col(MONTH) < before).drop(BUCKET)
-        old.hint("rebalance", MONTH).write.mode("overwrite").partitionBy(MONTH).parquet(target)
-        self.compact(full=True, keep_from=before, settled=settled)
+        self._check_months()
+        commit = self.compact(settled=settled)
+        old = self._merge(commit, self._log().limit(0), [F.col(MONTH) < before])
+        # The folder of an offload that broke off before its commit is written anew.
+        laid_out = self._with_layout(old).drop(BUCKET).hint("rebalance", MONTH)
+        laid_out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+            MONTH
+        ).parquet(f"{target}/version={commit.version + 1}")
+
+        def kept(snapshot: Snapshot) -> Snapshot:
+            return replace(snapshot, keep_from=max(before, snapshot.keep_from or before))
+
+        return self._write_commit(
+            replace(
+                commit,
+                base=None if commit.base is None else kept(commit.base),
+                deltas=tuple(kept(d) for d in commit.deltas),
+            )
+        )
 
 
 def with_retries(

@@ -74,17 +74,18 @@ def test_rows_without_time_count_nowhere(spark):
     assert [r["num_transactions"] for r in count_by_window(rows, "ts").collect()] == [1]
 
 
-def test_equal_ids_count_once(spark, tmp_path):
+@pytest.mark.parametrize("salts", [1, 4])
+def test_equal_ids_count_once(spark, tmp_path, salts):
     files = [[("a", "00:05:30"), ("a", "00:05:31")], [("a", "00:05:32"), ("b", "00:05:33")]]
     tick_files(f"{tmp_path}/in", files)
     source = json_dir_stream(spark, f"{tmp_path}/in")
-    build = lambda: dedup_by_id(source(TICK), ["id"], "ts", "1 minute")
+    build = lambda: dedup_by_id(source(TICK), ["id"], "ts", "1 minute", salts)
     group = QueryGroup(
-        spark, [Output(build, memory_sink("unique"))], f"{tmp_path}/cp", available_now=True
+        spark, [Output(build, memory_sink(f"unique{salts}"))], f"{tmp_path}/cp", available_now=True
     )
     group.start()
     group.drain()
-    assert sorted(r["id"] for r in spark.table("unique").collect()) == ["a", "b"]
+    assert sorted(r["id"] for r in spark.table(f"unique{salts}").collect()) == ["a", "b"]
     with pytest.raises(ValueError):
         dedup_by_id(source(TICK), ["id"], "ts")
 

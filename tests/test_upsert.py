@@ -128,7 +128,7 @@ def test_compaction_leaves_the_newest_batch_in_the_log(spark, tmp_path):
     assert content(table) == {1: ("c", 1), 2: ("d", 1)}
     full = table.compact(full=True)
     assert set(table.obsolete()) == {
-        f"{tmp_path}/snapshot/{s}" for s in (commit.base, *later.deltas)
+        f"{tmp_path}/snapshot/{s.id}" for s in (commit.base, *later.deltas)
     }
     assert full.base not in (commit.base, None)
     assert content(table) == {1: ("c", 1), 2: ("d", 1)}
@@ -170,11 +170,28 @@ def test_months_are_pruned(spark, tmp_path):
 def test_offload_moves_old_months(spark, tmp_path):
     table = UpsertTable(spark, f"{tmp_path}/t", DATED)
     table.load(dated_rows(spark))
-    table.offload("2018-12", f"{tmp_path}/old", settled=True)
+    snapshot = table.compact(settled=True).base.id
+    table.offload("2018-11", f"{tmp_path}/old", settled=True)
+    commit = table.offload("2018-12", f"{tmp_path}/old", settled=True)
+    assert commit.base.id == snapshot  # nothing was rewritten
     assert table.read().count() == 4
     old = spark.read.parquet(f"{tmp_path}/old")
     assert {r["month"] for r in old.select("month").distinct().collect()} == {"2018-10", "2018-11"}
     assert old.count() == 8
+    # A late row for an old month is in the table until the next offload.
+    late = dated_rows(spark).where("id = 'k1' AND month(ts) = 10").withColumn("v", F.lit(5))
+    table.load(late)
+    assert table.read().count() == 5
+    table.compact(settled=True)
+    assert table.read().count() == 5
+    table.offload("2018-12", f"{tmp_path}/old", settled=True)
+    assert table.read().count() == 4
+    newest = spark.read.parquet(f"{tmp_path}/old").orderBy(F.col("version").desc()).first()
+    assert (newest["v"], newest["month"]) == (5, "2018-10")
+    table.compact(full=True, settled=True)
+    assert table.read().count() == 4
+    with pytest.raises(ValueError):
+        UpsertTable(spark, str(tmp_path / "x"), SPEC).offload("2018-11", f"{tmp_path}/y")
 
 
 def test_view(spark, tmp_path):
