@@ -14,8 +14,8 @@ def id_to_bytes(schema_id: Column) -> Column:
 def bytes_to_id(value: Column) -> Column:
     """Signed int held by the first four bytes; NULL where there are fewer."""
     unsigned = F.conv(F.hex(F.substring(value, 1, 4)), 16, 10).cast("bigint")
-    signed = F.when(unsigned >= 2**31, unsigned - 2**32).otherwise(unsigned).cast("int")
-    return F.when(F.octet_length(value) >= 4, signed)
+    signed = F.pmod(unsigned + F.lit(2**31), F.lit(2**32)) - F.lit(2**31)
+    return F.when(F.octet_length(value) >= 4, signed.cast("int"))
 
 
 def body_of(value: Column) -> Column:

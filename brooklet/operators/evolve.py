@@ -19,7 +19,6 @@ from .registry import get_schema
 
 REASON = "reason"
 BAD_TEXT = "_corrupt_record"
-WRITER_FIELDS = "writer_fields"
 WRITER_RECORD = "type string, fields array<struct<name: string, type: string>>"
 PRIMITIVE = r'(?:^|[\s,\[:"])(null|boolean|int|long|float|double|bytes|string)(?:$|[\s,\]}"])'
 
@@ -38,50 +37,60 @@ def split_envelope(messages: DataFrame) -> DataFrame:
     )
 
 
-def with_writer(messages: DataFrame, registry: DataFrame) -> DataFrame:
-    """Adds name, version and field list of the writer's schema to split messages.
-
-    The field list is a column, so any number of writer versions costs one join and no branches.
-    """
-    parsed = F.from_json("avro_schema", WRITER_RECORD)
-    side = registry.select(
-        F.col("id").alias("schema_id"),
-        F.col("name").alias("writer_name"),
-        F.col("version").alias("writer_version"),
-        F.map_from_entries(
-            F.transform(
-                parsed["fields"],
-                lambda f: F.struct(f["name"], F.regexp_extract_all(f["type"], F.lit(PRIMITIVE), F.lit(1))),
-            )
-        ).alias(WRITER_FIELDS),
+def writer_fields(avro_schema: Column) -> Column:
+    """The fields of a record schema as a map from name to the primitives in the type."""
+    return F.map_from_entries(
+        F.transform(
+            F.from_json(avro_schema, WRITER_RECORD)["fields"],
+            lambda f: F.struct(f["name"], F.regexp_extract_all(f["type"], F.lit(PRIMITIVE), F.lit(1))),
+        )
     )
-    return join_static(messages, side, "schema_id", "left_outer", spread=["body"])
 
 
-def evolve(record: Column, writer_fields: Column, fields: list[ReaderField], fill_nullable: bool = False) -> tuple[Column, Column]:
-    """The record a reader sees, and the reason why there is none, or NULL.
+def resolve(
+    written: Column, fields: list[ReaderField], fill_nullable: bool = False
+) -> tuple[Column, Column]:
+    """Compares a writer's fields with a reader's.
 
-    Fields the reader lacks are gone. A field the writer lacks takes its default, and it is an
-    error if it has none; ``fill_nullable`` gives NULL to nullable fields without a default.
-    A type the reader's type does not accept, and NULL in a field that must have a value, are
-    errors as well.
+    Gives the reason why the reader cannot read any such record, or NULL, and for each of its
+    fields whether the writer has it. A field the writer lacks needs a default; ``fill_nullable``
+    lets nullable fields do without. Types may widen.
     """
-    values, problems = [], []
+    problems, has = [F.lit(None).cast("string")], []
     for f in fields:
-        written = F.map_contains_key(writer_fields, f.name)
-        value = record[f.name]
-        default = F.lit(f.default if f.has_default else None).cast(f.spark_type)
-        values.append(F.when(written, value).otherwise(default).alias(f.name))
+        present = F.map_contains_key(written, f.name)
+        has.append(present)
         if not f.has_default and not (fill_nullable and f.nullable):
-            problems.append(F.when(~written, F.lit(f"field {f.name} has no default")))
-        types = F.element_at(writer_fields, F.lit(f.name))
+            problems.append(F.when(~present, F.lit(f"field {f.name} has no default")))
+        types = F.element_at(written, F.lit(f.name))
         accepted = F.arrays_overlap(types, F.array(*map(F.lit, READABLE_FROM[f.primitive])))
-        problems.append(F.when(written & ~accepted, F.lit(f"type of field {f.name} is not readable")))
+        problems.append(F.when(present & ~accepted, F.lit(f"type of field {f.name} is not readable")))
+    return F.coalesce(*problems), F.array(*has)
+
+
+def evolve(body: Column, has: Column, fields: list[ReaderField]) -> tuple[Column, Column]:
+    """The record as its reader sees it, and the reason why there is none, or NULL.
+
+    Fields the reader lacks are gone, and those the writer lacks take their defaults.
+    """
+    values, problems = [], [F.when(body.isNull() | body[BAD_TEXT].isNotNull(), F.lit("unreadable body"))]
+    for i, f in enumerate(fields):
+        default = F.lit(f.default if f.has_default else None).cast(f.spark_type)
+        values.append(F.when(F.get(has, i), body[f.name]).otherwise(default).alias(f.name))
         if not f.nullable:
-            problems.append(F.when(written & value.isNull(), F.lit(f"field {f.name} has no value")))
+            missing = F.get(has, i) & body[f.name].isNull()
+            problems.append(F.when(missing, F.lit(f"field {f.name} has no value")))
     return F.struct(*values), F.coalesce(*problems)
 
 
+def by_name(name: Column, choices: Mapping[str, Column]) -> Column:
+    """The choice for the name; NULL for other names."""
+    first, *rest = choices.items()
+    return reduce(
+        lambda chain, c: chain.when(name == c[0], c[1]), rest, F.when(name == first[0], first[1])
+    )
+
+
 def decode(
     messages: DataFrame,
     registry: DataFrame,
@@ -93,54 +102,60 @@ def decode(
 
     Each frame has the other message columns next to the record; the rejects have the schema id,
     the body and the reason. In strict mode a message without a record fails the query instead.
-    Only the reader schemas, one per configured name, are fetched when the query is built.
+    Only the reader schemas, one per configured name, are fetched when the query is built. Schemas
+    are compared once per registry row, and any number of writer versions costs one join.
     """
     readers = {
         name: reader_fields(get_schema(registry, name=name, version=version)["avro_schema"])
         for name, version in reader_versions.items()
     }
     kept = [c for c in messages.columns if c != "value"]
-    rows = with_writer(split_envelope(messages), registry)
+
+    written = writer_fields(F.col("avro_schema"))
+    resolved = {name: resolve(written, fields, fill_nullable) for name, fields in readers.items()}
+    unread = F.lit("no reader version")
+    writers = registry.select(
+        F.col("id").alias("schema_id"),
+        F.col("name").alias("writer_name"),
+        F.when(F.col("name").isin(*readers), by_name(F.col("name"), {n: r[0] for n, r in resolved.items()}))
+        .otherwise(unread)
+        .alias("schema_problem"),
+        by_name(F.col("name"), {n: r[1] for n, r in resolved.items()}).alias("has"),
+    )
+    rows = join_static(split_envelope(messages), writers, "schema_id", "left_outer", spread=["body"])
 
     # Each body is parsed once, as the reader of its own schema name sees it.
     writer = F.col("writer_name")
     text = F.col("body").cast("string")
-    bodies = [
-        F.when(writer == name, F.from_json(text, _with_bad_text(fields))).alias(f"_body{i}")
-        for i, (name, fields) in enumerate(readers.items())
-    ]
-    rows = rows.select("*", once(F.struct(*bodies)))
-
-    decoded: list[tuple[str, Column, Column]] = []
-    for i, (name, fields) in enumerate(readers.items()):
-        body = F.col(f"_body{i}")
-        record, problem = evolve(body, F.col(WRITER_FIELDS), fields, fill_nullable)
-        unreadable = F.when(body[BAD_TEXT].isNotNull() | body.isNull(), F.lit("unreadable body"))
-        decoded.append((name, record, F.coalesce(unreadable, problem)))
-
-    def per_name(default: Column, pick: int) -> Column:
-        return reduce(
-            lambda chain, d: chain.when(writer == d[0], d[pick]),
-            decoded[1:],
-            F.when(writer == decoded[0][0], decoded[0][pick]),
-        ).otherwise(default)
-
+    bodies = {name: f"_body{i}" for i, name in enumerate(readers)}
+    rows = rows.select(
+        "*",
+        once(
+            F.struct(
+                *[
+                    F.when(writer == name, F.from_json(text, _with_bad_text(fields))).alias(bodies[name])
+                    for name, fields in readers.items()
+                ]
+            )
+        ),
+    )
+    decoded = {n: evolve(F.col(bodies[n]), F.col("has"), fields) for n, fields in readers.items()}
     reason = (
         F.when(F.col("schema_id").isNull(), F.lit("no schema id"))
         .when(writer.isNull(), F.lit("unknown schema id"))
-        .otherwise(per_name(F.lit("no reader version"), 2))
+        .when(F.col("schema_problem").isNotNull(), F.col("schema_problem"))
+        .otherwise(by_name(writer, {n: d[1] for n, d in decoded.items()}))
     )
     judged = rows.withColumn(REASON, reason)
     good = F.col(REASON).isNull()
+    named = F.when(good, writer)
     if strict:
         # One expression over both sides of the join, so that no filter on the name runs before it.
         problem = F.concat(F.lit("message without a record: "), F.col(REASON))
-        writer = F.when(good, writer).otherwise(F.raise_error(problem))
+        named = F.when(good, writer).otherwise(F.raise_error(problem))
     records = {
-        name: judged.where((writer == name) if strict else (good & (writer == name)))
-        .withColumn("record", record)
-        .select(*kept, "record.*")
-        for name, record, _ in decoded
+        name: judged.where(named == name).withColumn("record", record).select(*kept, "record.*")
+        for name, (record, _) in decoded.items()
     }
     return records, judged.where(~good).select(*kept, "schema_id", "body", REASON)
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, TimestampType
 
 from ..functions.avro_schema import parsing_form
+from ..functions.parse import once
 from ..functions.text import has_keyword
 from ..operators.audit import audit_counts
 from ..operators.evolve import decode, encode_envelope, split_envelope
@@ -457,7 +458,7 @@ def _user_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = given.table(spark, sf_dir, "events").select(
         F.col("event_id").alias("offset"), schema_id.alias("schema_id"), body.alias("body")
     )
-    return encode_envelope(rows)
+    return encode_envelope(rows).select("offset", once(F.struct("value")))
 
 
 def _user_registry(spark: SparkSession) -> DataFrame:
