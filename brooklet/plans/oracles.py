@@ -90,6 +90,21 @@ FROM events GROUP BY ALL"""
 CLOSED_WINDOWS = f"""SELECT * FROM ({WINDOWS})
 WHERE end_ts <= (SELECT max(ts) FROM events) - INTERVAL 10 SECOND"""
 
+RICH = f"""{WITH_CHECKED}, known AS (
+  SELECT *, customer_id IN (SELECT c_custkey FROM customer) AS known_customer,
+         vendor_id IN (SELECT s_suppkey FROM supplier) AS known_vendor
+  FROM checked)
+SELECT date_trunc('minute', event_timestamp) AS start_ts,
+       date_trunc('minute', event_timestamp) + INTERVAL 1 MINUTE AS end_ts,
+       count(*) AS num_transactions,
+       CAST(sum(CAST(price AS DECIMAL(20,4))) AS DOUBLE) / count(price) AS avg_price,
+       count(*) FILTER (WHERE valid_record) AS num_valid,
+       count(*) FILTER (WHERE NOT valid_record) AS num_invalid,
+       count(*) FILTER (WHERE valid_record IS NULL) AS num_undecided,
+       count(*) FILTER (WHERE valid_record AND NOT known_customer) AS num_customer_orphans,
+       count(*) FILTER (WHERE valid_record AND NOT known_vendor) AS num_vendor_orphans
+FROM known GROUP BY ALL"""
+
 SCHEMA_ROWS = """
   SELECT p_partkey AS "offset", CAST(p_partkey % 7 + p_size * 2 AS INTEGER) AS id,
          p_type AS name, p_size AS version,
@@ -174,20 +189,7 @@ FROM checked GROUP BY ALL""",
     "transactions_enriched_simple": SIMPLE,
     "ops_metadata_1min": WINDOWS,
     "ops_metadata_simple": WINDOWS,
-    "ops_metadata_rich": f"""{WITH_CHECKED}, known AS (
-  SELECT *, customer_id IN (SELECT c_custkey FROM customer) AS known_customer,
-         vendor_id IN (SELECT s_suppkey FROM supplier) AS known_vendor
-  FROM checked)
-SELECT date_trunc('minute', event_timestamp) AS start_ts,
-       date_trunc('minute', event_timestamp) + INTERVAL 1 MINUTE AS end_ts,
-       count(*) AS num_transactions,
-       CAST(sum(CAST(price AS DECIMAL(20,4))) AS DOUBLE) / count(price) AS avg_price,
-       count(*) FILTER (WHERE valid_record) AS num_valid,
-       count(*) FILTER (WHERE NOT valid_record) AS num_invalid,
-       count(*) FILTER (WHERE valid_record IS NULL) AS num_undecided,
-       count(*) FILTER (WHERE valid_record AND NOT known_customer) AS num_customer_orphans,
-       count(*) FILTER (WHERE valid_record AND NOT known_vendor) AS num_vendor_orphans
-FROM known GROUP BY ALL""",
+    "ops_metadata_rich": RICH,
     "table_count_audit": f"""SELECT 'valid_transactions' AS table_name, count(*) AS num_rows FROM ({VALID})
 UNION SELECT 'invalid_transactions', count(*) FROM ({INVALID})
 UNION SELECT 'customer_orphans', count(*) FROM ({CUSTOMER_ORPHANS})
@@ -213,8 +215,7 @@ FROM events""",
     "keyword_lang_filter": f"""SELECT doc_id, lang, source FROM documents
 WHERE lang IN ({_quoted(LANGUAGES)})
   AND regexp_matches(text, '{"|".join(KEYWORDS)}', 'i')""",
-    "static_json_table": """SELECT n_nationkey AS state_id, n_name AS state_name,
-       'R' || n_regionkey AS state_abbreviation FROM nation""",
+    "static_json_table": CUSTOMERS,
     "upsert_latest": """SELECT user_id, event_id, event_type, value, ts FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id
   ORDER BY ts DESC, event_id DESC, event_type DESC, value DESC) = 1""",
@@ -316,6 +317,7 @@ FROM d""",
     "customers_stream": CUSTOMERS_ENRICHED,
     "vendors_stream": VENDORS,
     "ops_metadata_stream": WINDOWS,
+    "ops_metadata_rich_stream": RICH,
     "ops_metadata_append_stream": CLOSED_WINDOWS,
     "shared_pass_stream": f"""SELECT 'valid_transactions' AS table_name, count(*) AS num_rows FROM ({VALID})
 UNION SELECT 'invalid_transactions', count(*) FROM ({INVALID})

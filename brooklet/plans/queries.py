@@ -32,16 +32,17 @@ from ..operators.registry import (
 from ..operators.validate import UNDECIDED, validate, with_route
 from ..operators.windows import count_by_window, dedup_by_id
 from ..schemas import (
+    CUSTOMER,
     DOUBLE,
     INT,
     LONG,
     REGISTRY,
-    STATE,
     TABLES,
     TEXT,
     TIME,
     TRANSACTION,
     TRANSACTION_COLUMNS,
+    VENDOR,
     TableSpec,
     struct,
 )
@@ -266,10 +267,10 @@ def keyword_lang_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def static_json_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table written as JSON lines with a trailing comma each, read back as a static table."""
-    path = run_dir(spark, "states")
-    lines = given.states(spark, sf_dir).select(F.to_json(F.struct("*")).alias("value"))
+    path = run_dir(spark, "customer_lines")
+    lines = to_messages(given.customers(spark, sf_dir), None)
     lines.select(F.concat("value", F.lit(",")).alias("value")).write.text(path)
-    return json_file(spark, path)(STATE)
+    return plain_times(json_file(spark, path)(CUSTOMER))
 
 
 # -- keyed tables
@@ -583,6 +584,37 @@ def ops_metadata_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_full(spark, sf_dir, "transactions_operational_metadata")
 
 
+RICH_COUNT = TableSpec(
+    "rich_metadata",
+    struct(
+        start_ts=TIME,
+        end_ts=TIME,
+        num_transactions=LONG,
+        avg_price=DOUBLE,
+        num_valid=LONG,
+        num_invalid=LONG,
+        num_undecided=LONG,
+        num_customer_orphans=LONG,
+        num_vendor_orphans=LONG,
+    ),
+    ("start_ts",),
+    buckets=1,
+)
+
+
+def ops_metadata_rich_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = run_dir(spark, "rich")
+    upserts = UpsertTable(spark, f"{base}/counts", RICH_COUNT)
+    sources = _sources(spark, sf_dir)
+
+    def build() -> DataFrame:
+        stream = given.transaction_stream(spark, sf_dir)
+        return rich_metadata(stream, sources.customers(CUSTOMER), sources.vendors(VENDOR))
+
+    _run(spark, [Output(build, Sink(f"rich_{base[-8:]}", upsert_sink(upserts).writer))], base)
+    return plain_times(upserts.read())
+
+
 def shared_pass_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four outputs from one pass over the stream, counted."""
     base = run_dir(spark, "shared_pass")
@@ -766,6 +798,7 @@ QUERIES: dict[str, Query] = {
     "customers_stream": customers_stream,
     "vendors_stream": vendors_stream,
     "ops_metadata_stream": ops_metadata_stream,
+    "ops_metadata_rich_stream": ops_metadata_rich_stream,
     "ops_metadata_append_stream": ops_metadata_append_stream,
     "shared_pass_stream": shared_pass_stream,
     "simple_transactions_stream": simple_transactions_stream,

@@ -39,11 +39,18 @@ class NamedQuery:
         self.query: StreamingQuery | None = None
 
     def start(self) -> None:
+        self._start(self._available_now)
+
+    def _start(self, available_now: bool) -> None:
         writer = self._output.sink.writer(self._output.build(), self._checkpoint)
-        if self._available_now:
+        if available_now:
             writer = writer.trigger(availableNow=True)
         self.query = writer.queryName(self.name).start()
 
+    def catch_up(self) -> None:
+        """Starts a run that ends with the input that is there now."""
+        self._start(True)
+
     def stop(self) -> None:
         if self.query is not None:
             self.query.stop()
@@ -90,6 +97,17 @@ class QueryGroup:
         for query in self.queries.values():
             query.start()
 
+    def catch_up_and_start(self) -> None:
+        """Works off what is there in a run that ends, and then follows what comes."""
+        for step in self._before_start:
+            step()
+        for query in self.queries.values():
+            query.catch_up()
+        for query in self.queries.values():
+            query.query.awaitTermination()
+        for query in self.queries.values():
+            query.start()
+
     def stop(self) -> None:
         for query in self.queries.values():
             query.stop()

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from .upsert import UpsertTable, with_retries
+from .upsert import DIRECT, UpsertTable, with_retries
 
 TRANSACTION_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
@@ -31,12 +31,16 @@ def _trigger(writer: DataStreamWriter, seconds: float | None) -> DataStreamWrite
     return writer if seconds is None else writer.trigger(processingTime=f"{seconds} seconds")
 
 
+def query_id(batch: DataFrame) -> str:
+    """The id of the streaming query that a micro-batch belongs to; its checkpoint keeps it."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or DIRECT
+
+
 def upsert_sink(
     table: UpsertTable,
     name: str | None = None,
     retries: int = 1,
     trigger_seconds: float | None = None,
-    run: int = 0,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     before_retry: Callable[[], None] | None = None,
     output_mode: str = "update",
@@ -52,7 +56,8 @@ def upsert_sink(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch if prepare is None else prepare(batch)
-        with_retries(lambda: table.write_batch(rows, batch_id, run), retries, before_retry)
+        writer_id = query_id(batch)
+        with_retries(lambda: table.write_batch(rows, batch_id, writer_id), retries, before_retry)
 
     def writer(df: DataFrame, checkpoint: str) -> DataStreamWriter:
         base = df.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
@@ -66,7 +71,6 @@ def fan_out_sink(
     outputs: Mapping[str, tuple[Callable[[DataFrame], DataFrame], UpsertTable]],
     retries: int = 1,
     trigger_seconds: float | None = None,
-    run: int = 0,
 ) -> Sink:
     """Several keyed tables from one pass over the input.
 
@@ -75,12 +79,14 @@ def fan_out_sink(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        writer_id = query_id(batch)
         batch.persist()
         try:
             for derive, table in outputs.values():
                 rows = derive(batch)
                 with_retries(
-                    lambda rows=rows, table=table: table.write_batch(rows, batch_id, run), retries
+                    lambda rows=rows, table=table: table.write_batch(rows, batch_id, writer_id),
+                    retries,
                 )
         finally:
             batch.unpersist()

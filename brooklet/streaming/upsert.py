@@ -2,9 +2,13 @@
 
 Folders of a table::
 
-    log/run=<r>/batch_id=<n>/rejected=<bool>   one folder per micro-batch, as it came
-    snapshot/<id>/month=<m>/key_bucket=<b>     folded log, one row per key
-    commits/                                   which snapshots are current, and up to which batch
+    log/run=<r>/writer=<w>/batch_id=<n>/rejected=<bool>   one folder per micro-batch, as it came
+    snapshot/<id>/month=<m>/key_bucket=<b>                folded log, one row per key
+    commits/                     which snapshots are current, and up to which batch they go
+
+A run is a row of batches by one writer: a streaming query, known by the id that its checkpoint
+keeps, or a load. A query that starts over with an empty checkpoint has a new id and so begins a
+new run, which comes after all that is there. One writer is at work at a time.
 
 A micro-batch overwrites its own folder, so running it again changes nothing, and it costs no
 shuffle. Readers fold the log, and take from the base snapshot the rows that the log does not
@@ -27,11 +31,12 @@ from pyspark.sql.types import ArrayType, StructType
 from ..operators.latest import latest
 from ..schemas import BOOL, INT, LONG, TEXT, TableSpec, struct
 
-RUN, BATCH, REJECTED = "run", "batch_id", "rejected"
+RUN, WRITER, BATCH, REJECTED = "run", "writer", "batch_id", "rejected"
 MONTH, BUCKET = "month", "key_bucket"
-LOG_PARTITIONS = struct(run=INT, batch_id=LONG, rejected=BOOL)
+LOG_PARTITIONS = struct(run=INT, writer=TEXT, batch_id=LONG, rejected=BOOL)
 SNAPSHOT_PARTITIONS = struct(month=TEXT, key_bucket=INT)
 SNAPSHOT = struct(id=TEXT, keep_from=TEXT)
+DIRECT = "direct"
 COMMIT = struct(version=INT, base=SNAPSHOT, deltas=ArrayType(SNAPSHOT), run=INT, batch_id=LONG)
 
 
@@ -47,6 +52,16 @@ def read_if_present(
         return None
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any file system that Spark can write to; none if it is not there."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(place):
+        return []
+    return [entry.getPath().getName() for entry in system.listStatus(place)]
+
+
 def no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
     """An empty frame that the optimizer knows to be empty."""
     return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
@@ -81,23 +96,30 @@ class UpsertTable:
 
     # -- writing
 
-    def write_batch(self, batch: DataFrame, batch_id: int, run: int = 0) -> None:
+    def write_batch(self, batch: DataFrame, batch_id: int, writer: str = DIRECT) -> None:
         """Puts a micro-batch into the log. Rows without a whole key are kept apart as rejects.
 
-        ``run`` has to grow when a query starts over with a new checkpoint, because its batch
-        numbers start from 0 again.
+        A batch that its writer has written before is replaced, unless another writer came between.
         """
         no_key = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in self.spec.key))
         rows = batch.select(*self._typed_columns(batch), no_key.alias(REJECTED))
-        target = f"{self.path}/log/{RUN}={run}/{BATCH}={batch_id}"
+        run = f"{RUN}={self._run_of(writer)}/{WRITER}={writer}"
         # Static, so that nothing of an earlier attempt at this batch stays.
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        writer.partitionBy(REJECTED).parquet(target)
-
-    def load(self, rows: DataFrame, run: int = 0) -> None:
-        """Puts a static frame into the log, as the batch after the last one of the run."""
-        last = self._log().where(F.col(RUN) == run).agg(F.max(BATCH)).first()[0]
-        self.write_batch(rows, 0 if last is None else last + 1, run)
+        target = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        target.partitionBy(REJECTED).parquet(f"{self.path}/log/{run}/{BATCH}={batch_id}")
+
+    def load(self, rows: DataFrame) -> None:
+        """Puts a static frame into the log, as a run of its own."""
+        self.write_batch(rows, 0, f"load-{uuid.uuid4().hex}")
+
+    def _run_of(self, writer: str) -> int:
+        """The newest run if it is this writer's, else the next one."""
+        runs = [int(name.partition("=")[2]) for name in children(self.spark, f"{self.path}/log")]
+        if not runs:
+            return 0
+        newest = max(runs)
+        writers = children(self.spark, f"{self.path}/log/{RUN}={newest}")
+        return newest if f"{WRITER}={writer}" in writers else newest + 1
 
     def _typed_columns(self, df: DataFrame) -> list:
         return [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.spec.schema]
@@ -164,7 +186,7 @@ class UpsertTable:
 
     def _versions(self, snapshots: Sequence[Snapshot], log: DataFrame) -> DataFrame:
         """All versions in the snapshots, from old to new, and in the log."""
-        parts = [self._with_layout(log.drop(REJECTED))]
+        parts = [self._with_layout(log.drop(WRITER, REJECTED))]
         for age, snapshot in enumerate(snapshots):
             # Snapshots are older than any batch in the log, whose runs start from 0.
             behind = F.lit(age - len(snapshots))

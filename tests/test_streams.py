@@ -121,6 +121,21 @@ def test_restart_goes_on_where_it_stopped(spark, tmp_path):
     assert sorted((r["batch_id"], r["id"]) for r in log.collect()) == [(0, 1), (0, 2), (1, 2), (1, 3)]
 
 
+def test_new_checkpoint_replaces_nothing(spark, tmp_path):
+    write_pairs(spark, f"{tmp_path}/in", [(1, "a"), (2, "b")])
+    table, group = pair_group(spark, tmp_path)
+    group.start()
+    group.drain()
+    build = lambda: parquet_stream(spark, f"{tmp_path}/other")
+    write_pairs(spark, f"{tmp_path}/other", [(2, "c")])
+    other = QueryGroup(
+        spark, [Output(build, upsert_sink(table))], f"{tmp_path}/other_cp", available_now=True
+    )
+    other.start()
+    other.drain()
+    assert sorted(tuple(r) for r in table.read().collect()) == [(1, "a"), (2, "c")]
+
+
 def test_sink_writes_again_after_an_error(spark, tmp_path):
     write_pairs(spark, f"{tmp_path}/in", [(1, "a")])
     calls, renewed = [], []

@@ -83,10 +83,31 @@ def test_same_id_at_another_time_is_another_key(spark, tmp_path):
     assert table.read().count() == 3
 
 
-def test_new_run_wins_over_the_old_one(spark, tmp_path):
+def test_another_writer_begins_a_new_run(spark, tmp_path):
     table = UpsertTable(spark, str(tmp_path), SPEC)
-    table.write_batch(batch(spark, [(1, "a", 1)]), 5, run=0)
-    table.write_batch(batch(spark, [(1, "b", 1)]), 0, run=1)
+    table.load(batch(spark, [(1, "seed", 1), (2, "seed", 1)]))
+    table.write_batch(batch(spark, [(1, "a", 1)]), 5, "first")
+    assert content(table) == {1: ("a", 1), 2: ("seed", 1)}
+    # A query with a new checkpoint counts from 0 again and replaces nothing.
+    table.write_batch(batch(spark, [(1, "b", 1)]), 0, "second")
+    table.write_batch(batch(spark, [(3, "c", 1)]), 0, "second")
+    assert content(table) == {1: ("a", 1), 2: ("seed", 1), 3: ("c", 1)}
+    table.load(batch(spark, [(3, "d", 1)]))
+    table.write_batch(batch(spark, [(2, "e", 1)]), 1, "second")
+    assert content(table) == {1: ("a", 1), 2: ("e", 1), 3: ("d", 1)}
+    table.compact()
+    table.write_batch(batch(spark, [(2, "f", 1)]), 1, "second")
+    table.compact(full=True, settled=True)
+    assert content(table) == {1: ("a", 1), 2: ("f", 1), 3: ("d", 1)}
+
+
+def test_empty_batches_keep_their_run(spark, tmp_path):
+    table = UpsertTable(spark, str(tmp_path), SPEC)
+    table.write_batch(batch(spark, []), 0, "w")
+    table.write_batch(batch(spark, [(1, "a", 1)]), 1, "w")
+    assert spark.read.parquet(f"{tmp_path}/log").first()["run"] == 0
+    table.load(batch(spark, []))
+    table.write_batch(batch(spark, [(1, "b", 1)]), 2, "w")
     assert content(table) == {1: ("b", 1)}
 
 
