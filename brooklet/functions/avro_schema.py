@@ -9,6 +9,7 @@ from typing import Any
 
 import pandas as pd
 from pyspark import cloudpickle
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BinaryType,
@@ -129,9 +130,7 @@ def canonical_form(avro_schema: str) -> str:
 
 
 @F.pandas_udf(StringType())
-def parsing_form(schemas: pd.Series) -> pd.Series:
-    """Canonical form per schema text; NULL where the text is not a schema."""
-
+def _parsing_form(schemas: pd.Series) -> pd.Series:
     def form(text: str | None) -> str | None:
         try:
             return None if text is None else canonical_form(text)
@@ -139,3 +138,9 @@ def parsing_form(schemas: pd.Series) -> pd.Series:
             return None
 
     return schemas.map(form)
+
+
+def parsing_form(schema: Column | str) -> Column:
+    """Canonical form per schema text; NULL where the text is not a schema."""
+    # Marked so that a later filter on the form does not compute it a second time.
+    return _parsing_form.asNondeterministic()(schema)

@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SALT = "_salt"
-SALTS = 8
 SMALL_ROWS = 10_000
+FEWEST_SALTS, MOST_SALTS = 8, 64
 
 
 def is_small(dim: DataFrame, rows: int = SMALL_ROWS) -> bool:
@@ -21,12 +21,18 @@ def is_small(dim: DataFrame, rows: int = SMALL_ROWS) -> bool:
     return len(dim.select(F.lit(1)).take(rows + 1)) <= rows
 
 
+def default_salts(df: DataFrame) -> int:
+    """A sixteenth of the shuffle's tasks, within bounds: the static table is repeated as often."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(MOST_SALTS, max(FEWEST_SALTS, tasks // 16))
+
+
 def join_static(
     df: DataFrame,
     side: DataFrame,
     key: str,
     how: str,
-    salts: int = SALTS,
+    salts: int | None = None,
     spread: Sequence[str] | None = None,
 ) -> DataFrame:
     """Joins rows to a static table that holds each key once.
@@ -36,6 +42,7 @@ def join_static(
     """
     if is_small(side):
         return df.join(F.broadcast(side), key, how)
+    salts = salts or default_salts(df)
     spread = spread or [c for c in df.columns if c != key]
     if salts == 1 or not spread:
         return df.join(side, key, how)
@@ -50,7 +57,7 @@ def enrich(
     key: str,
     columns: Mapping[str, str | Column],
     how: str = "left_outer",
-    salts: int = SALTS,
+    salts: int | None = None,
     spread: Sequence[str] | None = None,
 ) -> DataFrame:
     """Adds columns of the row of ``dim`` with the same key; ``dim`` holds a key once.
@@ -69,7 +76,7 @@ def mark_known(
     dim: DataFrame,
     key: str,
     name: str,
-    salts: int = SALTS,
+    salts: int | None = None,
     spread: Sequence[str] | None = None,
 ) -> DataFrame:
     """Adds a flag: does ``dim`` hold the key of the row? False for rows without a key."""

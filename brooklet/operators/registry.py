@@ -120,12 +120,21 @@ def match_schemas(schemas: DataFrame, registry: DataFrame) -> DataFrame:
 def next_id(registry: DataFrame, column: str = "id") -> DataFrame:
     """The smallest free non-negative id, as one row ``next_id``.
 
-    That is 0, or the successor of a used id, so no range of numbers has to be listed.
+    That is 0, or the successor of a used id, so no range of numbers has to be listed: each id
+    names itself as used and its successor as a candidate, in one aggregation.
     """
-    used = registry.select(F.col(column).alias("used")).where(F.col(column) >= 0).distinct()
-    zero = registry.sparkSession.range(1).select(F.col("id").cast("int").alias("used"))
-    candidates = used.select((F.col("used") + 1).alias("used")).union(zero)
-    return candidates.join(used, "used", "left_anti").agg(F.min("used").cast("int").alias("next_id"))
+    key = F.col(column).cast("bigint")
+    named = registry.where(key >= 0).select(
+        F.inline(
+            F.array(
+                F.struct(key.alias("number"), F.lit(True).alias("used")),
+                F.struct((key + 1).alias("number"), F.lit(False).alias("used")),
+            )
+        )
+    )
+    zero = registry.sparkSession.range(1).select(F.col("id").alias("number"), F.lit(False).alias("used"))
+    numbers = named.union(zero).groupBy("number").agg(F.max("used").alias("used"))
+    return numbers.where(~F.col("used")).agg(F.min("number").cast("int").alias("next_id"))
 
 
 def register_schema(

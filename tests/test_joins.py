@@ -90,6 +90,16 @@ def test_orphan_keys_are_distinct_before_the_shuffle(spark, monkeypatch):
     assert plan.index("LeftAnti") < plan.index("Aggregate [key")
 
 
+def test_salts_follow_the_width_of_the_shuffle(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for tasks, salts in (("4", 8), ("400", 25), ("4000", 64)):
+            spark.conf.set("spark.sql.shuffle.partitions", tasks)
+            assert joins.default_salts(spark.range(1)) == salts
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_is_small(spark):
     assert is_small(spark.range(10), 10)
     assert not is_small(spark.range(11), 10)

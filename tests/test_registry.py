@@ -75,6 +75,14 @@ def test_parsing_form_of_bad_texts(spark):
     assert got == [None, None, None, None, '"int"']
 
 
+def test_a_filter_on_the_form_computes_it_once(spark):
+    rows = spark.createDataFrame([(1, '"int"'), (2, "{")], "id int, s string")
+    kept = rows.withColumn("form", parsing_form("s")).where("form IS NOT NULL")
+    assert [r["id"] for r in kept.collect()] == [1]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def messages(spark, records):
     rows = [(i, bytearray(json.dumps(r), "utf-8")) for i, r in enumerate(records)]
     return spark.createDataFrame(rows, "offset bigint, value binary")
