@@ -23,7 +23,6 @@ from dataclasses import dataclass, replace
 from functools import reduce
 from typing import Any
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
@@ -37,29 +36,27 @@ LOG_PARTITIONS = struct(run=INT, writer=TEXT, batch_id=LONG, rejected=BOOL)
 SNAPSHOT_PARTITIONS = struct(month=TEXT, key_bucket=INT)
 SNAPSHOT = struct(id=TEXT, keep_from=TEXT)
 DIRECT = "direct"
+Position = tuple[int, int]
+START: Position = (-1, -1)
 COMMIT = struct(version=INT, base=SNAPSHOT, deltas=ArrayType(SNAPSHOT), run=INT, batch_id=LONG)
 
 
+def children(spark: SparkSession, path: str) -> list[str] | None:
+    """Names in a folder of any file system that Spark can write to; None if it is not there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(place):
+        return None
+    return [entry.getPath().getName() for entry in system.listStatus(place)]
+
+
 def read_if_present(
     spark: SparkSession, path: str, schema: StructType, file_format: str = "parquet"
 ) -> DataFrame | None:
     """The files under a path, or None where there is no such path yet."""
-    try:
-        return spark.read.format(file_format).schema(schema).load(path)
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if children(spark, path) is None:
         return None
-
-
-def children(spark: SparkSession, path: str) -> list[str]:
-    """Names in a folder of any file system that Spark can write to; none if it is not there."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    place = hadoop.Path(path)
-    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not system.exists(place):
-        return []
-    return [entry.getPath().getName() for entry in system.listStatus(place)]
+    return spark.read.format(file_format).schema(schema).load(path)
 
 
 def no_rows(spark: SparkSession, schema: StructType) -> DataFrame:
@@ -82,8 +79,7 @@ class Commit:
     version: int = -1
     base: Snapshot | None = None
     deltas: tuple[Snapshot, ...] = ()
-    run: int = -1
-    batch_id: int = -1
+    upto: Position = START
 
 
 class UpsertTable:
@@ -114,10 +110,10 @@ class UpsertTable:
 
     def _run_of(self, writer: str) -> int:
         """The newest run if it is this writer's, else the next one."""
-        runs = [int(name.partition("=")[2]) for name in children(self.spark, f"{self.path}/log")]
-        if not runs:
+        names = children(self.spark, f"{self.path}/log")
+        if not names:
             return 0
-        newest = max(runs)
+        newest = max(int(name.partition("=")[2]) for name in names)
         writers = children(self.spark, f"{self.path}/log/{RUN}={newest}")
         return newest if f"{WRITER}={writer}" in writers else newest + 1
 
@@ -139,7 +135,7 @@ class UpsertTable:
             self._check_months()
             chosen.append(F.col(MONTH).isin(*months))
         commit = self.current_commit()
-        return self._merge(commit, self._log_after(commit), chosen)
+        return self._merge(commit, self._accepted(self._batches(commit.upto)), chosen)
 
     def _merge(self, commit: Commit, log: DataFrame, chosen: list[Column]) -> DataFrame:
         """Last rows of the snapshots and the log, where the conditions on the folders hold."""
@@ -156,7 +152,7 @@ class UpsertTable:
 
     def rejects(self) -> DataFrame:
         """Rows that came without a whole key."""
-        return self._log().where(F.col(REJECTED)).select(*self._names)
+        return self._read_log(self._batches()).where(F.col(REJECTED)).select(*self._names)
 
     def register_view(self, name: str | None = None) -> DataFrame:
         """The table as a frame and as a temporary view."""
@@ -168,21 +164,38 @@ class UpsertTable:
     def _names(self) -> list[str]:
         return self.spec.schema.fieldNames()
 
-    def _log(self) -> DataFrame:
+    def _batches(self, after: Position = START) -> list[tuple[Position, str]]:
+        """Positions and folders of the batches after another, from old to new.
+
+        Folders of earlier batches are not looked into, so the log may keep them.
+        """
+        log = f"{self.path}/log"
+        found = []
+        for run_name in children(self.spark, log) or []:
+            run = int(run_name.partition("=")[2])
+            if run < after[0]:
+                continue
+            for writer in children(self.spark, f"{log}/{run_name}") or []:
+                for name in children(self.spark, f"{log}/{run_name}/{writer}") or []:
+                    position = (run, int(name.partition("=")[2]))
+                    if position > after:
+                        found.append((position, f"{log}/{run_name}/{writer}/{name}"))
+        return sorted(found)
+
+    def _read_log(self, batches: list[tuple[Position, str]]) -> DataFrame:
         schema = StructType(self.spec.schema.fields + LOG_PARTITIONS.fields)
-        log = read_if_present(self.spark, f"{self.path}/log", schema)
-        return no_rows(self.spark, schema) if log is None else log
+        if not batches:
+            return no_rows(self.spark, schema)
+        reader = self.spark.read.schema(schema).option("basePath", f"{self.path}/log")
+        return reader.parquet(*[folder for _, folder in batches])
 
     def _snapshot(self, snapshot: Snapshot) -> DataFrame:
         schema = StructType(self.spec.schema.fields + SNAPSHOT_PARTITIONS.fields)
         rows = self.spark.read.schema(schema).parquet(f"{self.path}/snapshot/{snapshot.id}")
         return rows if snapshot.keep_from is None else rows.where(F.col(MONTH) >= snapshot.keep_from)
 
-    def _log_after(self, commit: Commit) -> DataFrame:
-        newer = (F.col(RUN) > commit.run) | (
-            (F.col(RUN) == commit.run) & (F.col(BATCH) > commit.batch_id)
-        )
-        return self._log().where(newer & ~F.col(REJECTED))
+    def _accepted(self, batches: list[tuple[Position, str]]) -> DataFrame:
+        return self._read_log(batches).where(~F.col(REJECTED))
 
     def _versions(self, snapshots: Sequence[Snapshot], log: DataFrame) -> DataFrame:
         """All versions in the snapshots, from old to new, and in the log."""
@@ -239,7 +252,7 @@ class UpsertTable:
         row = commits.orderBy(F.col("version").desc()).first()
         base = None if row["base"] is None else Snapshot(*row["base"])
         deltas = tuple(Snapshot(*d) for d in row["deltas"])
-        return Commit(row["version"], base, deltas, row["run"], row["batch_id"])
+        return Commit(row["version"], base, deltas, (row["run"], row["batch_id"]))
 
     def compact(self, full: bool = False, settled: bool = False) -> Commit:
         """Folds the log into a snapshot and makes it current.
@@ -247,27 +260,17 @@ class UpsertTable:
         The usual run folds only what came since the last one, into a delta. A ``full`` run folds
         everything into a new base. The newest batch stays in the log, because a restarted query
         may write it again, unless the table is ``settled``: its query has ended for good. Folders
-        that are no longer needed stay until they are removed by hand; ``obsolete`` lists the
-        snapshots among them.
+        that are no longer needed stay until they are removed by hand; ``obsolete`` lists them.
         """
         before = self.current_commit()
-        upto = self._last_batch()
-        if upto is not None and not settled:
-            upto = self._last_batch(upto)
-        log = self._log_after(before)
-        if upto is None or upto <= (before.run, before.batch_id):
-            upto = (before.run, before.batch_id)
-            if not full or before.base is None:
-                return before
-        run, batch_id = upto
-        log = log.where(
-            (F.col(RUN) < run) | ((F.col(RUN) == run) & (F.col(BATCH) <= batch_id))
-        )
+        batches = self._batches(before.upto)
+        if not settled:
+            batches = batches[:-1]
+        if not batches and (not full or before.base is None):
+            return before
+        log = self._accepted(batches)
         full = full or before.base is None
-        if full:
-            rows = self._merge(before, log, [])
-        else:
-            rows = self._fold(self._versions((), log))
+        rows = self._merge(before, log, []) if full else self._fold(self._versions((), log))
         snapshot = Snapshot(uuid.uuid4().hex)
         self._write_snapshot(rows, snapshot)
         return self._write_commit(
@@ -275,20 +278,10 @@ class UpsertTable:
                 before,
                 base=snapshot if full else before.base,
                 deltas=() if full else (*before.deltas, snapshot),
-                run=run,
-                batch_id=batch_id,
+                upto=batches[-1][0] if batches else before.upto,
             )
         )
 
-    def _last_batch(self, before: tuple[int, int] | None = None) -> tuple[int, int] | None:
-        """Run and number of the newest batch, or of the newest one before another."""
-        log = self._log()
-        if before is not None:
-            run, batch_id = before
-            log = log.where((F.col(RUN) < run) | ((F.col(RUN) == run) & (F.col(BATCH) < batch_id)))
-        newest = log.agg(F.max(F.struct(RUN, BATCH)).alias("newest")).first()["newest"]
-        return None if newest is None else (newest[RUN], newest[BATCH])
-
     def _write_snapshot(self, rows: DataFrame, snapshot: Snapshot) -> None:
         # Few files per folder, and big folders split over several tasks.
         laid_out = self._with_layout(rows).hint("rebalance", MONTH, BUCKET)
@@ -302,13 +295,13 @@ class UpsertTable:
             return snapshot.id, snapshot.keep_from
 
         base = None if commit.base is None else plain(commit.base)
-        row = (commit.version, base, [plain(d) for d in commit.deltas], commit.run, commit.batch_id)
+        row = (commit.version, base, [plain(d) for d in commit.deltas], *commit.upto)
         one = self.spark.createDataFrame([row], COMMIT)
         one.coalesce(1).write.mode("append").json(f"{self.path}/commits")
         return commit
 
     def obsolete(self) -> list[str]:
-        """Snapshot folders that the current commit does not name."""
+        """Folders that the current commit does not need: old snapshots and folded batches."""
         commits = self._commits()
         if commits is None:
             return []
@@ -316,7 +309,10 @@ class UpsertTable:
         named = commits.select(F.explode("deltas").alias("s")).union(commits.select("base"))
         current = {s.id for s in (now.base, *now.deltas) if s is not None}
         ids = [r["id"] for r in named.select("s.id").distinct().collect()]
-        return [f"{self.path}/snapshot/{i}" for i in ids if i is not None and i not in current]
+        snapshots = [f"{self.path}/snapshot/{i}" for i in ids if i is not None and i not in current]
+        # Rejects are not folded and stay.
+        folded = [folder for position, folder in self._batches() if position <= now.upto]
+        return snapshots + [f"{folder}/{REJECTED}=false" for folder in folded]
 
     # -- moving old months away
 
@@ -329,7 +325,7 @@ class UpsertTable:
         """
         self._check_months()
         commit = self.compact(settled=settled)
-        old = self._merge(commit, self._log().limit(0), [F.col(MONTH) < before])
+        old = self._merge(commit, self._accepted([]), [F.col(MONTH) < before])
         # The folder of an offload that broke off before its commit is written anew.
         laid_out = self._with_layout(old).drop(BUCKET).hint("rebalance", MONTH)
         laid_out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(

@@ -139,7 +139,7 @@ def test_compaction_leaves_the_newest_batch_in_the_log(spark, tmp_path):
     assert table.compact().version == -1
     table.write_batch(batch(spark, [(1, "b", 1)]), 1)
     commit = table.compact()
-    assert (commit.version, commit.batch_id) == (0, 0)
+    assert (commit.version, commit.upto) == (0, (0, 0))
     # The newest batch comes again with other rows, as after a change of a static table.
     table.write_batch(batch(spark, [(1, "c", 1)]), 1)
     assert content(table) == {1: ("c", 1)}
@@ -148,9 +148,13 @@ def test_compaction_leaves_the_newest_batch_in_the_log(spark, tmp_path):
     assert len(later.deltas) == 1 and later.base == commit.base
     assert content(table) == {1: ("c", 1), 2: ("d", 1)}
     full = table.compact(full=True)
+    log = f"{tmp_path}/log/run=0/writer=direct"
     assert set(table.obsolete()) == {
-        f"{tmp_path}/snapshot/{s.id}" for s in (commit.base, *later.deltas)
+        *(f"{tmp_path}/snapshot/{s.id}" for s in (commit.base, *later.deltas)),
+        *(f"{log}/batch_id={n}/rejected=false" for n in (0, 1)),
     }
+    # Folded batches are not read again: the table is whole without them.
+    (tmp_path / "log/run=0/writer=direct/batch_id=0/rejected=false").rename(tmp_path / "away")
     assert full.base not in (commit.base, None)
     assert content(table) == {1: ("c", 1), 2: ("d", 1)}
 
