@@ -8,14 +8,14 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..functions.avro_schema import READABLE_FROM, ReaderField, reader_fields, reader_struct
 from ..functions.envelope import body_of, bytes_to_id, seal
 from ..functions.parse import once
 from .enrich import join_static
-from .registry import get_schema
+from .registry import get_schema, list_schemas
 
 REASON = "reason"
 BAD_TEXT = "_corrupt_record"
@@ -166,21 +166,23 @@ def _with_bad_text(fields: list[ReaderField]):
 
 def decode_avro(
     messages: DataFrame, registry: DataFrame, name: str, reader_version: int
-) -> DataFrame:
-    """Avro binary bodies of one schema name, read as the given version; needs spark-avro.
+) -> tuple[DataFrame, DataFrame]:
+    """Avro binary bodies of one schema name, read as the given version, and all other messages.
 
-    One branch per writer version of the name, as the decoder takes its writer schema as a literal.
+    Needs spark-avro, whose decoder takes the writer schema as a literal. So there is one branch
+    per writer version of the name, and the schemas of the name are fetched to build the query.
     """
-    from pyspark.sql.avro.functions import from_avro
+    from pyspark.sql.avro import functions as avro
 
     reader = get_schema(registry, name=name, version=reader_version)["avro_schema"]
-    writers = registry.where(F.col("name") == name).select("id", "avro_schema").collect()
+    writers = list_schemas(registry, name=name).select("id", "avro_schema").collect()
     kept = [c for c in messages.columns if c != "value"]
     parts = split_envelope(messages)
-    branches = [
-        parts.where(F.col("schema_id") == w["id"])
-        .select(*kept, from_avro("body", w["avro_schema"], {"avroSchema": reader}).alias("record"))
-        .select(*kept, "record.*")
-        for w in writers
-    ]
-    return reduce(DataFrame.unionByName, branches)
+
+    def read(writer: Row) -> DataFrame:
+        record = avro.from_avro(F.col("body"), writer["avro_schema"], {"avroSchema": reader})
+        own = parts.where(F.col("schema_id") == writer["id"])
+        return own.select(*kept, record.alias("record")).select(*kept, "record.*")
+
+    known = F.coalesce(F.col("schema_id").isin(*[w["id"] for w in writers]), F.lit(False))
+    return reduce(DataFrame.unionByName, map(read, writers)), parts.where(~known)

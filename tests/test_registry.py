@@ -277,3 +277,24 @@ def test_big_registry_joins_without_broadcast(spark, monkeypatch):
     monkeypatch.setattr(enrich, "is_small", lambda side: False)
     good, bad = outcome(spark, 2)
     assert sorted(good) == [1, 2] and sorted(bad) == [0, 3, 4, 5, 6]
+
+
+def test_avro_bodies_take_one_branch_per_writer(spark, monkeypatch):
+    """The branches and the rest, with a JSON decoder in the place of the Avro one."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.avro import functions as avro
+
+    from brooklet.functions.avro_schema import reader_struct
+    from brooklet.operators.evolve import decode_avro
+
+    seen = []
+
+    def from_json(body, writer, options):
+        seen.append(writer)
+        return F.from_json(body.cast("string"), reader_struct(reader_fields(options["avroSchema"])))
+
+    monkeypatch.setattr(avro, "from_avro", from_json)
+    records, others = decode_avro(sealed(spark, BODIES[:4]), registry_of(spark, USERS), "user", 3)
+    assert sorted(seen) == sorted([V1, V2, V3])
+    assert sorted(r["offset"] for r in records.collect()) == [0, 1, 2]
+    assert [(r["offset"], r["schema_id"]) for r in others.collect()] == [(3, 9)]

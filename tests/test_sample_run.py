@@ -218,4 +218,4 @@ def test_create_sink_rejects_other_modes(spark, tmp_path):
     with pytest.raises(ValueError):
         create_sink("csv", "update", "x", "y")
     with pytest.raises(ValueError):
-        create_sink("kudzu", "update")
+        create_sink("nowhere", "update")

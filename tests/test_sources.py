@@ -112,8 +112,8 @@ def test_nth_field(spark):
 
 
 def test_keywords(spark):
-    rows = spark.createDataFrame([("My NOTE8 broke",), ("a phone",), (None,)], "t string")
-    assert [r[0] for r in rows.select(has_keyword("t", ["iphonex", "Note8"])).collect()] == [True, False, None]
+    rows = spark.createDataFrame([("My KETTLE broke",), ("a lamp",), (None,)], "t string")
+    assert [r[0] for r in rows.select(has_keyword("t", ["toaster", "Kettle"])).collect()] == [True, False, None]
     with pytest.raises(ValueError):
         has_keyword("t", [])
 
