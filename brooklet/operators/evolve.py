@@ -56,7 +56,7 @@ def resolve(
     fields whether the writer has it. A field the writer lacks needs a default; ``fill_nullable``
     lets nullable fields do without. Types may widen.
     """
-    problems, has = [F.lit(None).cast("string")], []
+    problems, has = [F.when(written.isNull(), F.lit("writer schema is not a record"))], []
     for f in fields:
         present = F.map_contains_key(written, f.name)
         has.append(present)

@@ -247,6 +247,15 @@ def test_several_names_in_one_log(spark):
     assert [tuple(r)[0::3] for r in rejects.collect()] == [(8, "no reader version")]
 
 
+@pytest.mark.parametrize("schema", ['"string"', "{", '{"type": "enum", "name": "e", "symbols": ["A"]}'])
+def test_writer_schema_that_is_no_record(spark, schema):
+    rows = [(1, "user", 1, schema, None), (7, "user", 3, V3, None)]
+    registry = spark.createDataFrame(rows, REGISTRY)
+    records, rejects = decode(sealed(spark, BODIES[:1]), registry, {"user": 3})
+    assert records["user"].count() == 0
+    assert rejects.first()["reason"] == "writer schema is not a record"
+
+
 def test_strict_mode_fails(spark):
     registry = registry_of(spark, USERS)
     records, _ = decode(sealed(spark, BODIES[1:3]), registry, {"user": 2}, strict=True)
