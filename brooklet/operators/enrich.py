@@ -12,13 +12,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SALT = "_salt"
-SMALL_ROWS = 10_000
+SMALL_ROWS, SMALL_BYTES = 10_000, 32 * 2**20
 FEWEST_SALTS, MOST_SALTS = 8, 64
 
 
-def is_small(dim: DataFrame, rows: int = SMALL_ROWS) -> bool:
-    """True for a static table of at most ``rows`` rows; reads no more than it takes to know."""
-    return len(dim.select(F.lit(1)).take(rows + 1)) <= rows
+def is_small(side: DataFrame, rows: int = SMALL_ROWS, size: int = SMALL_BYTES) -> bool:
+    """True for a static table within both bounds, by measuring its rows.
+
+    Reads no more rows than it takes to know; only their widths come to the driver.
+    """
+    width = F.octet_length(F.to_json(F.struct(*side.columns))).alias("width")
+    widths = side.select(width).take(rows + 1)
+    return len(widths) <= rows and sum(w["width"] for w in widths) <= size
 
 
 def default_salts(df: DataFrame) -> int:

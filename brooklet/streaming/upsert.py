@@ -259,8 +259,9 @@ class UpsertTable:
 
         The usual run folds only what came since the last one, into a delta. A ``full`` run folds
         everything into a new base. The newest batch stays in the log, because a restarted query
-        may write it again, unless the table is ``settled``: its query has ended for good. Folders
-        that are no longer needed stay until they are removed by hand; ``obsolete`` lists them.
+        may write it again, unless the table is ``settled``: its query has ended for good. A query
+        may go on writing meanwhile, but only one compaction runs at a time. Folders that are no
+        longer needed stay until they are removed by hand; ``obsolete`` lists them.
         """
         before = self.current_commit()
         batches = self._batches(before.upto)

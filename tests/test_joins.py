@@ -105,6 +105,9 @@ def test_is_small(spark):
     assert not is_small(spark.range(11), 10)
     assert is_small(spark.range(0))
     assert not is_small(spark.range(100_000))
+    wide = spark.range(5000).select("id", F.repeat(F.lit("x"), 10_000).alias("text"))
+    assert not is_small(wide)
+    assert is_small(wide.select("id"))
 
 
 @pytest.mark.parametrize("time_slice", ["hour", "day", "minute"])
