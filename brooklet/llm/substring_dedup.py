@@ -276,7 +276,7 @@ def op1_substring_dedup(spark, sf_dir: str) -> DataFrame:
 # Windows as arrays of words: for tables that one machine holds.
 OP1_SQL = r"""
 WITH t AS (
-  SELECT doc_id, row_number() OVER () AS r, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS ws
+  SELECT doc_id, row_number() OVER () AS r, [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS ws
   FROM documents),
 w AS (
   SELECT r, p, md5(array_to_string(ws[p:p + 34], ' ')) AS h
@@ -286,7 +286,7 @@ g AS (SELECT DISTINCT r, unnest(range(p, p + 35)) AS i FROM w JOIN d USING (h)),
 k AS (SELECT r, list(i) AS gone FROM g GROUP BY r),
 o AS (
   SELECT doc_id, len(ws) AS n_words, coalesce(len(gone), 0) AS n_removed,
-    CASE WHEN gone IS NULL THEN ws ELSE list_transform(list_filter(list_zip(ws, range(1, len(ws) + 1)), x -> NOT list_contains(gone, x[2])), x -> x[1]) END AS left_over
+    CASE WHEN gone IS NULL THEN ws ELSE [ws[j] FOR j IN range(1, len(ws) + 1) IF NOT list_contains(gone, j)] END AS left_over
   FROM t LEFT JOIN k USING (r))
 SELECT doc_id, n_words, n_removed, sha256(coalesce(array_to_string(left_over, ' '), '')) AS kept_sha256 FROM o
 """
