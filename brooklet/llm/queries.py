@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from brooklet.llm.decontaminate import op6_benchmark_decontamination
+from brooklet.llm.jaccard_join import OP2_SQL, op2_ngram_jaccard_join
 from brooklet.llm.substring_dedup import OP1_SQL, op1_substring_dedup
 
 LLM_QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
 }
 
 LLM_ORACLES: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
+    "op2_ngram_jaccard_join": OP2_SQL,
 }
