@@ -174,12 +174,16 @@ def similar_components(docs: DataFrame, key: str = "doc_id", size: int = WORDS,
     joined = written(buckets.select("class").distinct(), "op2-joined")
     one = documents.groupBy("class").agg(F.min("rid").alias("rid"), F.first("parts").alias("parts"))
     one = written(one.join(joined, "class"), "op2-classes")
-    texts = source.select("rid", "text").join(one.select("rid", "class").hint("shuffle_hash"), "rid").dropDuplicates(["class"])
-    sets = written(texts.select("class", "text").mapInArrow(lambda it: _set_rows(it, size), "class long, shingles array<long>"), "op2-sets")
     parts = one.select("class", "parts")
 
+    def sets_of(classes: DataFrame) -> DataFrame:
+        """Whole sets, of one text each."""
+        texts = source.select("rid", "text").join(one.join(classes, "class").select("rid", "class").hint("shuffle_hash"), "rid").dropDuplicates(["class"])
+        return written(texts.select("class", "text").mapInArrow(lambda it: _set_rows(it, size), "class long, shingles array<long>"), "op2-sets")
+
     member = None  # (class, label) once there are links
     tried = None
+    sets = None
     for step in range(PIVOT_ROUNDS + 1):
         live = buckets.withColumn("label", F.col("class"))
         if member is not None:
@@ -209,7 +213,9 @@ def similar_components(docs: DataFrame, key: str = "doc_id", size: int = WORDS,
         apart = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
         both = pairs.join(parts.select(F.col("class").alias("a"), F.col("parts").alias("pa")), "a").join(parts.select(F.col("class").alias("b"), F.col("parts").alias("pb")), "b")
         total = F.aggregate("pa", F.lit(0), lambda s, x: s + x) + F.aggregate("pb", F.lit(0), lambda s, x: s + x)
-        both = both.where(apart <= total - 2 * F.ceil(F.lit(percent) * total / F.lit(100 + percent))).select("a", "b")
+        both = written(both.where(apart <= total - 2 * F.ceil(F.lit(percent) * total / F.lit(100 + percent))).select("a", "b"), "op2-candidates")
+        needed = both.select(F.col("a").alias("class")).unionByName(both.select(F.col("b").alias("class"))).distinct()
+        sets = sets_of(needed) if sets is None else sets.unionByName(sets_of(needed.join(sets.select("class"), "class", "left_anti")))
         both = both.join(sets.select(F.col("class").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("class").alias("b"), F.col("shingles").alias("sb")), "b")
         common = F.size(F.array_intersect("sa", "sb"))
         union = F.size("sa") + F.size("sb") - common
