@@ -9,6 +9,7 @@ prefix shingles, each pair at most once, and compared by their whole sets.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -20,10 +21,14 @@ from brooklet.llm.components import components
 WORDS = 5
 PERCENT = 80
 #: Frequent shingles that the order knows by their count; the others count as rare. Any order gives
-#: the same result, this one only sets its cost, so the bound is one of memory: 3 MB.
-FREQUENT = 200_000
-#: Rounds with one pivot per shingle before the classes that are still apart are all compared.
-PIVOT_ROUNDS = 8
+#: the same result, this one only sets its cost, so the bound is one of memory: 20 MB.
+FREQUENT = 1_000_000
+#: Shingles that a task counts at once for that order.
+COUNTED = 6_000_000
+#: A shingle with more pairs that are not known to be connected, as a multiple of its classes, takes a
+#: round with one pivot first; after so many rounds all classes that are still apart are compared.
+CROWDED = 32
+PIVOT_ROUNDS = 3
 #: Parts of the hash range by which the suffix filter compares two sets.
 PARTS = 8
 
@@ -55,11 +60,20 @@ def _shingles(offsets: np.ndarray, data: np.ndarray, size: int) -> tuple[np.ndar
 
 
 def _count_rows(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Shingles that several of a task's documents in a row have, with the number of these."""
+    held: list[np.ndarray] = []
+
+    def counts() -> pa.RecordBatch:
+        found, n = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint64), return_counts=True)
+        held.clear()
+        return pa.RecordBatch.from_arrays([pa.array(found[n > 1].view(np.int64)), pa.array(n[n > 1])], names=["shingle", "n"])
+
     for batch in batches:
         for _, offsets, data in chunks(column(batch, "text")):
-            found, n = np.unique(_shingles(offsets, data, size)[1], return_counts=True)
-            found, n = found[n > 1], n[n > 1]
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], names=["shingle", "n"])
+            held.append(_shingles(offsets, data, size)[1])
+            if sum(map(len, held)) >= COUNTED:
+                yield counts()
+    yield counts()
 
 
 class Order:
@@ -153,9 +167,10 @@ def similar_components(docs: DataFrame, key: str = "doc_id", size: int = WORDS,
     that repeat a key are documents of their own. An empty table gives an empty table; other
     columns are not read. Shingles and classes of equal sets are known by 64-bit hashes.
 
-    Links inside a group are not all listed: classes that are already connected are not compared
-    again. In each round one class of every shingle is compared with the others; when few pairs are
-    left apart, all of them are compared. No pair that could link is left out.
+    Links inside a group are not all listed: classes known to be connected are not compared again.
+    The classes of a shingle are all compared, unless there are many pairs among them; then one of
+    them, another one in each round, is compared with the rest, until few pairs are left that are
+    not known to be connected, and these are all compared. No pair that could link is left out.
     """
     spark = docs.sparkSession
     source = docs.select(F.col(key).cast("long").alias("key"), F.col("text").cast("string").alias("text"))
@@ -181,54 +196,54 @@ def similar_components(docs: DataFrame, key: str = "doc_id", size: int = WORDS,
         texts = source.select("rid", "text").join(one.join(classes, "class").select("rid", "class").hint("shuffle_hash"), "rid").dropDuplicates(["class"])
         return written(texts.select("class", "text").mapInArrow(lambda it: _set_rows(it, size), "class long, shingles array<long>"), "op2-sets")
 
-    member = None  # (class, label) once there are links
-    tried = None
-    sets = None
+    live = buckets.withColumn("label", F.col("class"))
+    rounds: list[DataFrame] = []
+    tried = sets = member = None
     for step in range(PIVOT_ROUNDS + 1):
-        live = buckets.withColumn("label", F.col("class"))
-        if member is not None:
-            live = buckets.join(member, "class", "left").withColumn("label", F.coalesce("label", "class"))
         per = live.groupBy("shingle", "label").agg(F.count("*").alias("c")).groupBy("shingle").agg(F.sum("c").alias("all"), F.sum(F.col("c") * F.col("c")).alias("own"), F.count("*").alias("labels"))
-        per = per.where("labels > 1").select("shingle", "all", ((F.col("all") * F.col("all") - F.col("own")) / 2).alias("apart"))
-        live = written(live.join(written(per, "op2-open"), "shingle"), "op2-live")
-        state = live.groupBy("shingle").agg(F.first("apart").alias("apart"), F.first("all").alias("all")).agg(F.coalesce(F.sum("apart"), F.lit(0.0)).alias("apart"), F.coalesce(F.sum("all"), F.lit(0)).alias("rows")).first()
-        if not state["rows"]:
+        crowded = F.lit(step < PIVOT_ROUNDS) & (F.col("all") * F.col("all") - F.col("own") > 2 * CROWDED * F.col("all"))
+        per = written(per.where("labels > 1").select("shingle", crowded.alias("crowded")), "op2-open")
+        live = written(live.join(per, "shingle").select("shingle", "class", "n", "place", "label", "crowded"), "op2-live")
+        if live.isEmpty():
             break
-        last = step == PIVOT_ROUNDS or state["apart"] <= 2 * state["rows"]
-        side = live.select("shingle", "class", "n", "place", "label")
-        if last:
-            other = side
-            ordered = F.col("x.class") < F.col("y.class")
-        else:
-            pivot = F.min(F.struct(F.xxhash64("class", F.lit(step)).alias("h"), "class", "n", "place", "label"))
-            other = written(side.groupBy("shingle").agg(pivot.alias("p")).select("shingle", "p.class", "p.n", "p.place", "p.label"), "op2-pivots")
-            ordered = F.lit(True)
         least = F.ceil(F.lit(percent) * (F.col("x.n") + F.col("y.n")) / F.lit(100 + percent))  # common shingles that a link needs
         near = (F.lit(100) * F.least("x.n", "y.n") >= F.lit(percent) * F.greatest("x.n", "y.n")) & (F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place")) >= least)
-        pairs = side.alias("x").join(other.alias("y"), (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.label") != F.col("y.label")) & ordered & near)
-        pairs = pairs.select(F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b")).distinct()
+        apart = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.label") != F.col("y.label")) & near
+        few, many = live.where("NOT crowded"), live.where("crowded")
+        pivots = many.groupBy("shingle").agg(F.min(F.struct(F.xxhash64("class", F.lit(step)).alias("h"), "class", "n", "place", "label")).alias("p"))
+        pivots = written(pivots.select("shingle", "p.class", "p.n", "p.place", "p.label"), "op2-pivots")
+        pair = (F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b"))
+        pairs = few.alias("x").join(few.alias("y"), apart & (F.col("x.class") < F.col("y.class"))).select(*pair)
+        pairs = pairs.unionByName(many.alias("x").join(pivots.alias("y"), apart).select(*pair)).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = written(pairs, "op2-pairs")
-        apart = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
+        tried = pairs if tried is None else tried.unionByName(pairs)
+
         both = pairs.join(parts.select(F.col("class").alias("a"), F.col("parts").alias("pa")), "a").join(parts.select(F.col("class").alias("b"), F.col("parts").alias("pb")), "b")
+        differ = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
         total = F.aggregate("pa", F.lit(0), lambda s, x: s + x) + F.aggregate("pb", F.lit(0), lambda s, x: s + x)
-        both = written(both.where(apart <= total - 2 * F.ceil(F.lit(percent) * total / F.lit(100 + percent))).select("a", "b"), "op2-candidates")
+        both = written(both.where(differ <= total - 2 * F.ceil(F.lit(percent) * total / F.lit(100 + percent))).select("a", "b"), "op2-candidates")
         needed = both.select(F.col("a").alias("class")).unionByName(both.select(F.col("b").alias("class"))).distinct()
-        sets = sets_of(needed) if sets is None else sets.unionByName(sets_of(needed.join(sets.select("class"), "class", "left_anti")))
+        if sets is not None:
+            needed = written(needed.join(sets.select("class"), "class", "left_anti"), "op2-needed")
+        if sets is None or not needed.isEmpty():
+            sets = sets_of(needed) if sets is None else sets.unionByName(sets_of(needed))
         both = both.join(sets.select(F.col("class").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("class").alias("b"), F.col("shingles").alias("sb")), "b")
         common = F.size(F.array_intersect("sa", "sb"))
         union = F.size("sa") + F.size("sb") - common
-        links = written(both.select("a", "b", common.alias("i"), union.alias("u")).where(F.lit(100) * F.col("i") >= F.lit(percent) * F.col("u")).select("a", "b"), "op2-links")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        if not links.isEmpty():
-            if member is None:
-                member = components(links, "op2").select(F.col("node").alias("class"), "label")
-            else:
-                known = member.select(F.col("label").alias("a"), F.col("class").alias("b"))
-                member = components(links.unionByName(known), "op2").select(F.col("node").alias("class"), "label")
-        if last:
-            break
+        both = both.select("a", "b", common.alias("i"), union.alias("u"))
+        rounds.append(written(both.where(F.lit(100) * F.col("i") >= F.lit(percent) * F.col("u")).select("a", "b"), "op2-links"))
+
+        # Equal labels mean connected classes; the other way round holds only after the last round.
+        live = live.where("crowded").drop("crowded")
+        labels = live.select("class", "label").distinct()
+        ends = rounds[-1].unionByName(rounds[-1].select(F.col("b").alias("a"), F.col("a").alias("b")))
+        seen = ends.join(labels.select(F.col("class").alias("b"), "label"), "b").groupBy(F.col("a").alias("class")).agg(F.min("label").alias("near"))
+        live = live.join(seen, "class", "left").withColumn("label", F.least("label", F.coalesce("near", "label"))).drop("near")
+    links = reduce(DataFrame.unionByName, rounds) if rounds else None
+    if links is not None and not links.isEmpty():
+        member = components(links, "op2").select(F.col("node").alias("class"), "label")
 
     least = documents.where("n > 0").groupBy("class").agg(F.min("key").alias("least"))
     if member is not None:
