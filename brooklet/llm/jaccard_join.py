@@ -210,7 +210,9 @@ def similar_components(docs: DataFrame, key: str = "doc_id", size: int = WORDS,
         near = (F.lit(100) * F.least("x.n", "y.n") >= F.lit(percent) * F.greatest("x.n", "y.n")) & (F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place")) >= least)
         apart = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.label") != F.col("y.label")) & near
         few, many = live.where("NOT crowded"), live.where("crowded")
-        pivots = many.groupBy("shingle").agg(F.min(F.struct(F.xxhash64("class", F.lit(step)).alias("h"), "class", "n", "place", "label")).alias("p"))
+        # A class with many crowded shingles is near the middle of its group, and links with most of it.
+        many = many.join(many.groupBy("class").agg(F.count("*").alias("central")), "class")
+        pivots = many.groupBy("shingle").agg(F.max(F.struct("central", F.xxhash64("class", F.lit(step)).alias("h"), "class", "n", "place", "label")).alias("p"))
         pivots = written(pivots.select("shingle", "p.class", "p.n", "p.place", "p.label"), "op2-pivots")
         pair = (F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b"))
         pairs = few.alias("x").join(few.alias("y"), apart & (F.col("x.class") < F.col("y.class"))).select(*pair)
@@ -236,11 +238,14 @@ def similar_components(docs: DataFrame, key: str = "doc_id", size: int = WORDS,
         rounds.append(written(both.where(F.lit(100) * F.col("i") >= F.lit(percent) * F.col("u")).select("a", "b"), "op2-links"))
 
         # Equal labels mean connected classes; the other way round holds only after the last round.
+        # Two steps carry the smallest label to the pivot and from there to all that link with it.
         live = live.where("crowded").drop("crowded")
         labels = live.select("class", "label").distinct()
         ends = rounds[-1].unionByName(rounds[-1].select(F.col("b").alias("a"), F.col("a").alias("b")))
-        seen = ends.join(labels.select(F.col("class").alias("b"), "label"), "b").groupBy(F.col("a").alias("class")).agg(F.min("label").alias("near"))
-        live = live.join(seen, "class", "left").withColumn("label", F.least("label", F.coalesce("near", "label"))).drop("near")
+        for _ in range(2):
+            seen = ends.join(labels.select(F.col("class").alias("b"), "label"), "b").groupBy(F.col("a").alias("class")).agg(F.min("label").alias("near"))
+            labels = labels.join(seen, "class", "left").select("class", F.least("label", F.coalesce("near", "label")).alias("label"))
+        live = live.drop("label").join(written(labels, "op2-labels"), "class")
     links = reduce(DataFrame.unionByName, rounds) if rounds else None
     if links is not None and not links.isEmpty():
         member = components(links, "op2").select(F.col("node").alias("class"), "label")
