@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from brooklet.llm.decontaminate import op6_benchmark_decontamination
 from brooklet.llm.jaccard_join import OP2_SQL, op2_ngram_jaccard_join
+from brooklet.llm.sentence_pieces import op5_sentencepiece
 from brooklet.llm.substring_dedup import OP1_SQL, op1_substring_dedup
 from brooklet.llm.toxicity import op7_toxicity
 
 LLM_QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
+    "op5_sentencepiece": op5_sentencepiece,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_toxicity": op7_toxicity,
 }
