@@ -22,10 +22,10 @@ from brooklet.llm.common import column
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Characters of text that one walk of the trie takes at least; a longer text is a walk of its own.
-WALK_CHARS = 8 << 20
+WALK_CHARS = 4 << 20
 #: Pairs of pieces, and words, that a Python worker remembers, before it forgets them all.
-REMEMBERED = 1_000_000
-REMEMBERED_WORDS = 300_000
+REMEMBERED = 600_000
+REMEMBERED_WORDS = 200_000
 
 _walks: dict[str, Walk] = {}
 
@@ -43,6 +43,7 @@ class Vocabulary:
         pieces = [model.id_to_piece(i) for i in range(size)]
         odd = [model.is_control(i) or model.is_unknown(i) or model.is_unused(i) or model.is_byte(i) for i in range(size)]
         self.ids = {p: i for i, (p, o) in enumerate(zip(pieces, odd, strict=True)) if not o}
+        self.pieces = pieces
         self.scores = {p: model.get_score(i) for p, i in self.ids.items()}
         self.bytes = {b: model.piece_to_id(f"<0x{b:02X}>") for b in range(256)}
         self.unknown = model.unk_id()
@@ -51,9 +52,12 @@ class Vocabulary:
         self.texts = [b"" if i in control else back.get(i, p.replace(MARK, " ").encode()) for i, p in enumerate(pieces)]
         if any("\n" in p or MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("pieces must not hold line feeds, nor the mark but at their start")
-        self.longest: dict[str, int] = {}
+        lengths: dict[str, set[int]] = {}
         for p in self.ids:
-            self.longest[p[-2:]] = max(self.longest.get(p[-2:], 1), len(p))
+            if len(p) > 2:
+                lengths.setdefault(p[-3:], set()).add(len(p))
+        #: Lengths of the pieces with the same last three characters, longest first.
+        self.ends = {end: tuple(sorted(n, reverse=True)) for end, n in lengths.items()}
         self.name = f"{path}:{size}"
         self.run = max((len(p) for p in self.ids if not p.strip(MARK)), default=1)
 
@@ -63,8 +67,7 @@ class Walk:
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.whole: dict[str, bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.known: dict[str, list[int]] = {}
 
     def merged(self, text: str) -> list[str]:
@@ -80,18 +83,12 @@ class Walk:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def follows(self, a: str, b: str) -> bool:
-        found = self.pairs.get((a, b))
-        if found is None:
-            if len(self.pairs) > REMEMBERED:
-                self.pairs.clear()
-            found = self.pairs[a, b] = self.merged(a + b) == [a, b]
-        return found
-
-    def alone(self, a: str) -> bool:
-        found = self.whole.get(a)
-        if found is None:
-            found = self.whole[a] = self.merged(a) == [a]
+    def follows(self, a: int, b: int) -> bool:
+        """Whether merging the texts of two pieces gives these two; without a first one, whether it gives the second."""
+        if len(self.pairs) > REMEMBERED:
+            self.pairs.clear()
+        first = [self.v.pieces[a]] if a >= 0 else []
+        found = self.pairs[a << 32 | b] = self.merged("".join(first) + self.v.pieces[b]) == [*first, self.v.pieces[b]]
         return found
 
     def of_piece(self, piece: str) -> list[int]:
@@ -99,10 +96,14 @@ class Walk:
         return [known] if known is not None else [self.v.bytes.get(b, self.v.unknown) for b in piece.encode("utf-8", "surrogatepass")]
 
     def words(self, units: set[str]) -> dict[str, list[int]]:
-        """Ids of distinct units, in one depth-first walk."""
-        ids, longest, pairs = self.v.ids, self.v.longest, self.pairs
+        """Ids of distinct units, in one depth-first walk.
+
+        ``last`` and ``size`` are the forward table: the last piece of each prefix, -1 where that is
+        a character without a piece, and its length.
+        """
+        ids, ends, pairs, follows = self.v.ids, self.v.ends, self.pairs, self.follows
         out: dict[str, list[int]] = {}
-        last: list[str] = [""]
+        last, size = [-1], [0]
         before = ""
         for unit in sorted(units):
             shared = 0
@@ -110,25 +111,29 @@ class Walk:
                 if x != y:
                     break
                 shared += 1
-            del last[shared + 1 :]
+            del last[shared + 1 :], size[shared + 1 :]
             for i in range(shared + 1, len(unit) + 1):
-                for n in range(min(i, longest.get(unit[max(0, i - 2) : i], 1)), 1, -1):
-                    piece = unit[i - n : i]
-                    if piece in ids:
-                        if n == i:
-                            fits = self.alone(piece)
-                        elif (fits := pairs.get((last[i - n], piece))) is None:
-                            fits = self.follows(last[i - n], piece)
+                for n in (*ends.get(unit[max(0, i - 3) : i], ()), 2):
+                    if n <= i and (piece := ids.get(unit[i - n : i])) is not None:
+                        front = last[i - n]
+                        if (fits := pairs.get(front << 32 | piece)) is None:
+                            fits = follows(front, piece)
                         if fits:
                             last.append(piece)
+                            size.append(n)
                             break
                 else:
-                    last.append(unit[i - 1])
+                    last.append(ids.get(unit[i - 1], -1))
+                    size.append(1)
             found: list[int] = []
             at = len(unit)
             while at:
-                found[:0] = self.of_piece(last[at])
-                at -= len(last[at])
+                if last[at] >= 0:
+                    found.append(last[at])
+                else:
+                    found.extend(reversed(self.of_piece(unit[at - 1])))
+                at -= size[at]
+            found.reverse()
             out[unit] = found
             before = unit
         return out
@@ -199,8 +204,8 @@ def _decode_rows(batches: Iterator[pa.RecordBatch], texts: list[bytes]) -> Itera
         bounds, flat = ids.offsets.to_pylist(), ids.values.to_numpy()
         out = []
         for a, b in zip(bounds, bounds[1:], strict=False):
-            text = b"".join(map(texts.__getitem__, flat[a:b].tolist())).decode("utf-8", "replace")
-            out.append(text[1:] if text.startswith(" ") else text)
+            text = b"".join(map(texts.__getitem__, flat[a:b].tolist()))
+            out.append((text[1:] if text[:1] == b" " else text).decode("utf-8", "replace"))
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], names=[*batch.schema.names, "decoded"])
 
 
