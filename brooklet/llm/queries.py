@@ -5,6 +5,7 @@ from __future__ import annotations
 from brooklet.llm.decontaminate import op6_benchmark_decontamination
 from brooklet.llm.html_text import op10_html_extraction
 from brooklet.llm.jaccard_join import OP2_SQL, op2_ngram_jaccard_join
+from brooklet.llm.secrets import op9_secret_scans
 from brooklet.llm.sentence_pieces import op5_sentencepiece
 from brooklet.llm.substring_dedup import OP1_SQL, op1_substring_dedup
 from brooklet.llm.toxicity import op7_toxicity
@@ -15,6 +16,7 @@ LLM_QUERIES = {
     "op5_sentencepiece": op5_sentencepiece,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_toxicity": op7_toxicity,
+    "op9_secret_scans": op9_secret_scans,
     "op10_html_extraction": op10_html_extraction,
 }
 

@@ -83,3 +83,18 @@ def near_components(docs, words=5, percent=80):
         if key is not None:
             least[r] = min(key, least.get(r, key))
     return [(key, len(s), least.get(top(i))) for i, (key, s) in enumerate(sets)]
+
+
+SECRETS = (
+    ("assign", re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 2, 12),
+    ("access", re.compile(r"AKIA[A-Z0-9]+"), 0, 18),
+    ("hex", re.compile(r"[0-9a-f]+"), 0, 16),
+)
+
+
+def known_secrets(text):
+    """kind:start:end of the known forms, by start and kind."""
+    found = []
+    for k, (kind, pattern, group, least) in enumerate(SECRETS):
+        found += [(m.start(), k, f"{kind}:{m.start()}:{m.end()}") for m in pattern.finditer(text or "") if len(m[group]) >= least]
+    return [x[2] for x in sorted(found)]
