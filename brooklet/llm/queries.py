@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from brooklet.llm.decontaminate import op6_benchmark_decontamination
+from brooklet.llm.fingerprints import op3_document_fingerprints
 from brooklet.llm.html_text import op10_html_extraction
 from brooklet.llm.jaccard_join import OP2_SQL, op2_ngram_jaccard_join
 from brooklet.llm.secrets import op9_secret_scans
@@ -13,6 +14,7 @@ from brooklet.llm.toxicity import op7_toxicity
 LLM_QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
+    "op3_document_fingerprints": op3_document_fingerprints,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_toxicity": op7_toxicity,
