@@ -6,6 +6,7 @@ place. That depends on the k-mer alone, so an anchor stays one wherever its word
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from math import ceil, isqrt
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -73,9 +74,11 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).when(F.arrays_overlap(ha, hb), out).otherwise(F.lit(0.0))
 
 
-def with_next(docs: DataFrame, key: str, carried: list[str]) -> DataFrame:
+def with_next(docs: DataFrame, key: str, carried: list[str], made: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Adds ``next_`` columns: those of the next row by ``key``, after the last row of the first one.
 
+    ``made`` adds columns row by row once the rows are dealt out, so that only what it reads is shuffled.
+
     Rows are dealt out by ranges of the key; the first row of a range goes to the range before as
     well, as the end of it. Bounds of ranges are keys of rows, at most ``PARTS`` of them. Null keys
     come last; rows with equal keys are ordered by a hash of the text and the text.
@@ -101,11 +104,11 @@ def with_next(docs: DataFrame, key: str, carried: list[str]) -> DataFrame:
     here = F.struct(F.col("_part").alias("part"), F.lit(False).alias("extra"))
     there = F.struct(before.alias("part"), F.lit(True).alias("extra"))
     docs = docs.withColumn("_at", F.explode(F.when(first, F.array(here, there)).otherwise(F.array(here))))
-    ordered = Window.partitionBy("_at.part").orderBy("_at.extra", "_place", "_tie", "text")
-    docs = docs.withColumn("_tie", F.xxhash64("text"))
-    for c in carried:
-        docs = docs.withColumn(f"next_{c}", F.lead(c).over(ordered))
-    return docs.where("NOT _at.extra").drop("_place", "_row", "_in", "_part", "_at", "_tie")
+    docs = docs.withColumns({"_to": F.col("_at.part"), "_extra": F.col("_at.extra")}).drop("_row", "_in", "_part", "_at")
+    docs = made(docs.repartition("_to")).withColumn("_tie", F.xxhash64("text"))
+    ordered = Window.partitionBy("_to").orderBy("_extra", "_place", "_tie", "text")
+    docs = docs.withColumns({f"next_{c}": F.lead(c).over(ordered) for c in carried})
+    return docs.where("NOT _extra").drop("_place", "_to", "_extra", "_tie")
 
 
 def compare_with_next(docs: DataFrame) -> DataFrame:
@@ -120,7 +123,7 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     own next. An empty table gives an empty table; other columns are not read.
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    pairs = with_next(with_anchors(source, "text", "anchors"), "doc_id", ["text", "anchors"])
+    pairs = with_next(source, "doc_id", ["text", "anchors"], lambda df: with_anchors(df, "text", "anchors"))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     pairs = pairs.withColumn("n_chars", n.cast("long")).withColumn("edited", F.concat(F.left("text", n - half), F.left("next_text", half)))
