@@ -10,6 +10,7 @@ from brooklet.llm.secrets import op9_secret_scans
 from brooklet.llm.sentence_pieces import op5_sentencepiece
 from brooklet.llm.substring_dedup import OP1_SQL, op1_substring_dedup
 from brooklet.llm.toxicity import op7_toxicity
+from brooklet.llm.warc import OP8_SQL, op8_warc
 
 LLM_QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
@@ -18,6 +19,7 @@ LLM_QUERIES = {
     "op5_sentencepiece": op5_sentencepiece,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_toxicity": op7_toxicity,
+    "op8_warc": op8_warc,
     "op9_secret_scans": op9_secret_scans,
     "op10_html_extraction": op10_html_extraction,
 }
@@ -25,4 +27,5 @@ LLM_QUERIES = {
 LLM_ORACLES: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
     "op2_ngram_jaccard_join": OP2_SQL,
+    "op8_warc": OP8_SQL,
 }
