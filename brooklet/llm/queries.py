@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from brooklet.llm.chat_format import OP4_SQL, op4_chat_formatting
 from brooklet.llm.decontaminate import op6_benchmark_decontamination
 from brooklet.llm.fingerprints import op3_document_fingerprints
 from brooklet.llm.html_text import op10_html_extraction
@@ -16,6 +17,7 @@ LLM_QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_document_fingerprints": op3_document_fingerprints,
+    "op4_chat_formatting": op4_chat_formatting,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_toxicity": op7_toxicity,
@@ -27,5 +29,6 @@ LLM_QUERIES = {
 LLM_ORACLES: dict[str, str] = {
     "op1_substring_dedup": OP1_SQL,
     "op2_ngram_jaccard_join": OP2_SQL,
+    "op4_chat_formatting": OP4_SQL,
     "op8_warc": OP8_SQL,
 }

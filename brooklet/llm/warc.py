@@ -160,7 +160,7 @@ def write_archives(pages: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES
     none = F.lit(None)
     rows = source.select("place", none.cast("string").alias("sha1"), none.cast("long").alias("refers"), "page_id", "url", "html")
     rows = rows.unionByName(refers.select("place", "sha1", "refers", none.cast("long").alias("page_id"), none.cast("string").alias("url"), none.cast("string").alias("html")))
-    dealt = rows.mapInArrow(shard_of, "place long, sha1 string, refers long, page_id long, url string, html string, shard int").repartition("shard")
+    dealt = rows.mapInArrow(shard_of, "place long, sha1 string, refers long, page_id long, url string, html string, shard int").repartition(len(starts), "shard")
     dealt = dealt.sortWithinPartitions("shard", "place", F.col("sha1").isNull(), "sha1", F.coalesce("url", F.lit("")), F.coalesce("html", F.lit("")))
     fs, root = pafs.FileSystem.from_uri(folder)
     fs.create_dir(f"{root}/_temporary", recursive=True)
