@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from brooklet.llm.common import ALNUM, chunks, column, row_ranges, words
 
 WINDOW = 10
 #: Bytes of item texts in one automaton; a larger benchmark is taken in blocks of items.
 BLOCK_BYTES = 8 << 20
-SCHEMA = "key long, n_words long, n_hit long, items array<long>, spans array<struct<first:int,last:int>>"
-CUT_SCHEMA = SCHEMA + ", kept string"
+NUMBERED = "key long, n_words long, n_hit long, items array<long>, spans array<struct<first:int,last:int>>"
 
 
 class Automaton:
@@ -148,11 +148,11 @@ class Automaton:
 
 
 def _scan(batches: Iterator[pa.RecordBatch], automaton: Automaton, cut: bool) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("key", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.int64())), ("spans", pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())])))])
-    if cut:
-        schema = schema.append(pa.field("kept", pa.string()))
+    spans_type = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
     for batch in batches:
-        texts, keys = column(batch, "text"), column(batch, "key")
+        texts = column(batch, "text")
+        carried = [c for c in batch.schema.names if c != "text"]
+        names = [*carried, "n_words", "n_hit", "items", "spans", *(["kept"] if cut else [])]
         for first, offsets, data in chunks(texts):
             n = len(offsets) - 1
             starts, ends, rows, hashes = words(offsets, data, ALNUM, fold=True)
@@ -180,16 +180,16 @@ def _scan(batches: Iterator[pa.RecordBatch], automaton: Automaton, cut: bool) ->
                     parts.append(data[at : offsets[row + 1]].tobytes())
                     kept[row] = b"".join(parts).decode("utf-8")
             out = [
-                keys.slice(first, n).cast(pa.int64()),
+                *(column(batch, c).slice(first, n) for c in carried),
                 pa.array(np.diff(bounds), pa.int64()),
                 pa.array(total[bounds[1:]] - total[bounds[:-1]], pa.int64()),
                 pa.array([sorted(items.get(i, ())) for i in range(n)], pa.list_(pa.int64())),
-                pa.array(spans, schema.field("spans").type),
+                pa.array(spans, spans_type),
             ]
-            yield pa.RecordBatch.from_arrays(out + ([pa.array(kept, pa.string())] if cut else []), schema=schema)
+            yield pa.RecordBatch.from_arrays(out + ([pa.array(kept, pa.string())] if cut else []), names=names)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", window: int = WINDOW, cut: bool = False, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", window: int = WINDOW, cut: bool = False, carry: Sequence[str] = (), block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Words of each text that lie inside an occurrence of a window of a test item.
 
     Words are runs of ASCII letters and digits and of all other characters that are not ASCII, with
@@ -202,12 +202,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", wi
 
     Null texts have no words; a null key stays; repeated rows give a row each; items that repeat an
     id count once; a null or wordless item matches nothing; an empty benchmark leaves all as it is.
+    Other columns are not read, but those that ``carry`` names come along.
     """
     spark = docs.sparkSession
     bench = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     size = bench.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0)).alias("n")).first()["n"]
     blocks = max(1, -(-size // block_bytes))
-    source = docs.select(F.col(key).cast("long").alias("key"), F.col("text").cast("string").alias("text"))
+    source = docs.select(F.col(key).cast("long").alias(key), *carry, F.col("text").cast("string").alias("text"))
+    schema = StructType([*source.schema.fields[:-1], *StructType.fromDDL(NUMBERED).fields[1:], *([StructField("kept", StringType())] if cut else [])])
 
     def automaton(block: int) -> Automaton:
         part = bench.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block) if blocks > 1 else bench
@@ -220,42 +222,48 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", wi
 
     if blocks == 1:
         shared = spark.sparkContext.broadcast(automaton(0))
-        return source.mapInArrow(lambda it: _scan(it, shared.value, cut), CUT_SCHEMA if cut else SCHEMA).withColumnRenamed("key", key)
+        return source.mapInArrow(lambda it: _scan(it, shared.value, cut), schema)
 
-    numbered = source.withColumn("part", F.xxhash64("key", "text"))
+    numbered = source.withColumn("_part", F.xxhash64(F.col(key), F.col("text")))
     parts = []
     for block in range(blocks):
         shared = spark.sparkContext.broadcast(automaton(block))
-        tagged = numbered.select(F.col("part").alias("key"), "text").mapInArrow(lambda it, shared=shared: _scan(it, shared.value, False), SCHEMA)
-        parts.append(tagged.where("n_hit > 0").select(F.col("key").alias("part"), "items", "spans"))
-    found = reduce(DataFrame.unionByName, parts).groupBy("part").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.flatten(F.collect_list("spans")).alias("spans"))
-    both = numbered.join(found, "part", "left").select("key", "text", "items", "spans")
-    return both.mapInArrow(lambda it: _merge(it, cut), CUT_SCHEMA if cut else SCHEMA).withColumnRenamed("key", key)
+        one = numbered.select(F.col("_part").alias("key"), "text").mapInArrow(lambda it, shared=shared: _scan(it, shared.value, False), NUMBERED)
+        parts.append(one.where("n_hit > 0").select(F.col("key").alias("_part"), "items", "spans"))
+    found = reduce(DataFrame.unionByName, parts).groupBy("_part")
+    found = found.agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("_items"), F.flatten(F.collect_list("spans")).alias("_spans"))
+    both = numbered.join(found, "_part", "left").drop("_part").select(key, *carry, "_items", "_spans", "text")
+    return both.mapInArrow(lambda it: _merge(it, cut), schema)
 
 
 def _merge(batches: Iterator[pa.RecordBatch], cut: bool) -> Iterator[pa.RecordBatch]:
+    """Joins the spans that the blocks of a large benchmark have found in a text."""
+    spans_type = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
     for batch in batches:
-        rows = batch.to_pylist()
-        for first, offsets, data in chunks(column(batch, "text")):
+        texts, items, spans = (column(batch, c).to_pylist() for c in ("text", "_items", "_spans"))
+        carried = [c for c in batch.schema.names if c not in ("text", "_items", "_spans")]
+        for start, offsets, data in chunks(column(batch, "text")):
+            n = len(offsets) - 1
             starts, ends, of, _ = words(offsets, data, ALNUM, fold=True)
-            bounds = row_ranges(of, len(offsets) - 1)
-            out = []
-            for i in range(len(offsets) - 1):
-                row, a, b = rows[first + i], bounds[i], bounds[i + 1]
+            bounds = row_ranges(of, n)
+            hits, joined, kept = [], [], []
+            for i in range(n):
+                a, b = bounds[i], bounds[i + 1]
                 hit = np.zeros(b - a + 2, np.int8)
-                for span in row["spans"] or ():
+                for span in spans[start + i] or ():
                     hit[span["first"] + 1 : span["last"] + 1] = 1
-                edge = np.flatnonzero(np.diff(hit[: b - a + 1], append=0))
-                x = {"key": row["key"], "n_words": int(b - a), "n_hit": int(hit.sum()), "items": row["items"] or [], "spans": [{"first": int(p), "last": int(q)} for p, q in zip(edge[::2], edge[1::2], strict=True)]}
-                if cut:
-                    parts, at = [], int(offsets[i])
-                    for p, q in zip(edge[::2], edge[1::2], strict=True):
-                        parts.append(data[at : starts[a + p]].tobytes())
-                        at = int(ends[a + q - 1])
-                    x["kept"] = None if row["text"] is None else b"".join([*parts, data[at : offsets[i + 1]].tobytes()]).decode("utf-8")
-                out.append(x)
-            fields = [("key", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.int64())), ("spans", pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())])))]
-            yield pa.RecordBatch.from_pylist(out, schema=pa.schema(fields + ([("kept", pa.string())] if cut else [])))
+                edge = np.flatnonzero(np.diff(hit))
+                hits.append(int(hit.sum()))
+                joined.append([{"first": int(p), "last": int(q)} for p, q in zip(edge[::2], edge[1::2], strict=True)])
+                out, at = [], int(offsets[i])
+                for p, q in zip(edge[::2], edge[1::2], strict=True):
+                    out.append(data[at : starts[a + p]].tobytes())
+                    at = int(ends[a + q - 1])
+                out.append(data[at : offsets[i + 1]].tobytes())
+                kept.append(None if texts[start + i] is None else b"".join(out).decode("utf-8"))
+            rows = [pa.array(np.diff(bounds), pa.int64()), pa.array(hits, pa.int64()), pa.array([x or [] for x in items[start : start + n]], pa.list_(pa.int64())), pa.array(joined, spans_type)]
+            names = [*carried, "n_words", "n_hit", "items", "spans", *(["kept"] if cut else [])]
+            yield pa.RecordBatch.from_arrays([*(column(batch, c).slice(start, n) for c in carried), *rows, *([pa.array(kept, pa.string())] if cut else [])], names=names)
 
 
 def op6_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -32,6 +32,7 @@ PIVOT_ROUNDS = 3
 #: Parts of the hash range by which the suffix filter compares two sets.
 PARTS = 8
 
+_NULL_ID = (1 << 63) - 1
 _TABLE = "shingle long, class long, n int, place int, rid long, key long, parts array<int>"
 
 
@@ -160,7 +161,8 @@ def similar_components(docs: DataFrame, key: str = "doc_id", size: int = WORDS,
     A document's set holds the distinct shingles of ``size`` words of its whole text, with A-Z as
     a-z; one of fewer words has them all as its one shingle. Two documents link if their sets'
     Jaccard coefficient is ``percent`` in a hundred or more. Gives one row per document: ``key``,
-    n_shingles, component_id (smallest key that links reach, its own included).
+    n_shingles, component_id (smallest key that links reach, its own included), rid (hash of key
+    and text) and first (whether it is the group's first row, by key and rid).
 
     Null texts and texts without words have an empty set and no link, so their component is their
     own key. A null key stays; its component is the smallest key that is not null, or null. Rows
@@ -250,21 +252,34 @@ def similar_components(docs: DataFrame, key: str = "doc_id", size: int = WORDS,
     if links is not None and not links.isEmpty():
         member = components(links, "op2").select(F.col("node").alias("class"), "label")
 
-    least = documents.where("n > 0").groupBy("class").agg(F.min("key").alias("least"))
+    one = F.struct(F.coalesce("key", F.lit(_NULL_ID)).alias("key"), "rid")
+    least = documents.where("n > 0").groupBy("class").agg(F.min(one).alias("least"))
     if member is not None:
         labelled = least.join(member, "class", "left").withColumn("label", F.coalesce("label", "class"))
-        group = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
-        least = labelled.join(group, "label").select("class", "component_id")
+        group = labelled.groupBy("label").agg(F.min("least").alias("first"))
+        least = labelled.join(group, "label").select("class", "first")
     else:
-        least = least.withColumnRenamed("least", "component_id")
+        least = least.withColumnRenamed("least", "first")
     least = written(least, "op2-least")
-    out = documents.where("n > 0").join(least, "class").select("key", "n", "component_id")
-    out = out.unionByName(documents.where("n = 0").select("key", "n", F.col("key").alias("component_id")))
-    return out.select(F.col("key").alias(key), F.col("n").cast("long").alias("n_shingles"), "component_id")
+    component = F.when(F.col("first.key") != _NULL_ID, F.col("first.key"))
+    out = documents.where("n > 0").join(least, "class").select("key", "n", component.alias("component_id"), "rid", (F.col("rid") == F.col("first.rid")).alias("first"))
+    out = out.unionByName(documents.where("n = 0").select("key", "n", F.col("key").alias("component_id"), "rid", F.lit(True).alias("first")))
+    return out.select(F.col("key").alias(key), F.col("n").cast("long").alias("n_shingles"), "component_id", "rid", "first")
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+    """One document of each group, the one with the smallest key; of rows that are equal, one.
+
+    Documents without words are in no group and all stay. Columns are those of ``docs``.
+    """
+    found = similar_components(docs, key).where("first").select(F.col("rid").alias("_rid"), (F.col("n_shingles") == 0).alias("_bare")).distinct()
+    kept = docs.withColumn("_rid", F.xxhash64(F.col(key).cast("long"), F.col("text").cast("string"))).join(written(found, "op2-first").hint("shuffle_hash"), "_rid")
+    kept = kept.withColumn("_row", F.when(F.col("_bare"), F.monotonically_increasing_id()).otherwise(F.lit(0)))
+    return kept.dropDuplicates(["_rid", "_row"]).select(*docs.columns)
 
 
 def op2_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
-    return similar_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return similar_components(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("rid", "first")
 
 
 OP2_SQL = r"""

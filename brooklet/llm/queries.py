@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from brooklet.llm.chat_format import OP4_SQL, op4_chat_formatting
 from brooklet.llm.decontaminate import op6_benchmark_decontamination
 from brooklet.llm.fingerprints import op3_document_fingerprints
@@ -24,6 +25,7 @@ LLM_QUERIES = {
     "op8_warc": op8_warc,
     "op9_secret_scans": op9_secret_scans,
     "op10_html_extraction": op10_html_extraction,
+    "pipeline": corpus_pipeline.run,
 }
 
 LLM_ORACLES: dict[str, str] = {

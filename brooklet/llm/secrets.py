@@ -5,7 +5,7 @@ All of it is expressions of Spark; no row leaves the JVM and nothing is shuffled
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -109,7 +109,7 @@ def _tested(token: Column) -> Column:
     return F.transform(F.array(measured), battery)[0]
 
 
-def find_secrets(docs: DataFrame) -> DataFrame:
+def find_secrets(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """doc_id, text and ``spans`` (kind, first, end) of each document, by place and then kind.
 
     Places are code points, the end exclusive. The known forms are assignments to names such as
@@ -121,13 +121,14 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     strings of digits alone are never random spans.
 
     Null and empty texts have no span; null ids stay; repeated rows are searched one by one; an
-    empty table gives an empty table; other columns are not read.
+    empty table gives an empty table; other columns are not read, but those that ``carry`` names
+    come along.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), text.alias("whole"))
-    out = out.select("doc_id", "text", *[_places(F.col("whole"), pattern, group, least).alias(kind) for kind, pattern, group, least in BASE], _places(F.col("whole"), CANDIDATE, 0, 20).alias("candidates"))
+    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *carry, F.col("text").cast("string").alias("text"), text.alias("whole"))
+    out = out.select("doc_id", *carry, "text", *[_places(F.col("whole"), pattern, group, least).alias(kind) for kind, pattern, group, least in BASE], _places(F.col("whole"), CANDIDATE, 0, 20).alias("candidates"))
     known = F.concat(*[F.transform(kind, _of_kind(k)) for k, (kind, *_) in enumerate(BASE)])
-    out = out.select("doc_id", "text", F.array_sort(known).alias("known"), "candidates")
+    out = out.select("doc_id", *carry, "text", F.array_sort(known).alias("known"), "candidates")
     free = F.filter("candidates", lambda x: ~F.exists("known", lambda k: (k["first"] < x["end"]) & (x["first"] < k["end"])) & ~x["found"].rlike(ENCODINGS[0][0]))
     out = out.withColumn("candidates", free)
     tested = F.transform("candidates", lambda x: F.struct(_tested(x["found"]).alias("t"), x["first"].alias("first"), x["end"].alias("end")))
@@ -139,7 +140,7 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     random = F.transform(random, _of_kind(len(BASE)))
     spans = F.when(F.col("cut") > 0, F.array_sort(F.concat("known", random))).otherwise(F.col("known"))
     names = F.array(*[F.lit(k) for k in KINDS])
-    return out.select("doc_id", "text", F.transform(spans, lambda x: F.struct(names[x["kind"]].alias("kind"), x["first"].alias("first"), x["end"].alias("end"))).alias("spans"))
+    return out.select("doc_id", *carry, "text", F.transform(spans, lambda x: F.struct(names[x["kind"]].alias("kind"), x["first"].alias("first"), x["end"].alias("end"))).alias("spans"))
 
 
 def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:

@@ -11,11 +11,12 @@ of merging: a piece may follow another one if merging leaves the two of them as
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from brooklet.llm.common import column
 
@@ -209,8 +210,8 @@ def _decode_rows(batches: Iterator[pa.RecordBatch], texts: list[bytes]) -> Itera
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], names=[*batch.schema.names, "decoded"])
 
 
-def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
-    """``ids`` in place of ``text``; ``doc_id`` stays.
+def encode(docs: DataFrame, model: str = MODEL, carry: Sequence[str] = ()) -> DataFrame:
+    """``ids`` in place of ``text``, behind ``doc_id`` and the columns that ``carry`` names.
 
     ids are those that the vocabulary's own library gives for the whole text, special strings taken
     as ordinary text. Null and empty texts have no ids; a null id stays; repeated rows are encoded
@@ -218,8 +219,9 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     takes the words of about ``WALK_CHARS`` characters, or of one longer text.
     """
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(model))
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return source.mapInArrow(lambda it: _encode_rows(it, shared.value), "doc_id long, ids array<int>")
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *carry, F.col("text").cast("string").alias("text"))
+    schema = StructType([*source.schema.fields[:-1], StructField("ids", ArrayType(IntegerType()))])
+    return source.mapInArrow(lambda it: _encode_rows(it, shared.value), schema)
 
 
 def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:

@@ -10,12 +10,13 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from math import exp
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from brooklet.llm.common import chunks, column, written
 
@@ -244,7 +245,7 @@ def train(docs: DataFrame, labels: DataFrame, restorer: Restorer, sample: int =
     return {top[x]: float(w[i]) for x, i in place.items()}, float(w[-1])
 
 
-def _score_rows(batches: Iterator[pa.RecordBatch], restorer: Restorer, weights: dict[str, float], constant: float) -> Iterator[pa.RecordBatch]:
+def _score_rows(batches: Iterator[pa.RecordBatch], names: list[str], restorer: Restorer, weights: dict[str, float], constant: float) -> Iterator[pa.RecordBatch]:
     known: dict[str, frozenset[str]] = {}
     nothing: frozenset[str] = frozenset()
 
@@ -266,10 +267,10 @@ def _score_rows(batches: Iterator[pa.RecordBatch], restorer: Restorer, weights:
             scores.append(1 / (1 + exp(-max(-30.0, min(30.0, total)))))
             if len(known) > REMEMBERED:
                 known.clear()
-        yield pa.RecordBatch.from_arrays([column(batch, c) for c in batch.schema.names if c != "text"] + [pa.array(scores, pa.float64())], names=[c for c in batch.schema.names if c != "text"] + ["score"])
+        yield pa.RecordBatch.from_arrays([*(column(batch, c) for c in names[:-1]), pa.array(scores, pa.float64())], names=names)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, carry: Sequence[str] = ()) -> DataFrame:
     """A score from 0 to 1 for the whole text of each document: how likely label 1 is.
 
     The character model is counted on all texts; the classifier is fitted on at most ``sample``
@@ -279,14 +280,17 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFr
     Null and empty texts have the score of a text without features. A null id is never labelled.
     Rows that repeat an id are scored one by one. Labels that are null or neither 0 nor 1 teach
     nothing; repeated labels count once each value. Without toxic labels, or without clean ones,
-    all scores are 0 or 1. An empty table gives an empty table; other columns are not read.
+    all scores are 0 or 1. An empty table gives an empty table; other columns are not read, but
+    those that ``carry`` names come along.
     """
     spark = docs.sparkSession
     restorer = Restorer(character_model(docs))
     weights, constant = train(docs, labels, restorer, sample)
     shared = spark.sparkContext.broadcast((restorer, weights, constant))
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return source.mapInArrow(lambda it: _score_rows(it, *shared.value), "doc_id long, score double")
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *[c for c in carry if c != "text"])
+    carried = source.select(*carry).schema.fields
+    schema = StructType([StructField("doc_id", LongType()), *carried, StructField("score", DoubleType())])
+    return source.mapInArrow(lambda it: _score_rows(it, schema.names, *shared.value), schema)
 
 
 def op7_toxicity(spark, sf_dir: str) -> DataFrame:
