@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that one vectorised step takes at once; a longer text is a step of its own.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 _RANDOM = np.random.default_rng(20240229)
 _BYTE = _RANDOM.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

@@ -24,7 +24,7 @@ PERCENT = 80
 #: the same result, this one only sets its cost, so the bound is one of memory: 20 MB.
 FREQUENT = 1_000_000
 #: Shingles that a task counts at once for that order.
-COUNTED = 6_000_000
+COUNTED = 3_000_000
 #: A shingle with more pairs that are not known to be connected, as a multiple of its classes, takes a
 #: round with one pivot first; after so many rounds all classes that are still apart are compared.
 CROWDED = 32

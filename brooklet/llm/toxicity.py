@@ -30,7 +30,7 @@ PREFIXES = (4, 5, 6)
 THRESHOLD = 0.3
 RIDGE = 0.2
 #: Tokens that a task remembers the features of, before it forgets them all.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 # What leetspeak writes for a letter.
 LEET = {
@@ -187,7 +187,7 @@ def features(text: str, restorer: Restorer, known: dict[str, set[str]]) -> set[s
 def _toxic_rows(batches: Iterator[pa.RecordBatch], restorer: Restorer) -> Iterator[pa.RecordBatch]:
     total: Counter = Counter()
     known: dict[str, set[str]] = {}
-    for batch in batches:
+    for batch in (part for whole in batches for part in _sliced(whole)):
         for text in column(batch, "text").to_pylist():
             total.update(features(text or "", restorer, known))
     yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], names=["feature", "n"])
@@ -252,7 +252,7 @@ def _score_rows(batches: Iterator[pa.RecordBatch], names: list[str], restorer: R
     def of(restored: str) -> frozenset[str]:
         return frozenset(f for f in _named(restored) if f in weights) or nothing
 
-    for batch in batches:
+    for batch in (part for whole in batches for part in _sliced(whole)):
         scores = []
         for text in column(batch, "text").to_pylist():
             text = text or ""
@@ -270,6 +270,10 @@ def _score_rows(batches: Iterator[pa.RecordBatch], names: list[str], restorer: R
         yield pa.RecordBatch.from_arrays([*(column(batch, c) for c in names[:-1]), pa.array(scores, pa.float64())], names=names)
 
 
+def _sliced(batch: pa.RecordBatch, rows: int = 500) -> Iterator[pa.RecordBatch]:
+    return (batch.slice(i, rows) for i in range(0, len(batch), rows))
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, carry: Sequence[str] = ()) -> DataFrame:
     """A score from 0 to 1 for the whole text of each document: how likely label 1 is.
 
