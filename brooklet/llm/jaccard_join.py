@@ -228,11 +228,9 @@ def similar_components(docs: DataFrame, key: str = "doc_id", size: int = WORDS,
         differ = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
         total = F.aggregate("pa", F.lit(0), lambda s, x: s + x) + F.aggregate("pb", F.lit(0), lambda s, x: s + x)
         both = written(both.where(differ <= total - 2 * F.ceil(F.lit(percent) * total / F.lit(100 + percent))).select("a", "b"), "op2-candidates")
-        needed = both.select(F.col("a").alias("class")).unionByName(both.select(F.col("b").alias("class"))).distinct()
-        if sets is not None:
-            needed = written(needed.join(sets.select("class"), "class", "left_anti"), "op2-needed")
-        if sets is None or not needed.isEmpty():
-            sets = sets_of(needed) if sets is None else sets.unionByName(sets_of(needed))
+        if sets is None:  # the classes of crowded shingles too, so that later rounds have their sets
+            needed = both.select(F.col("a").alias("class")).unionByName(both.select(F.col("b").alias("class"))).unionByName(many.select("class"))
+            sets = sets_of(needed.distinct())
         both = both.join(sets.select(F.col("class").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("class").alias("b"), F.col("shingles").alias("sb")), "b")
         common = F.size(F.array_intersect("sa", "sb"))
         union = F.size("sa") + F.size("sb") - common

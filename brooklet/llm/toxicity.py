@@ -200,17 +200,26 @@ def _sample_rows(batches: Iterator[pa.RecordBatch], restorer: Restorer, number:
         yield pa.RecordBatch.from_arrays([column(batch, "toxic"), pa.array(found, pa.list_(pa.int32()))], names=["toxic", "found"])
 
 
-def _fit(rows: list[list[int]], toxic: np.ndarray, n: int) -> np.ndarray:
-    """Ridge logistic regression by Newton steps; the last weight is the constant."""
-    x = np.zeros((len(rows), n + 1))
-    x[:, -1] = 1
-    for i, row in enumerate(rows):
-        x[i, row] = 1
+def _fit(rows: list[list[int]], toxic: np.ndarray, n: int, block: int = 2000) -> np.ndarray:
+    """Ridge logistic regression by Newton steps over blocks of rows; the last weight is the constant."""
+
+    def blocks() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for at in range(0, len(rows), block):
+            x = np.zeros((min(block, len(rows) - at), n + 1))
+            x[:, -1] = 1
+            for i, row in enumerate(rows[at : at + block]):
+                x[i, row] = 1
+            yield x, toxic[at : at + block]
+
     w, ridge = np.zeros(n + 1), np.full(n + 1, RIDGE)
     ridge[-1] = 1e-3
     for _ in range(25):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p) + 1e-6)[:, None]).T @ x + np.diag(ridge), x.T @ (toxic - p) - ridge * w)
+        second, first = np.diag(ridge), -ridge * w
+        for x, y in blocks():
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            second += (x * (p * (1 - p) + 1e-6)[:, None]).T @ x
+            first += x.T @ (y - p)
+        step = np.linalg.solve(second, first)
         w += step
         if np.abs(step).max() < 1e-4:
             break
