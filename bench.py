@@ -38,7 +38,6 @@ HEADLINE = [
     "registry_latest",
     "envelope_split",
     "decode_user_v3",
-    "gen_transactions",
     "valid_transactions_stream",
     "customer_orphans_stream",
     "ops_metadata_stream",

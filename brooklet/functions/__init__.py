@@ -1 +1 @@
-"""Column expressions: record checks, text fields, envelopes, schema texts, draws."""
+"""Column expressions: record checks, text fields, envelopes and schema texts."""

@@ -6,54 +6,20 @@ rows of each key spread over several tasks; Spark splits what is still uneven at
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALT = "_salt"
-SMALL_ROWS, SMALL_BYTES = 10_000, 32 * 2**20
-FEWEST_SALTS, MOST_SALTS = 8, 64
 
-
-def is_small(side: DataFrame, rows: int = SMALL_ROWS, size: int = SMALL_BYTES) -> bool:
-    """True for a static table within both bounds, by measuring its rows.
-
-    Reads no more rows than it takes to know; only their widths come to the driver.
-    """
-    width = F.octet_length(F.to_json(F.struct(*side.columns))).alias("width")
-    widths = side.select(width).take(rows + 1)
-    return len(widths) <= rows and sum(w["width"] for w in widths) <= size
-
-
-def default_salts(df: DataFrame) -> int:
-    """A sixteenth of the shuffle's tasks, within bounds: the static table is repeated as often."""
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(MOST_SALTS, max(FEWEST_SALTS, tasks // 16))
-
-
-def join_static(
-    df: DataFrame,
-    side: DataFrame,
-    key: str,
-    how: str,
-    salts: int | None = None,
-    spread: Sequence[str] | None = None,
-) -> DataFrame:
+def join_static(df: DataFrame, side: DataFrame, key: str, how: str) -> DataFrame:
     """Joins rows to a static table that holds each key once.
 
-    If the table is too big to broadcast, the rows of one key, and those without a key, are spread
-    over ``salts`` tasks by a hash of the ``spread`` columns, and the table is repeated as often.
+    Spark picks the way from the bytes it knows of the table, for a stream anew in each batch: a
+    broadcast below ``spark.sql.autoBroadcastJoinThreshold``, else a shuffle in which it splits
+    the partitions of hot keys, and of rows without a key, as it finds them.
     """
-    if is_small(side):
-        return df.join(F.broadcast(side), key, how)
-    salts = salts or default_salts(df)
-    spread = spread or [c for c in df.columns if c != key]
-    if salts == 1 or not spread:
-        return df.join(side, key, how)
-    salted = df.withColumn(SALT, F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    copies = side.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [key, SALT], how).drop(SALT)
+    return df.join(side, key, how)
 
 
 def enrich(
@@ -62,8 +28,6 @@ def enrich(
     key: str,
     columns: Mapping[str, str | Column],
     how: str = "left_outer",
-    salts: int | None = None,
-    spread: Sequence[str] | None = None,
 ) -> DataFrame:
     """Adds columns of the row of ``dim`` with the same key; ``dim`` holds a key once.
 
@@ -73,7 +37,7 @@ def enrich(
         F.col(key),
         *[(F.col(c) if isinstance(c, str) else c).alias(name) for name, c in columns.items()],
     )
-    return join_static(df, side, key, how, salts, spread).select(*df.columns, *columns)
+    return join_static(df, side, key, how).select(*df.columns, *columns)
 
 
 def mark_known(
@@ -81,11 +45,9 @@ def mark_known(
     dim: DataFrame,
     key: str,
     name: str,
-    salts: int | None = None,
-    spread: Sequence[str] | None = None,
 ) -> DataFrame:
     """Adds a flag: does ``dim`` hold the key of the row? False for rows without a key."""
-    marked = enrich(df, dim, key, {name: F.lit(True)}, salts=salts, spread=spread)
+    marked = enrich(df, dim, key, {name: F.lit(True)})
     return marked.withColumn(name, F.coalesce(name, F.lit(False)))
 
 
@@ -95,7 +57,6 @@ def orphans(
     key: str,
     constants: Mapping[str, Column],
     dedup: str = "batch",
-    spread: Sequence[str] | None = None,
 ) -> DataFrame:
     """Keys of ``df`` that ``dim`` does not hold, with constant columns for the rest of the row.
 
@@ -108,9 +69,7 @@ def orphans(
     referred = df.where(F.col(key).isNotNull())
     keys = dim.select(key)
     if df.isStreaming:
-        spread = spread or [c for c in df.columns if c != key]
-        refs = referred.select(key, *spread)
-        missing = join_static(refs, keys, key, "left_anti", spread=spread).select(key)
+        missing = join_static(referred.select(key), keys, key, "left_anti")
         if dedup == "global":
             missing = missing.dropDuplicates([key])
     else:

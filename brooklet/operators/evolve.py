@@ -122,7 +122,7 @@ def decode(
         .alias("schema_problem"),
         by_name(F.col("name"), {n: r[1] for n, r in resolved.items()}).alias("has"),
     )
-    rows = join_static(split_envelope(messages), writers, "schema_id", "left_outer", spread=["body"])
+    rows = join_static(split_envelope(messages), writers, "schema_id", "left_outer")
 
     # Each body is parsed once, as the reader of its own schema name sees it.
     writer = F.col("writer_name")

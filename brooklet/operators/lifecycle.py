@@ -17,7 +17,7 @@ def lifecycle(
 
     Events are ranked within a slice of time, and the counts of the earlier slices of the key are
     added. No task ever holds more than one slice of one key, so a key with a large part of all
-    events does not end up in a single task. Rows without key or time are not part of a life cycle.
+    events does not end up in a single task. Rows without key or time stay, with no step.
     """
     rows = df.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
     sliced = rows.withColumn(SLICE, F.date_trunc(time_slice, ts))
@@ -30,7 +30,9 @@ def lifecycle(
     within = Window.partitionBy(key, SLICE).orderBy(ts, *tie_break)
     ranked = sliced.withColumn(IN_SLICE, F.row_number().over(within))
     steps = ranked.join(offsets, [key, SLICE])
-    return steps.select(*df.columns, (F.col(OFFSET) + F.col(IN_SLICE)).alias("step"))
+    numbered = steps.select(*df.columns, (F.col(OFFSET) + F.col(IN_SLICE)).alias("step"))
+    rest = df.where(F.col(key).isNull() | F.col(ts).isNull())
+    return numbered.unionByName(rest.withColumn("step", F.lit(None).cast("long")))
 
 
 def reprocess(corrected: DataFrame, source: DataFrame) -> DataFrame:

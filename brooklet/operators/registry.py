@@ -53,6 +53,14 @@ def registry_history(messages: DataFrame) -> DataFrame:
     )
 
 
+def registry_rejects(messages: DataFrame) -> DataFrame:
+    """Schema messages that are no registry records: offset, raw value and the reason."""
+    text = F.col("value").cast("string")
+    parsed = F.from_json(text, SCHEMA_MESSAGE)
+    reason = F.when(text.isNull(), "no value").when(F.get_json_object(text, "$").isNull(), "not JSON").otherwise("no id")
+    return messages.where(parsed["id"].isNull()).select("offset", "value", reason.alias("reason"))
+
+
 def schemas_by_id(history: DataFrame) -> DataFrame:
     """The last record of each id."""
     return latest(history, ["id"], ["offset"]).select(*COLUMNS)

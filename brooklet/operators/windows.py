@@ -42,13 +42,19 @@ def window_metrics(
 ) -> DataFrame:
     """Rows, average price and rows per flag in each tumbling window, in one aggregation.
 
-    Prices are texts: those that are not numbers are left out. They are added as decimals, so the
-    average does not depend on the order of the rows.
+    Prices are texts: those that are not numbers of up to 38 digits are left out. Wholes and
+    fractions (17 digits) are added apart, as decimals, so that nothing is cut and the average does
+    not depend on the order of the rows.
     """
-    amount = F.col(price).try_cast("decimal(20,4)")
+    fine = F.col(price).try_cast("decimal(37,17)")
+    whole = F.coalesce(F.floor(fine).cast("decimal(38,0)"), F.col(price).try_cast("decimal(38,0)"))
+    wholes = F.sum(whole)
+    fractions = F.coalesce(F.sum((fine - F.floor(fine)).cast("decimal(18,17)")), F.lit(0)).cast("decimal(37,17)")
+    small = wholes.try_cast("decimal(18,0)")
+    total = F.coalesce((small + fractions).cast("double"), wholes.cast("double") + fractions.cast("double"))
     measures = {
         "num_transactions": F.count(F.lit(1)),
-        "avg_price": F.sum(amount).cast("double") / F.nullif(F.count(amount), F.lit(0)),
+        "avg_price": total / F.nullif(F.count(whole), F.lit(0)),
     }
     measures |= {name: F.count_if(flag) for name, flag in (flags or {}).items()}
     return _by_window(df, ts, width, delay, measures)

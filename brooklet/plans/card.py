@@ -37,8 +37,6 @@ from ..streaming.upsert import UpsertTable
 DELAY = "10 seconds"
 SIMPLE_DELAY = "1 minute"
 WIDTH = "1 minute"
-# Columns that spread the transactions of one customer or vendor over several tasks.
-SPREAD = ["transaction_id", "event_timestamp"]
 
 # What an orphan's row holds besides its key.
 UNKNOWN = "Unknown"
@@ -75,11 +73,11 @@ def routed(transactions: DataFrame) -> dict[str, DataFrame]:
 
 
 def customer_orphans(valid: DataFrame, customers: DataFrame, dedup: str = "batch") -> DataFrame:
-    return orphans(valid, customers, "customer_id", customer_orphan_columns(), dedup, SPREAD)
+    return orphans(valid, customers, "customer_id", customer_orphan_columns(), dedup)
 
 
 def vendor_orphans(valid: DataFrame, vendors: DataFrame, dedup: str = "batch") -> DataFrame:
-    return orphans(valid, vendors, "vendor_id", vendor_orphan_columns(), dedup, SPREAD)
+    return orphans(valid, vendors, "vendor_id", vendor_orphan_columns(), dedup)
 
 
 def customers_flow(customers: DataFrame, states: DataFrame) -> DataFrame:
@@ -144,9 +142,8 @@ def rich_metadata(
     narrow = with_watermark(validated(transactions), ts, delay).select(
         ts, "customer_id", "vendor_id", "price", "valid_record", "transaction_id"
     )
-    spread = ["transaction_id", ts]
-    known = mark_known(narrow, customers, "customer_id", "known_customer", spread=spread)
-    known = mark_known(known, vendors, "vendor_id", "known_vendor", spread=spread)
+    known = mark_known(narrow, customers, "customer_id", "known_customer")
+    known = mark_known(known, vendors, "vendor_id", "known_vendor")
     valid = F.col("valid_record")
     flags = {
         "num_valid": valid,
@@ -166,7 +163,6 @@ def simple_flow(transactions: DataFrame, customers: DataFrame) -> dict[str, Data
         customers,
         "customer_id",
         {"customer_first_name": "first_name", "customer_last_name": "last_name"},
-        spread=SPREAD,
     )
     domains = {"card_type": SIMPLE_CARD_TYPES, "event_state": SIMPLE_EVENT_STATES}
     return {

@@ -14,11 +14,10 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from ..schemas import STATE, STATES, TABLES
-from ..sources.generate import gen_customers, gen_transactions, gen_vendors
 from ..sources.messages import BROKER_TIME, json_source, message_stream, properties_file
 from ..sources.tables import table_source
-from ..streaming.group import Output, QueryGroup
-from ..streaming.sinks import TRANSACTION_TIME_FORMAT, message_sink, upsert_sink
+from ..streaming.group import QueryGroup
+from ..streaming.sinks import upsert_sink
 from ..streaming.upsert import UpsertTable
 from .card import SINK_RETRIES, Sources, full_application, simple_application, table_sinks
 
@@ -88,38 +87,6 @@ def deployed_simple(
     )
 
 
-def generators(
-    spark: SparkSession,
-    targets: Mapping[str, str | Mapping[str, str]],
-    checkpoint_base: str,
-    transactions_per_second: int = 1,
-    seed: int = 0,
-) -> QueryGroup:
-    """Synthetic customers, vendors and transactions as messages, at a rate per second.
-
-    ``targets`` maps topics to folders or to the options of the Kafka sink.
-    """
-
-    def ticks(per_second: int) -> DataFrame:
-        return spark.readStream.format("rate").option("rowsPerSecond", per_second).load()
-
-    made = {
-        CUSTOMER_TOPIC: (gen_customers, "customer_id", 1),
-        VENDOR_TOPIC: (gen_vendors, None, 1),
-        TRANSACTION_TOPIC: (gen_transactions, "customer_id", transactions_per_second),
-    }
-
-    def build(topic: str) -> Callable[[], DataFrame]:
-        generate, _, rate = made[topic]
-        return lambda: generate(ticks(rate), "value", seed, "timestamp")
-
-    outputs = [
-        Output(build(topic), message_sink(topic, made[topic][1], target, TRANSACTION_TIME_FORMAT))
-        for topic, target in targets.items()
-    ]
-    return QueryGroup(spark, outputs, checkpoint_base)
-
-
 def main(argv: list[str]) -> int:
     if len(argv) not in (4, 5) or argv[0] not in ("full", "simple"):
         print(__doc__, file=sys.stderr)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from ..schemas import CARD_TYPES, EVENT_STATES, SIMPLE_CARD_TYPES, SIMPLE_EVENT_STATES
-from ..sources import generate as g
 from .queries import KEYWORDS, LANGUAGES
 
 
@@ -131,38 +130,16 @@ USER_MESSAGES = """
   FROM events"""
 
 
-def _draws(draws: int) -> str:
-    """The draws of a row as columns d0, d1, ..."""
-    columns = [
-        f"CAST('0x' || substr(md5('42:{i // 4}:' || event_id), {1 + 8 * (i % 4)}, 8) AS BIGINT) AS d{i}"
-        for i in range(draws)
-    ]
-    return f"WITH d AS (SELECT ts, event_id, {', '.join(columns)} FROM events)"
-
-
-def _pick(n: int, values: list[str]) -> str:
-    return f"list_extract([{_quoted(values)}], CAST(d{n} % {len(values)} + 1 AS INTEGER))"
-
-
-def _before(n: int, span: int) -> str:
-    return f"date_trunc('millisecond', ts) - to_milliseconds(d{n} % {span})"
-
-
-def _letter(place: int) -> str:
-    size = len(g.ID_ALPHABET)
-    position = f"(d0 % {size ** g.ID_LENGTH}) // {size ** place} % {size} + 1"
-    return f"substr('{g.ID_ALPHABET}', {position}, 1)"
-
-
-def _angle(n: int, limit: float) -> str:
-    return f"round(CAST(d{n} AS DOUBLE) / 4294967296 * {2 * limit!r} - {limit!r}, 8)"
-
-
-def _unless_missing(n: int, value: str) -> str:
-    return f"CASE WHEN d{n} % 100 >= {g.MISSING_PERCENT} THEN {value} END"
-
-
 ORACLES: dict[str, str] = {
+    "registry_rejects": """SELECT event_id AS "offset",
+       CASE event_type WHEN 'click' THEN 'not JSON' WHEN 'signup' THEN 'no id' ELSE 'no value' END AS reason
+FROM events WHERE event_type IS DISTINCT FROM 'view'""",
+    "lifecycle_unplaced": """WITH e AS (
+  SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN user_id END AS u, CASE WHEN event_id % 5 <> 0 THEN ts END AS t
+  FROM events)
+SELECT event_id, CASE WHEN u IS NOT NULL AND t IS NOT NULL
+  THEN row_number() OVER (PARTITION BY u, t IS NULL ORDER BY t, event_id) END AS step
+FROM e""",
     "valid_transactions": VALID,
     "invalid_transactions": INVALID,
     "undecided_transactions": UNDECIDED,
@@ -284,31 +261,6 @@ SELECT "offset", schema_id,
                        WHEN 'signup' THEN 'unknown schema id'
                        ELSE 'unreadable body' END AS reason
 FROM m WHERE event_type IN ('view', 'signup', 'error')""",
-    "gen_customers": f"""{_draws(6)}
-SELECT CAST(d0 % {g.KEYS} + 1 AS INTEGER) AS customer_id,
-       CAST(CASE WHEN d1 % 100 < {g.NO_STATE_PERCENT} THEN -1 ELSE d2 % {g.STATE_COUNT} + 1 END AS INTEGER) AS state_id,
-       {_pick(3, g.FIRST_NAMES)} AS first_name, {_pick(4, g.LAST_NAMES)} AS last_name,
-       {_before(5, g.UPDATE_SPAN_MS)} AS update_timestamp
-FROM d""",
-    "gen_vendors": f"""{_draws(5)}
-SELECT CAST(d0 % {g.KEYS} + 1 AS INTEGER) AS vendor_id, {_pick(1, g.VENDOR_NAMES)} AS vendor_name,
-       '+1-' || lpad(CAST(d2 % 1000 AS VARCHAR), 3, '0') || '-555-'
-         || lpad(CAST(d3 % 10000 AS VARCHAR), 4, '0') AS phone_number,
-       {_before(4, g.UPDATE_SPAN_MS)} AS update_timestamp
-FROM d""",
-    "gen_transactions": f"""{_draws(12)}
-SELECT {" || ".join(_letter(i) for i in range(g.ID_LENGTH))} AS transaction_id,
-       {_unless_missing(1, f"CAST(d2 % {g.KEYS} + 1 AS INTEGER)")} AS customer_id,
-       {_unless_missing(3, f"CAST(d4 % {g.KEYS} + 1 AS INTEGER)")} AS vendor_id,
-       {_unless_missing(5, _pick(6, g.GENERATED_STATES))} AS event_state,
-       {_before(7, g.EVENT_SPAN_MS)} AS event_timestamp,
-       {_unless_missing(8, f"CAST(d9 % {g.MAX_PRICE} AS VARCHAR)")} AS price,
-       {_unless_missing(10, _pick(11, g.GENERATED_CARDS))} AS card_type
-FROM d""",
-    "gen_sightings": f"""{_draws(2)}
-SELECT CAST(event_id AS VARCHAR) AS key, date_trunc('millisecond', ts) AS seen_at,
-       {_angle(0, g.MAX_LATITUDE)} AS lat, {_angle(1, g.MAX_LONGITUDE)} AS lon
-FROM d""",
     "dedup_by_id": f"WITH tx AS ({TX}) SELECT DISTINCT * FROM tx",
     "valid_transactions_stream": VALID,
     "invalid_transactions_stream": INVALID,

@@ -25,6 +25,7 @@ from ..operators.registry import (
     match_schemas,
     next_id,
     registry_history,
+    registry_rejects,
     schemas_by_form,
     schemas_by_id,
     schemas_by_version,
@@ -48,7 +49,6 @@ from ..schemas import (
 )
 from ..session import run_dir
 from ..sources.files import json_dir_stream, json_file, parquet_stream
-from ..sources.generate import gen_customers, gen_sightings, gen_transactions, gen_vendors
 from ..sources.messages import (
     BROKER_TIME,
     field_records,
@@ -435,6 +435,27 @@ def registry_next_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return next_id(ids)
 
 
+def registry_rejects_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as schema messages, of which only those of one type are records."""
+    text = (
+        F.when(F.col("event_type") == "view", F.concat(F.lit('{"id": '), F.col("event_id"), F.lit("}")))
+        .when(F.col("event_type") == "click", F.concat(F.lit("{broken "), F.col("event_id")))
+        .when(F.col("event_type") == "signup", F.lit('{"name": "x"}'))
+    )
+    messages = given.table(spark, sf_dir, "events").select(F.col("event_id").alias("offset"), text.cast("binary").alias("value"))
+    return registry_rejects(messages).select("offset", "reason")
+
+
+def lifecycle_unplaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events without a key or a time keep their rows, with no step."""
+    events = given.table(spark, sf_dir, "events").select(
+        "event_id",
+        F.when(F.col("event_id") % 7 != 0, F.col("user_id")).alias("user_id"),
+        F.when(F.col("event_id") % 5 != 0, F.col("ts")).alias("ts"),
+    )
+    return lifecycle(events, "user_id", "ts", ["event_id"]).select("event_id", "step")
+
+
 def _user_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as user records of three schema versions, of an unknown one, or cut off."""
     kind = F.col("event_type")
@@ -488,30 +509,6 @@ def decode_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects.select("offset", "schema_id", "reason")
 
 
-# -- generated records, one per event
-
-
-def _ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return given.table(spark, sf_dir, "events").select("event_id", "ts")
-
-
-def gen_customers_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain_times(gen_customers(_ids(spark, sf_dir), "event_id", 42, "ts"))
-
-
-def gen_vendors_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain_times(gen_vendors(_ids(spark, sf_dir), "event_id", 42, "ts"))
-
-
-def gen_transactions_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain_times(gen_transactions(_ids(spark, sf_dir), "event_id", 42, "ts"))
-
-
-def gen_sightings_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = gen_sightings(_ids(spark, sf_dir), "event_id", 42, "ts")
-    return plain_times(parse_sightings(messages))
-
-
 # -- streams
 
 
@@ -776,6 +773,8 @@ QUERIES: dict[str, Query] = {
     "offload_old_months": offload_old_months,
     "transaction_lifecycle": transaction_lifecycle,
     "reprocess_fixed": reprocess_fixed,
+    "registry_rejects": registry_rejects_query,
+    "lifecycle_unplaced": lifecycle_unplaced,
     "registry_latest": registry_latest,
     "registry_by_version": registry_by_version,
     "registry_by_form": registry_by_form,
@@ -786,10 +785,6 @@ QUERIES: dict[str, Query] = {
     "decode_user_v2": decode_user_v2,
     "decode_user_v3": decode_user_v3,
     "decode_rejects": decode_rejects,
-    "gen_customers": gen_customers_query,
-    "gen_vendors": gen_vendors_query,
-    "gen_transactions": gen_transactions_query,
-    "gen_sightings": gen_sightings_query,
     "dedup_by_id": dedup_by_id_batch,
     "valid_transactions_stream": valid_transactions_stream,
     "invalid_transactions_stream": invalid_transactions_stream,

@@ -1 +1 @@
-"""Sources: message logs, files, keyed tables, generated records."""
+"""Sources: message logs, files, keyed tables."""

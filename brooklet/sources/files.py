@@ -12,9 +12,9 @@ from .messages import Source
 
 
 def json_dir_stream(
-    spark: SparkSession, path: str, event_time: str | None = None, files_per_trigger: int | None = 1
+    spark: SparkSession, path: str, event_time: str | None = None, files_per_trigger: int | None = None
 ) -> Source:
-    """JSON files as a stream, by default one file per micro-batch."""
+    """JSON files as a stream; ``files_per_trigger`` bounds a micro-batch."""
 
     def load(schema: StructType) -> DataFrame:
         reader = spark.readStream.schema(schema)
@@ -48,4 +48,5 @@ def parquet_stream(
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     # As a pattern, the path may name a file; a plain path must be a directory.
+    path = path.rstrip("/")
     return reader.parquet(f"{path[:-1]}[{path[-1]}]")

@@ -146,13 +146,20 @@ def message_sink(
     target: str | Mapping[str, str],
     timestamp_format: str = TRANSACTION_TIME_FORMAT,
     trigger_seconds: float | None = None,
+    key_separator: str | None = None,
 ) -> Sink:
-    """Rows as messages: to a topic, given the options of the Kafka sink, or to files of lines."""
+    """Rows as messages: to a topic, given the options of the Kafka sink, or to files of lines.
+
+    A line holds the value; with ``key_separator`` it begins with the key, empty if there is none.
+    """
 
     def writer(df: DataFrame, checkpoint: str) -> DataStreamWriter:
         messages = to_messages(df, key, timestamp_format)
         if isinstance(target, str):
-            lines = messages.select("value").writeStream.format("text").option("path", target)
+            line = F.col("value")
+            if key_separator is not None:
+                line = F.concat(F.coalesce("key", F.lit("")), F.lit(key_separator), "value")
+            lines = messages.select(line.alias("value")).writeStream.format("text").option("path", target)
         else:
             lines = messages.writeStream.format("kafka").options(**target)
         return _trigger(

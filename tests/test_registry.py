@@ -280,11 +280,12 @@ def test_reader_fields_refuse_what_they_cannot_read():
         reader_fields(record(field("a", {"type": "array", "items": "int"})))
 
 
-def test_big_registry_joins_without_broadcast(spark, monkeypatch):
-    from brooklet.operators import enrich
-
-    monkeypatch.setattr(enrich, "is_small", lambda side: False)
-    good, bad = outcome(spark, 2)
+def test_big_registry_joins_without_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        good, bad = outcome(spark, 2)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert sorted(good) == [1, 2] and sorted(bad) == [0, 3, 4, 5, 6]
 
 
@@ -307,3 +308,11 @@ def test_avro_bodies_take_one_branch_per_writer(spark, monkeypatch):
     assert sorted(seen) == sorted([V1, V2, V3])
     assert sorted(r["offset"] for r in records.collect()) == [0, 1, 2]
     assert [(r["offset"], r["schema_id"]) for r in others.collect()] == [(3, 9)]
+
+
+def test_messages_that_are_no_records_are_kept_apart(spark):
+    from brooklet.operators.registry import registry_rejects
+
+    rows = [(0, b'{"id": 1, "name": "a"}'), (1, b"{broken"), (2, b'{"name": "a"}'), (3, None)]
+    found = registry_rejects(spark.createDataFrame(rows, "offset int, value binary")).collect()
+    assert [(r["offset"], r["reason"]) for r in found] == [(1, "not JSON"), (2, "no id"), (3, "no value")]

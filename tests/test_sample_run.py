@@ -46,10 +46,10 @@ def sources(spark, inputs):
         states=json_file(spark, f"{inputs}/static/states"),
         customers=json_file(spark, f"{inputs}/static/customers"),
         vendors=json_file(spark, f"{inputs}/static/vendors"),
-        customer_stream=json_dir_stream(spark, f"{inputs}/stream/customers", "update_timestamp"),
-        vendor_stream=json_dir_stream(spark, f"{inputs}/stream/vendors", "update_timestamp"),
+        customer_stream=json_dir_stream(spark, f"{inputs}/stream/customers", "update_timestamp", 1),
+        vendor_stream=json_dir_stream(spark, f"{inputs}/stream/vendors", "update_timestamp", 1),
         transaction_stream=json_dir_stream(
-            spark, f"{inputs}/stream/transactions", "event_timestamp"
+            spark, f"{inputs}/stream/transactions", "event_timestamp", 1
         ),
     )
 
@@ -72,9 +72,9 @@ def test_static_run(spark, inputs, sources):
     assert flow["valid_transactions"].columns == TRANSACTION_COLUMNS
     assert windows(flow["transactions_operational_metadata"]) == samples.WINDOWS
     assert [tuple(r)[:4] for r in flow["customer_orphans"].collect()] == [
-        (100, "Unknown", "Unknown", -1)
+        (samples.UNKNOWN_CUSTOMER, "Unknown", "Unknown", -1)
     ]
-    assert [tuple(r)[:3] for r in flow["vendor_orphans"].collect()] == [(200, "Unknown", "Unknown")]
+    assert [tuple(r)[:3] for r in flow["vendor_orphans"].collect()] == [(samples.UNKNOWN_VENDOR, "Unknown", "Unknown")]
 
 
 def test_static_customers_and_vendors(spark, inputs, sources):
@@ -82,16 +82,15 @@ def test_static_customers_and_vendors(spark, inputs, sources):
         json_file(spark, f"{inputs}/stream/customers")(CUSTOMER), sources.states(STATE)
     )
     assert sorted(tuple(r)[:5] for r in named.collect()) == [
-        (1, "John", "Doe", "Arizona", "AZ"),
-        (2, "Jane", "Miller", "California", "CA"),
-        (3, "Joe", "Smith", "Alaska", "AK"),
+        (k, first, last, samples.STATES[state][0], short)
+        for k, (first, last, state, short) in samples.CUSTOMERS.items()
     ]
-    assert {str(r["update_timestamp"]) for r in named.collect()} == {"2018-11-13 00:00:00"}
+    assert {str(r["update_timestamp"]) for r in named.collect()} == {f"{samples.DAY} 00:00:00"}
     assert vendors_flow(sources.vendors(VENDOR)).count() == 2
 
 
 def test_state_without_name_stays(spark):
-    rows = spark.createDataFrame([(1, 77, "A", "B", samples.at("2018-01-01 00:00:00"))], CUSTOMER)
+    rows = spark.createDataFrame([(1, 77, "A", "B", samples.at("2021-01-01 00:00:00"))], CUSTOMER)
     states = spark.createDataFrame([(1, "Alabama", "AL")], STATE)
     assert [r["state_name"] for r in customers_flow(rows, states).collect()] == [None]
 
@@ -118,10 +117,10 @@ def test_full_application(spark, sources, tmp_path):
     read = {n: UpsertTable(spark, f"{tmp_path}/tables/{n}", TABLES[n]).read() for n in group.queries}
     assert ids(read["valid_transactions"]) == samples.VALID_IDS
     assert ids(read["invalid_transactions"]) == samples.INVALID_IDS
-    assert [r["customer_id"] for r in read["customer_orphans"].collect()] == [100]
-    assert [r["vendor_id"] for r in read["vendor_orphans"].collect()] == [200]
+    assert [r["customer_id"] for r in read["customer_orphans"].collect()] == [samples.UNKNOWN_CUSTOMER]
+    assert [r["vendor_id"] for r in read["vendor_orphans"].collect()] == [samples.UNKNOWN_VENDOR]
     assert windows(read["transactions_operational_metadata"]) == samples.WINDOWS
-    assert sorted(r["state_abbreviation"] for r in read["customers"].collect()) == ["AK", "AZ", "CA"]
+    assert sorted(r["state_abbreviation"] for r in read["customers"].collect()) == sorted(x[3] for x in samples.CUSTOMERS.values())
     assert read["vendors"].count() == 2
 
 
@@ -135,8 +134,8 @@ def test_shared_pass_equals_single_queries(spark, sources, tmp_path):
     group.drain()
     assert ids(tables["valid_transactions"].read()) == samples.VALID_IDS
     assert ids(tables["invalid_transactions"].read()) == samples.INVALID_IDS
-    assert [r["customer_id"] for r in tables["customer_orphans"].read().collect()] == [100]
-    assert [r["vendor_id"] for r in tables["vendor_orphans"].read().collect()] == [200]
+    assert [r["customer_id"] for r in tables["customer_orphans"].read().collect()] == [samples.UNKNOWN_CUSTOMER]
+    assert [r["vendor_id"] for r in tables["vendor_orphans"].read().collect()] == [samples.UNKNOWN_VENDOR]
 
 
 def test_shared_pass_takes_no_counts(spark, sources, tmp_path):
@@ -163,8 +162,8 @@ def counts(sources, dedup="batch"):
 
 def test_update_mode_emits_running_counts(spark, sources, tmp_path):
     run(spark, "w", lambda: counts(sources), memory_sink("running_counts", "update"), str(tmp_path))
-    emitted = spark.table("running_counts").where("start_ts = '2018-11-13 09:45:00'")
-    assert sorted(r["num_transactions"] for r in emitted.collect()) == [1, 4, 5]
+    emitted = spark.table("running_counts").where(F.col("start_ts") == samples.BUSY_MINUTE)
+    assert sorted(r["num_transactions"] for r in emitted.collect()) == [4, 5]
 
 
 def test_append_mode_holds_the_last_window_back(spark, sources, tmp_path):
@@ -172,7 +171,7 @@ def test_append_mode_holds_the_last_window_back(spark, sources, tmp_path):
     schema = TABLES["transactions_operational_metadata"].schema
     closed = spark.read.schema(schema).csv(f"{tmp_path}/out/windows.csv", header=True)
     expected = dict(samples.WINDOWS)
-    del expected["2018-11-14 10:47:00"]
+    del expected[samples.LAST_MINUTE]
     assert windows(closed) == expected
 
 
@@ -185,7 +184,7 @@ def test_orphans_on_a_stream(spark, sources, tmp_path, dedup):
         return transaction_output("customer_orphans", stream, sources, dedup)
 
     run(spark, "o", build, memory_sink(f"orphans_{dedup}"), str(tmp_path))
-    assert [r["customer_id"] for r in spark.table(f"orphans_{dedup}").collect()] == [100]
+    assert [r["customer_id"] for r in spark.table(f"orphans_{dedup}").collect()] == [samples.UNKNOWN_CUSTOMER]
 
 
 def test_simple_application(spark, sources, tmp_path):
@@ -202,9 +201,9 @@ def test_simple_application(spark, sources, tmp_path):
     group.start()
     group.drain()
     rows = {(r["transaction_id"], r["customer_id"]): r for r in transactions.read().collect()}
-    assert len(rows) == 10  # id 13 comes twice for customer 1, with different times
-    assert rows[("12", 2)]["customer_first_name"] == "Jane"
-    assert rows[("21", 100)]["customer_first_name"] is None
+    assert len(rows) == len({r[:2] for r in samples.ALL_ROWS})
+    assert rows[("t-101", 8)]["customer_first_name"] == "Tariq"
+    assert rows[("t-102", samples.UNKNOWN_CUSTOMER)]["customer_first_name"] is None
     assert {r["is_valid"] for r in rows.values()} == {False}
     assert windows(metadata.read()) == samples.WINDOWS
 
