@@ -29,8 +29,8 @@ COUNTED = 3_000_000
 #: round with one pivot first; after so many rounds all classes that are still apart are compared.
 CROWDED = 32
 PIVOT_ROUNDS = 3
-#: Parts of the hash range by which the suffix filter compares two sets.
-PARTS = 8
+#: Parts of the hash range (64, by the upper six bits) by whose counts the suffix filter compares two sets.
+PARTS = 64
 
 _NULL_ID = (1 << 63) - 1
 _TABLE = "shingle long, class long, n int, place int, rid long, key long, parts array<int>"
@@ -111,7 +111,7 @@ def _table_rows(batches: Iterator[pa.RecordBatch], order: Order, size: int, perc
             sums = np.zeros(len(found) + 1, np.uint64)
             np.cumsum(mixed(found + BASE_2), out=sums[1:])
             cls = pairs_hash(sums[bounds[1:]] - sums[bounds[:-1]], n.astype(np.uint64)).view(np.int64)
-            part = np.bincount(row * PARTS + (found >> np.uint64(61)).astype(np.int64), minlength=rows * PARTS).astype(np.int32)
+            part = np.bincount(row * PARTS + (found >> np.uint64(58)).astype(np.int64), minlength=rows * PARTS).astype(np.int32)
             none = pa.nulls(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
