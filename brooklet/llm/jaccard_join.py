@@ -195,7 +195,7 @@ def similar_components(docs: DataFrame, key: str = "doc_id", size: int = WORDS,
 
     def sets_of(classes: DataFrame) -> DataFrame:
         """Whole sets, of one text each."""
-        texts = source.select("rid", "text").join(one.join(classes, "class").select("rid", "class").hint("shuffle_hash"), "rid").dropDuplicates(["class"])
+        texts = source.select("rid", "text").join(one.join(classes, "class").select("rid", "class").hint("shuffle_hash"), "rid").dropDuplicates(["rid"])
         return written(texts.select("class", "text").mapInArrow(lambda it: _set_rows(it, size), "class long, shingles array<long>"), "op2-sets")
 
     live = buckets.withColumn("label", F.col("class"))
