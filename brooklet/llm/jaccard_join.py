@@ -13,7 +13,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from brooklet.llm.common import BASE_2, SPACED, chunks, column, mixed, pairs_hash, powers, row_ranges, words, written
 from brooklet.llm.components import components
@@ -184,9 +184,9 @@ def similar_components(docs: DataFrame, key: str = "doc_id", size: int = WORDS,
     table = written(source.mapInArrow(lambda it: _table_rows(it, order.value, size, percent), _TABLE), "op2-table")
     prefixes = table.where("shingle IS NOT NULL").select("shingle", "class", "n", "place")
     documents = table.where("shingle IS NULL").select("key", "class", "n", "rid", "parts")
-    shared = prefixes.groupBy("shingle").agg(F.min("class").alias("least"), F.max("class").alias("most")).where("least <> most").select("shingle")
-    shared = written(shared, "op2-shared")
-    buckets = written(prefixes.join(shared, "shingle").distinct(), "op2-buckets")
+    same = Window.partitionBy("shingle")
+    shared = prefixes.withColumn("least", F.min("class").over(same)).withColumn("most", F.max("class").over(same)).where("least <> most")
+    buckets = written(shared.drop("least", "most").distinct(), "op2-buckets")
 
     joined = written(buckets.select("class").distinct(), "op2-joined")
     one = documents.groupBy("class").agg(F.min("rid").alias("rid"), F.first("parts").alias("parts"))
