@@ -7,11 +7,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Bytes of text that one vectorised step takes at once; a longer text is a step of its own.
 CHUNK_BYTES = 2 << 20
 
+#: Bits of the table that thins rows out before an exchange: 2 ** 18 rows of 64 bits, about 8 MB.
+MARK_BITS = 1 << 24
+
 _RANDOM = np.random.default_rng(20240229)
 _BYTE = _RANDOM.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BYTE_FOLDED = _BYTE.copy()
@@ -52,6 +55,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def maybe_among(df: DataFrame, name: str, keys: DataFrame) -> DataFrame:
+    """Rows whose 64-bit hash ``name`` may be one of ``keys`` (a frame with that column), before a join on it.
+
+    The keys set bits in a table of fixed size, at most ``MARK_BITS`` / 64 rows, which is broadcast. No
+    row of a key is lost; others pass where bits coincide, and the join that follows tells them apart.
+    With many more keys than bits all rows pass, so this only saves bytes of an exchange.
+    """
+    def word(hashed: Column) -> Column:
+        return F.shiftright(hashed.bitwiseAND(F.lit(MARK_BITS - 1)), 6)
+
+    def bit(hashed: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("long"), hashed.bitwiseAND(F.lit(63)).cast("int"))
+
+    marks = keys.groupBy(word(F.col(name)).alias("word")).agg(F.bit_or(bit(F.col(name))).alias("bits"))
+    marked = (word(df[name]) == marks["word"]) & (marks["bits"].bitwiseAND(bit(df[name])) != 0)
+    return df.join(F.broadcast(marks), marked, "left_semi")
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """Spreads the bits of 64-bit values (a bijection)."""
     x = x ^ (x >> np.uint64(33))

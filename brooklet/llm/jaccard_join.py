@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from brooklet.llm.common import BASE_2, SPACED, chunks, column, mixed, pairs_hash, powers, row_ranges, words, written
+from brooklet.llm.common import BASE_2, SPACED, chunks, column, maybe_among, mixed, pairs_hash, powers, row_ranges, words, written
 from brooklet.llm.components import components
 
 WORDS = 5
@@ -195,7 +195,9 @@ def similar_components(docs: DataFrame, key: str = "doc_id", size: int = WORDS,
 
     def sets_of(classes: DataFrame) -> DataFrame:
         """Whole sets, of one text each."""
-        texts = source.select("rid", "text").join(one.join(classes, "class").select("rid", "class").hint("shuffle_hash"), "rid").dropDuplicates(["rid"])
+        wanted = written(one.join(classes, "class").select("rid", "class"), "op2-wanted")
+        texts = maybe_among(source.select("rid", "text"), "rid", wanted.select("rid"))
+        texts = texts.join(wanted.hint("shuffle_hash"), "rid").dropDuplicates(["rid"])
         return written(texts.select("class", "text").mapInArrow(lambda it: _set_rows(it, size), "class long, shingles array<long>"), "op2-sets")
 
     live = buckets.withColumn("label", F.col("class"))
@@ -228,10 +230,11 @@ def similar_components(docs: DataFrame, key: str = "doc_id", size: int = WORDS,
         differ = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
         total = F.aggregate("pa", F.lit(0), lambda s, x: s + x) + F.aggregate("pb", F.lit(0), lambda s, x: s + x)
         both = written(both.where(differ <= total - 2 * F.ceil(F.lit(percent) * total / F.lit(100 + percent))).select("a", "b"), "op2-candidates")
+        ends = both.select(F.col("a").alias("class")).unionByName(both.select(F.col("b").alias("class")))
         if sets is None:  # the classes of crowded shingles too, so that later rounds have their sets
-            needed = both.select(F.col("a").alias("class")).unionByName(both.select(F.col("b").alias("class"))).unionByName(many.select("class"))
-            sets = sets_of(needed.distinct())
-        both = both.join(sets.select(F.col("class").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("class").alias("b"), F.col("shingles").alias("sb")), "b")
+            sets = sets_of(ends.unionByName(many.select("class")).distinct())
+        near_sets = maybe_among(sets, "class", ends)
+        both = both.join(near_sets.select(F.col("class").alias("a"), F.col("shingles").alias("sa")), "a").join(near_sets.select(F.col("class").alias("b"), F.col("shingles").alias("sb")), "b")
         common = F.size(F.array_intersect("sa", "sb"))
         union = F.size("sa") + F.size("sb") - common
         both = both.select("a", "b", common.alias("i"), union.alias("u"))
@@ -271,7 +274,8 @@ def one_of_each(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     Documents without words are in no group and all stay. Columns are those of ``docs``.
     """
     found = similar_components(docs, key).where("first").select(F.col("rid").alias("_rid"), (F.col("n_shingles") == 0).alias("_bare")).distinct()
-    kept = docs.withColumn("_rid", F.xxhash64(F.col(key).cast("long"), F.col("text").cast("string"))).join(written(found, "op2-first").hint("shuffle_hash"), "_rid")
+    found = written(found, "op2-first")
+    kept = docs.withColumn("_rid", F.xxhash64(F.col(key).cast("long"), F.col("text").cast("string"))).transform(lambda rows: maybe_among(rows, "_rid", found)).join(found.hint("shuffle_hash"), "_rid")
     kept = kept.withColumn("_row", F.when(F.col("_bare"), F.monotonically_increasing_id()).otherwise(F.lit(0)))
     return kept.dropDuplicates(["_rid", "_row"]).select(*docs.columns)
 
