@@ -238,3 +238,17 @@ def test_words_of_many_rows_at_once():
         for s, e, r in zip(starts, ends, rows, strict=True):
             found[first + r].append(data[s:e].tobytes().decode())
     assert found == [re.findall(brute.SPACED, t or "") for t in texts]
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 12, 1 << 24])
+def test_table_of_bits_loses_no_key(spark, monkeypatch, bits):
+    from brooklet.llm import common
+
+    monkeypatch.setattr(common, "MARK_BITS", bits)
+    rows = spark.range(2000).selectExpr("xxhash64(id) AS h", "id AS word", "CAST(id AS STRING) AS bits")
+    keys = rows.where("word % 50 = 0").select("h")
+    passed = common.maybe_among(rows, "h", keys)
+    assert passed.columns == ["h", "word", "bits"]
+    assert passed.join(keys, "h").count() == 40
+    assert common.maybe_among(rows, "h", keys.limit(0)).count() == 0
+    assert (40 <= passed.count() < 100) if bits > 64 else passed.count() <= 2000
