@@ -6,6 +6,7 @@ All of it is expressions of Spark; no row leaves the JVM and nothing is shuffled
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from math import sqrt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -16,21 +17,35 @@ BASE = (
     ("hex", r"[0-9a-f]+", 0, 16),
 )
 KINDS = [kind for kind, *_ in BASE] + ["random"]
-#: What the battery looks at: runs of characters of the usual encodings, of this length or more.
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}"
 #: Share of false findings among a text's candidates, and the limit of the joint statistic of three
 #: tests (chi-squared, three degrees of freedom, one in a thousand) beyond which a string is not random.
 FALSE_SHARE, NOT_RANDOM = 0.01, 16.27
+#: The battery takes strings whose length tells random from ordinary text in their encoding: so many standard
+#: deviations lie between the two (a typical random string then has p = 0.0002). Every encoding has that from 20 characters on.
+LEAST_FAR = 3.6
 # Inferred encodings: pattern, symbols, chance that two random neighbours differ in class, and how
 # ordinary text of the same characters differs: concentration of symbols and changes of class.
 ENCODINGS = (
     (r"^[0-9]+$", 10, 0.5, 1.0, 0.5),
     (r"^([0-9a-f]+|[0-9A-F]+)$", 16, 0.469, 2.0, 0.2),
     (r"^([a-z]+|[A-Z]+)$", 26, 0.31, 1.8, 0.65),
-    (r"^[A-Z2-7]+=*$", 32, 0.305, 2.2, 0.1),
-    (r"^[A-Za-z0-9]+$", 62, 0.622, 3.7, 0.15),
-    (r"^[A-Za-z0-9+/_-]+=*$", 64, 0.64, 3.7, 0.2),
+    (r"^([A-Z2-7]+|[a-z2-7]+)=*$", 32, 0.305, 2.2, 0.1),
+    (r"^([A-Z0-9]+|[a-z0-9]+)$", 36, 0.401, 2.2, 0.1),
+    (r"^[A-Za-z]+$", 52, 0.5, 2.7, 0.3),
+    (r"^[A-Za-z0-9]+$", 62, 0.622, 3.0, 0.3),
+    (r"^[A-Za-z0-9+/_-]+=*$", 64, 0.64, 3.4, 0.25),
 )
+DIGITS, LETTERS = 0, 2
+
+
+def _apart(n: float, symbols: float, change: float, heavy: float, usual: float) -> float:
+    """Standard deviations between random strings of n characters and ordinary text."""
+    return sqrt((n * (heavy - 1)) ** 2 / (2 * (symbols - 1)) + n * (usual - change) ** 2 / (change * (1 - change)))
+
+
+#: Characters that an encoding needs for the battery, and what is looked at: runs of as many as one of them needs.
+LEAST = [next((n for n in range(2, 1000) if _apart(n, *row[1:]) >= LEAST_FAR), 1000) for row in ENCODINGS]
+CANDIDATE = rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{{min(LEAST)},}}+={{0,2}}"
 
 
 def _places(text: Column, pattern: str, group: int, least: int) -> Column:
@@ -63,26 +78,29 @@ def _normal(x: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(1.5976) * x + F.lit(0.07056) * x * x * x)))
 
 
-def _tested(token: Column) -> Column:
+def _encoding(token: Column) -> Column:
+    """Place in ``ENCODINGS`` of the first one that has the token's characters."""
+    out = F.lit(len(ENCODINGS) - 1)
+    for k in reversed(range(len(ENCODINGS) - 1)):
+        out = F.when(token.rlike(ENCODINGS[k][0]), F.lit(k)).otherwise(out)
+    return out
+
+
+def _tested(token: Column, encoding: Column) -> Column:
     """p (chance that ordinary text looks as random as the token) and joint (how far it is from random)."""
     body = F.rtrim(token, F.lit("="))
     codes = F.transform(F.split(body, ""), lambda c: F.ascii(c))
     n = F.length(body).cast("double")
 
     def pick(at: int) -> Column:
-        out = F.lit(float(ENCODINGS[-1][at]))
-        for row in reversed(ENCODINGS[:-1]):
-            out = F.when(token.rlike(row[0]), F.lit(float(row[at]))).otherwise(out)
-        return out
+        return F.get(F.array(*[F.lit(float(row[at])) for row in ENCODINGS]), encoding)
 
     symbols, change, heavy, usual = (pick(i) for i in (1, 2, 3, 4))
-    letters = token.rlike(ENCODINGS[2][0])
 
     def kind(c: Column) -> Column:  # vowel or not for words; digit, small, capital or other letter
         vowel = F.lower(F.char(c)).isin("a", "e", "i", "o", "u").cast("int")
         digit = F.when(c.between(48, 57), 0).when(c.between(97, 122), 1).when(c.between(65, 90), 2).otherwise(3)
-        decimal = F.when(token.rlike(ENCODINGS[0][0]), (c < 53).cast("int")).otherwise(digit)
-        return F.when(letters, vowel).otherwise(decimal)
+        return F.when(encoding == LETTERS, vowel).otherwise(digit)
 
     measured = F.struct(codes.alias("c"), n.alias("n"), symbols.alias("a"), change.alias("p"), heavy.alias("h"), usual.alias("u"))
 
@@ -114,10 +132,11 @@ def find_secrets(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
 
     Places are code points, the end exclusive. The known forms are assignments to names such as
     password, access key ids and hexadecimal strings, leftmost matches that do not overlap within
-    a kind. Other long strings are ``random`` if symbols, changes of class and neighbours are as
+    a kind. Other strings are ``random`` if symbols, changes of class and neighbours are as
     in a random string of the encoding that their characters allow, and if ordinary text would look
     so too seldom: the Benjamini-Hochberg rule over the text's candidates, whose chances shrink
-    with length, holds the share of false findings. Random spans do not overlap those of known forms;
+    with length, holds the share of false findings. How long a string must be for that follows from
+    its encoding (``LEAST``), 20 characters at most. Random spans do not overlap those of known forms;
     strings of digits alone are never random spans.
 
     Null and empty texts have no span; null ids stay; repeated rows are searched one by one; an
@@ -126,12 +145,15 @@ def find_secrets(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *carry, F.col("text").cast("string").alias("text"), text.alias("whole"))
-    out = out.select("doc_id", *carry, "text", *[_places(F.col("whole"), pattern, group, least).alias(kind) for kind, pattern, group, least in BASE], _places(F.col("whole"), CANDIDATE, 0, 20).alias("candidates"))
+    out = out.select("doc_id", *carry, "text", *[_places(F.col("whole"), pattern, group, least).alias(kind) for kind, pattern, group, least in BASE], _places(F.col("whole"), CANDIDATE, 0, min(LEAST)).alias("candidates"))
     known = F.concat(*[F.transform(kind, _of_kind(k)) for k, (kind, *_) in enumerate(BASE)])
     out = out.select("doc_id", *carry, "text", F.array_sort(known).alias("known"), "candidates")
-    free = F.filter("candidates", lambda x: ~F.exists("known", lambda k: (k["first"] < x["end"]) & (x["first"] < k["end"])) & ~x["found"].rlike(ENCODINGS[0][0]))
-    out = out.withColumn("candidates", free)
-    tested = F.transform("candidates", lambda x: F.struct(_tested(x["found"]).alias("t"), x["first"].alias("first"), x["end"].alias("end")))
+    free = F.filter("candidates", lambda x: ~F.exists("known", lambda k: (k["first"] < x["end"]) & (x["first"] < k["end"])))
+    named = F.transform(free, lambda x: F.struct(x["first"].alias("first"), x["end"].alias("end"), x["found"].alias("found"), _encoding(x["found"]).alias("k")))
+    least = F.array(*[F.lit(n) for n in LEAST])
+    long_enough = F.filter(named, lambda x: (x["k"] != DIGITS) & (F.length(F.rtrim(x["found"], F.lit("="))) >= F.get(least, x["k"])))
+    out = out.withColumn("candidates", F.when(F.size("candidates") > 0, long_enough).otherwise(F.array().cast("array<struct<first:int,end:int,found:string,k:int>>")))
+    tested = F.transform("candidates", lambda x: F.struct(_tested(x["found"], x["k"]).alias("t"), x["first"].alias("first"), x["end"].alias("end")))
     ranked = F.array_sort(F.transform(tested, lambda x: F.struct(x["t"]["p"].alias("p"), x["t"]["joint"].alias("joint"), x["first"].alias("first"), x["end"].alias("end"))))
     out = out.withColumn("ranked", F.when(F.size("candidates") > 0, ranked))
     passed = F.transform("ranked", lambda x, i: F.when(x["p"] <= F.lit(FALSE_SHARE) * (i + 1) / F.size("ranked"), i + 1).otherwise(0))

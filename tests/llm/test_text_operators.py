@@ -142,6 +142,20 @@ def test_random_strings_are_found_and_words_are_not(spark):
     assert not any("random" in found[100 + i] for i in range(len(plain)))
 
 
+def test_long_secrets_of_every_alphabet_are_found(spark):
+    rng = random.Random(11)
+    small, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    alphabets = [small + digits, (small + digits).upper(), small + "234567", (small + "234567").upper(), small + small.upper(), small + small.upper() + digits, small + small.upper() + digits + "+/"]
+    rows = [(1000 * k + n, f"é {''.join(rng.choices(a, k=n))} end") for k, a in enumerate(alphabets) for n in (20, 24, 32, 40, 64, 128) for _ in range(40)]
+    found = dict.fromkeys((r[0] for r in rows), 0)
+    for r in secrets.find_secrets(docs_of(spark, rows).drop("spans")).collect():
+        found[r.doc_id] += any((s.kind, s.first, s.end) == ("random", 2, len(r.text) - 4) for s in r.spans)
+    assert not {k: x for k, x in found.items() if x < (30 if k % 1000 == 20 else 35)}
+    short = [(i, f"x {''.join(rng.choices(alphabets[5], k=17))} y") for i in range(40)]
+    assert sum(len(r.spans) == 1 for r in secrets.find_secrets(docs_of(spark, short).drop("spans")).collect()) >= 30
+    assert max(n for k, n in enumerate(secrets.LEAST) if k != secrets.DIGITS) <= 20
+
+
 def test_redaction_replaces_joined_spans(spark):
     df = spark.sql("SELECT 'aé12345z' AS t, array(named_struct('kind','hex','first',1,'end',4), named_struct('kind','random','first',3,'end',6)) AS s")
     assert df.select(secrets.redacted(df.t, df.s, "#").alias("x")).first().x == "a#5z"
