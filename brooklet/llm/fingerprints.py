@@ -13,8 +13,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: Words of a k-mer and of an inner s-mer (two words, by which the hashes below are made).
 K, S = 6, 2
-#: Anchors of a fingerprint: those with the smallest hashes, each at its first place.
-SKETCH = 64
 #: Words by which matched anchors may differ from the usual shift between two texts.
 SHIFT = 16
 #: Documents in one part of the order by id, and the most parts.
@@ -24,7 +22,7 @@ _LAST = 9223372036854775807
 
 
 def with_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
-    """Adds ``out``: the anchors (h, p) of a text column with the smallest hashes, ascending; p counts words.
+    """Adds ``out``: all anchors (h, p) of a text column, ascending; p counts words.
 
     A text of fewer than ``K`` words has one anchor of all its words; one without words has none.
     """
@@ -43,9 +41,8 @@ def with_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
     found = F.filter(F.transform("_s", anchor), lambda x: x.isNotNull())
     df = df.withColumn("_a", F.sort_array(found))
     whole = F.array(F.struct(F.xxhash64("_h").alias("h"), F.lit(0).alias("p")))
-    new = F.filter("_a", lambda x, i: (i == 0) | (F.get("_a", i - 1)["h"] != x["h"]))
     none = F.array().cast("array<struct<h:bigint,p:int>>")
-    anchors = F.when(n >= K, F.slice(new, 1, SKETCH)).when(n > 0, whole).otherwise(none)
+    anchors = F.when(n >= K, F.col("_a")).when(n > 0, whole).otherwise(none)
     return df.select(*kept, anchors.alias(out))
 
 
@@ -54,23 +51,34 @@ def fingerprint(anchors: Column) -> Column:
     return F.array_join(F.transform(anchors, lambda x: F.concat(F.hex(x["h"].bitwiseAND(F.lit(0xFFFFFFFF))), F.lit(":"), x["p"].cast("string"))), ",")
 
 
+def _bound(value: Column, made: Callable[[Column], Column]) -> Column:
+    """``made`` of a value that is computed once."""
+    return F.transform(F.array(value), made)[0]
+
+
 def likeness(a: Column, b: Column) -> Column:
-    """From 0 to 1: the share, among the smallest hashes of both, of anchors that both have at the same shift.
+    """From 0 to 1: the share, among the different anchors of both, of those that both have at the same shift.
 
-    The shift is the median difference of the places of shared anchors. Two fingerprints without
-    anchors are alike (1); one without is not like another one (0).
+    An anchor counts at its first place. The shift is the median difference of the places of shared
+    anchors. Two fingerprints without anchors are alike (1); one without is not like another one (0).
     """
     ha, hb = F.transform(a, lambda x: x["h"]), F.transform(b, lambda x: x["h"])
-    both = F.slice(F.array_sort(F.array_union(ha, hb)), 1, SKETCH)
-    pairs = F.filter(F.transform(a, lambda x: F.struct(x["h"].alias("h"), (x["p"] - F.get(F.filter(b, lambda y: y["h"] == x["h"]), F.lit(0))["p"]).alias("d"))), lambda x: x["d"].isNotNull())
-    state = F.struct(pairs.alias("pairs"), F.array_sort(F.transform(pairs, lambda x: x["d"])).alias("d"), both.alias("both"))
+
+    def sided(anchors: Column, side: int) -> Column:
+        return F.transform(anchors, lambda x: F.struct(x["h"].alias("h"), F.lit(side).alias("side"), x["p"].alias("p")))
+
+    def first(s: Column) -> Column:
+        return F.filter(s, lambda x, i: (i == 0) | (F.get(s, i - 1)["h"] != x["h"]) | (F.get(s, i - 1)["side"] != x["side"]))
+
+    def shifts(s: Column) -> Column:  # equal anchors of the two now stand next to each other
+        found = F.transform(s, lambda x, i: F.when(F.get(s, i - 1)["h"] == x["h"], F.get(s, i - 1)["p"] - x["p"]))
+        return F.struct(F.size(s).alias("n"), F.sort_array(F.filter(found, lambda d: d.isNotNull())).alias("d"))
 
     def share(s: Column) -> Column:
         middle = F.get(s["d"], F.floor(F.size(s["d"]) / 2).cast("int"))
-        same = F.filter(s["pairs"], lambda x: F.abs(x["d"] - middle) <= SHIFT)
-        return F.size(F.array_intersect(F.transform(same, lambda x: x["h"]), s["both"])) / F.size(s["both"])
+        return F.size(F.filter(s["d"], lambda d: F.abs(d - middle) <= SHIFT)) / (s["n"] - F.size(s["d"]))
 
-    out = F.transform(F.array(state), share)[0]
+    out = _bound(_bound(_bound(F.sort_array(F.concat(sided(a, 0), sided(b, 1))), first), shifts), share)
     return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).when(F.arrays_overlap(ha, hb), out).otherwise(F.lit(0.0))
 
 

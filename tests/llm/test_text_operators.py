@@ -185,6 +185,25 @@ def test_anchors_are_closed_syncmers(spark):
     assert all(x.p == same[x.h] + 2 for x in two if x.h in same)
 
 
+def test_long_texts_keep_all_anchors_and_shared_passages(spark):
+    rng = random.Random(4)
+    passage = [f"s{i}" for i in range(300)]
+
+    def own(name, n):
+        return [f"{name}{rng.randrange(10**6)}" for _ in range(n)]
+
+    one, two = own("a", 2000) + passage + own("b", 2700), own("c", 900) + passage + own("d", 3800)
+    df = spark.createDataFrame([(" ".join(one), " ".join(two), " ".join(passage))], "t string, u string, v string")
+    for c in "tuv":
+        df = fingerprints.with_anchors(df, c, f"{c}_anchors")
+    r = df.select("*", fingerprints.likeness(df.t_anchors, df.u_anchors).alias("x")).first()
+    inside = {x.h: x.p for x in r.v_anchors}
+    assert len(r.t_anchors) > 0.3 * len(one) and len(inside) > 80
+    assert {x.h: x.p - 2000 for x in r.t_anchors if x.h in inside} == inside == {x.h: x.p - 900 for x in r.u_anchors if x.h in inside}
+    shared = {x.h for x in r.t_anchors} & {x.h for x in r.u_anchors}
+    assert abs(r.x - len(shared) / len({x.h for x in r.t_anchors} | {x.h for x in r.u_anchors})) < 1e-12
+
+
 def test_pieces_are_those_of_the_library(spark, rows):
     sentencepiece = pytest.importorskip("sentencepiece")
     model = sentencepiece.SentencePieceProcessor(model_file=sentence_pieces.MODEL)
