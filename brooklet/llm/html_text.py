@@ -48,6 +48,8 @@ LABELLED_PAGES = """
 2/1.0o 90/0i+ 2/0i+ 1/1.0o 70/0i+ 3/0i+ 1/1.0o 5/0i+ 2/0i+
 4/1.0o 100/0+ 3/0+ 50/0+ 1/1.0o 40/0+
 1/1.0 1/0i+ 1/1.0o 2/0i+ 3/1.0 2/0i+ 2/0i+
+2/1.0 9/0i+h 90/0i+ 120/.02io+ 150/0io+ 12/0io 6/1.0io 130/.05io+ 40/.9io 7/0o
+8/0i+h 60/0i+ 5/0ioh 110/0io+ 140/.1io+ 10/.2io 4/1.0io 2/1.0io
 """
 _BLOCK = re.compile(r"(\d+)/([\d.]+)([ioh+]*)")
 
@@ -91,25 +93,76 @@ _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^
 _PART = re.compile(r"[A-Za-z]+")
 
 
-def _set_aside(tag: str, rest: str, inside: bool) -> bool:
-    """Whether an element holds no main text, by its name and attributes."""
+def _set_aside(tag: str, rest: str, inside: bool) -> bool | None:
+    """Whether an element holds no main text, by its name and attributes; None if only its class or id says so."""
     if tag in ASIDE or (tag == "header" and not inside):
         return True
     if tag in ("html", "body", "main", "article") or not rest:
         return False
+    named: bool | None = False
     for name, *values in _ATTRIBUTE.findall(rest):
         value, name = "".join(values).lower(), name.lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "role" and value in ROLES):
             return True
         if name in ("class", "id") and not NAMES.isdisjoint(_PART.findall(value)):
-            return True
-    return False
+            named = None
+    return named
+
+
+class _Names:
+    """Elements that a class or id names as no main text, which only the whole page can confirm.
+
+    A name does not count for an element that holds the main element, or an article at least half as
+    long as the page's longest; nor for one with more than half of the page's words, if no article
+    stands elsewhere. Articles inside articles, as comments may be, are parts of the outer one.
+    """
+
+    def __init__(self) -> None:
+        self.around: list[int] = []
+        self.words: list[int] = []
+        self.main: list[bool] = []
+        self.within: list[bool] = []
+        self.articles: list[tuple[int, list[int]]] = []
+        self.total = 0
+
+    def element(self, around: int, inside: bool) -> int:
+        self.around.append(around)
+        self.words.append(0)
+        self.main.append(False)
+        self.within.append(inside)
+        return len(self.around) - 1
+
+    def article(self, around: int) -> list[int]:
+        self.articles.append((around, [0]))
+        return self.articles[-1][1]
+
+    def confirmed(self) -> list[bool]:
+        longest = [0] * len(self.around)
+        for around, (n,) in self.articles:
+            if around >= 0:
+                longest[around] = max(longest[around], n)
+        for k in reversed(range(len(self.around))):
+            up = self.around[k]
+            if up >= 0:
+                self.words[up] += self.words[k]
+                self.main[up] = self.main[up] or self.main[k]
+                longest[up] = max(longest[up], longest[k])
+        best = max((n for _, (n,) in self.articles), default=0)
+        out: list[bool] = []
+        for k, up in enumerate(self.around):
+            most = 2 * self.words[k] > self.total and (self.within[k] or not best)
+            held = self.main[k] or most or 0 < best <= 2 * longest[k]
+            out.append(not held or (up >= 0 and out[up]))
+        return out
 
 
 def blocks(html: str) -> list[tuple[str, int, int, bool, bool, bool]]:
     """Flat text blocks in page order: text, words, linked words, inside an article, set aside, heading."""
     out: list[tuple[str, int, int, bool, bool, bool]] = []
-    stack: list[tuple[str, bool, bool]] = [("", False, False)]
+    names = _Names()
+    of: list[int] = []
+    # Tag, inside an article, set aside, the nearest element with a name, words of the outermost article.
+    stack: list[tuple[str, bool, bool, int, list[int] | None]] = [("", False, False, -1, None)]
     parts: list[tuple[str, bool]] = []
     linked = False
     heading = False
@@ -118,7 +171,15 @@ def blocks(html: str) -> list[tuple[str, int, int, bool, bool, bool]]:
         text = " ".join(unescape("".join(t for t, _ in parts)).split())
         if text:
             in_links = sum(len(unescape(t).split()) for t, a in parts if a)
-            out.append((text, len(text.split()), in_links, stack[-1][1], stack[-1][2], heading))
+            n = len(text.split())
+            _, inside, aside, named, article = stack[-1]
+            out.append((text, n, in_links, inside, aside, heading))
+            of.append(named)
+            names.total += n
+            if named >= 0:
+                names.words[named] += n
+            if article is not None:
+                article[0] += n
         parts.clear()
 
     at = 0
@@ -142,13 +203,21 @@ def blocks(html: str) -> list[tuple[str, int, int, bool, bool, bool]]:
             elif tag not in _VOID:
                 if tag in _SAME and stack[-1][0] == tag:
                     stack.pop()
-                _, inside, aside = stack[-1]
-                stack.append((tag, inside or tag in ("article", "main"), aside or _set_aside(tag, m["rest"], inside)))
+                _, inside, aside, named, article = stack[-1]
+                own = _set_aside(tag, m["rest"], inside)
+                if own is None:
+                    named = names.element(named, inside)
+                elif tag == "main" and named >= 0 and not aside:
+                    names.main[named] = True
+                elif tag == "article" and article is None and not aside:
+                    article = names.article(named)
+                stack.append((tag, inside or tag in ("article", "main"), aside or bool(own), named, article))
             heading = stack[-1][0] in ("h1", "h2", "h3", "h4", "h5", "h6")
     if at < len(html):
         parts.append((html[at:], linked))
     end()
-    return out
+    confirmed = names.confirmed()
+    return [(*x[:4], x[4] or (k >= 0 and confirmed[k]), x[5]) for x, k in zip(out, of, strict=True)]
 
 
 class Tree:

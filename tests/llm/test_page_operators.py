@@ -90,6 +90,20 @@ def test_pages_without_an_article():
     assert [x.split()[0] for x in html_text.main_text(html, tree).split("\n")] == ["Title", "word", "short", "more"]
 
 
+def test_names_on_wrappers_leave_the_article():
+    tree = html_text.Tree()
+    body = "<h1>A title of five words</h1>" + "".join(f"<p>{w} {'text ' * 40}</p>" for w in ("one", "two", "three"))
+    shell = "<nav><a href=/>Home</a></nav>{}<div class=sidebar><p>See <a href=x>this one</a></p></div><footer>us</footer>"
+    comments = "<ol class='comment-list'>" + "<li><article><p>" + "said " * 12 + "</p></article>" * 30 + "</ol>"
+    for page in ("<div id=page class='has-sidebar'><article>{}</article></div>", "<div class='content no-sidebar'><main>{}</main></div>", "<div class='content no-sidebar'>{}</div>", "<div class='widget'><div class='no-sidebar'><article>{}</article></div></div>", "<article>{}</article>" + comments, "<main><article>{}</article>" + comments + "</main>"):
+        text = html_text.main_text(shell.format(page.format(body)), tree)
+        assert [x.split()[0] for x in text.split("\n")] == ["A", "one", "two", "three"], page
+    two = "".join(f"<div class='post social'><article><h1>{w} title here now</h1><p>{w} {'text ' * n}</p></article></div>" for w, n in (("one", 60), ("two", 45)))
+    assert [x.split()[0] for x in html_text.main_text(two, tree).split("\n")] == ["one", "one", "two", "two"]
+    method = f"<article>{body}<section class='search-methods'><p>Methods {'text ' * 120}</p><p>Share <a href=x>this page now</a></p></section></article>"
+    assert [x.split()[0] for x in html_text.main_text(shell.format(method), tree).split("\n")] == ["A", "one", "two", "three", "Methods"]
+
+
 def test_broken_markup_ends():
     tree = html_text.Tree()
     for html in ("<", "<p", "<a href='", "<!--", "<script>", "</", "&", "<p class=\"x" * 2000, "<div>" * 5000):
