@@ -65,10 +65,17 @@ _SIZE = 32
 
 _WORDS = re.compile(r"[^\W\d_]+")
 _EDGES = re.compile(r"^[^\w@$]+|[\W_]+$")
+#: What no reading of a token begins or ends with: neither a letter nor what LEET writes for one.
+_MARKS = "".join(re.escape(x) for x in LEET if not x.isalnum())
+_OUTER = re.compile(rf"^(?:_|[^\w{_MARKS}])+|(?:_|[^\w{_MARKS}])+$")
 _PLAIN = re.compile(r"(?:[^\W\d_]+)(?:['’-][^\W\d_]+)*\Z")
 _THRICE = re.compile(r"([^\W\d_])\1\1", re.IGNORECASE)
 _LETTER = re.compile(r"[^\W\d_]")
-_SPACED = re.compile(r"(?<!\S)[\w@$!](?:[ ._*-][\w@$!]){2,}(?!\S)")
+#: Plain by its characters, but single letters with marks between them.
+_LETTERED = re.compile(r"[^\W\d_](?:['’-][^\W\d_]){2,}\Z")
+_ONE = rf"(?:[^\W_]|[{_MARKS}])"
+_SPACED = re.compile(rf"(?<![^\s\"'“‘(\[{{]){_ONE}(?:[ ._*'~-]+{_ONE}){{2,}}(?=[.,;:!?\"'”’)\]}}…]*(?!\S))")
+_SEPARATED = re.compile(r"[ ._*'~-]{2,}")
 
 
 def _trigram_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,13 +161,24 @@ class Restorer:
         core = _EDGES.sub("", token)
         if not _LETTER.search(core):
             return core
-        if _PLAIN.match(core) and not _THRICE.search(core):
-            return core.lower()
-        return self.read(core)
+        return core.lower() if _plain(core) else self.read(core)
+
+    def readings(self, token: str) -> list[str]:
+        """Readings of a token without the symbols at its ends, and with those that may be letters; none if both are plain."""
+        core, whole = _EDGES.sub("", token), _OUTER.sub("", token)
+        out = [] if _plain(core) else [self.token(token)]
+        if whole != core and _LETTER.search(whole):
+            out.append(self.read(whole))
+        return out
 
     def spaced(self, text: str) -> list[str]:
-        """Readings of runs of three or more single characters with one separator between them."""
-        return [self.read(m[0]) for m in _SPACED.finditer(text) if _LETTER.search(m[0])]
+        """Readings of runs of three or more single characters with separators between them; closing marks may follow."""
+        return [self.read(_SEPARATED.sub(lambda x: x[0][0], m[0])) for m in _SPACED.finditer(text) if _LETTER.search(m[0])]
+
+
+def _plain(core: str) -> bool:
+    """Whether a token without its edges has but one reading."""
+    return bool(_PLAIN.match(core)) and not _THRICE.search(core) and not _LETTERED.match(core)
 
 
 def _named(restored: str) -> set[str]:
@@ -177,7 +195,7 @@ def features(text: str, restorer: Restorer, known: dict[str, set[str]]) -> set[s
     if len(known) > REMEMBERED // 4:
         known.clear()
     for token in tokens.difference(known):
-        known[token] = _named(token.lower()) | _named(restorer.token(token))
+        known[token] = _named(token.lower()).union(*map(_named, restorer.readings(token)))
     out: set[str] = set().union(*map(known.__getitem__, tokens))
     for unit in restorer.spaced(text):
         out |= _named(unit)
@@ -267,8 +285,7 @@ def _score_rows(batches: Iterator[pa.RecordBatch], names: list[str], restorer: R
             text = text or ""
             tokens = set(text.split())
             for token in tokens.difference(known):
-                core = _EDGES.sub("", token)
-                known[token] = of(token.lower()) | (nothing if _PLAIN.match(core) and not _THRICE.search(core) else of(restorer.token(token)))
+                known[token] = of(token.lower()).union(*map(of, restorer.readings(token))) or nothing
             found: set[str] = set().union(*filter(None, map(known.__getitem__, tokens)))
             for unit in restorer.spaced(text):
                 found |= of(unit)

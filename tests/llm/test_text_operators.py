@@ -223,6 +223,18 @@ def test_readings_of_obfuscated_words(spark):
     assert restorer.spaced("you i d i o t there") == ["idiot"]
 
 
+def test_symbols_at_the_ends_and_marks_between_letters_are_read(spark):
+    docs = docs_of(spark, [(i, "the idiot said that a stupid crap and a pathetic dumbass to him in a class is an idiot of the class") for i in range(30)])
+    restorer = toxicity.Restorer(toxicity.character_model(docs))
+    for spelled, word in {"!diot": "idiot", "|diot,": "idiot", "(rap": "crap", "dumba$$": "dumbass", "dumb@$$.": "dumbass", "s+up!d": "stupid", "!d!o+": "idiot", "i-d-i-o-t!": "idiot", "crap!!!": "crap", "((crap))": "crap"}.items():
+        found = toxicity.features(f"x {spelled} y", restorer, {})
+        assert word in found, (spelled, restorer.readings(spelled))
+    for text in ("you i d i o t, there", "you i  d  i  o  t there", "(i d i o t)", "i - d - i - o - t!", "! d ! o t", "i_d_i_o_t", "i.d.i.o.t."):
+        assert restorer.spaced(text) == ["idiot"], text
+    assert restorer.readings("plain,") == restorer.readings("well-known") == [] and restorer.spaced("it is 1 2 3 4, a b") == []
+    assert toxicity._SPACED.search("a-" * 20_000 + "bb") is None and toxicity._SPACED.search("_" * 20_000) is None
+
+
 def test_scores_tell_held_out_toxic_texts(spark):
     rng = random.Random(9)
     plain = [f"{a}{b}" for a in ("re", "on", "ti", "la") for b in ("than", "ing", "ble", "est", "or")]
