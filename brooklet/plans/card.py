@@ -6,7 +6,7 @@ works on static frames and on streams.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -193,11 +193,16 @@ OUTPUTS = [
     "vendors",
     "transactions_operational_metadata",
 ]
+# With the records that are neither valid nor invalid, which the reference writes nowhere.
+ALL_OUTPUTS = [*OUTPUTS, "undecided_transactions"]
 SINK_RETRIES = 3
 
 
 def table_sinks(
-    spark: SparkSession, base: str, trigger_seconds: float | None = None
+    spark: SparkSession,
+    base: str,
+    trigger_seconds: float | None = None,
+    outputs: Sequence[str] = tuple(OUTPUTS),
 ) -> dict[str, Sink]:
     """A keyed table below ``base`` for each output of the full application."""
     # The orphans of a micro-batch are folded to one row per key before they are written.
@@ -213,7 +218,7 @@ def table_sinks(
             trigger_seconds=trigger_seconds,
             prepare=fold(folded[name]) if name in folded else None,
         )
-        for name in OUTPUTS
+        for name in outputs
     }
 
 
@@ -229,7 +234,7 @@ def full_application(
 ) -> QueryGroup:
     """One query per sink, from the sources to the sinks.
 
-    ``sinks`` goes by output name; ``undecided_transactions`` is a possible output as well. With
+    ``sinks`` goes by output name. With
     ``shared_pass`` (tables by output name) the stateless outputs of the transactions that it
     names come from one query that reads the stream once.
     """

@@ -19,7 +19,7 @@ from ..sources.tables import table_source
 from ..streaming.group import QueryGroup
 from ..streaming.sinks import upsert_sink
 from ..streaming.upsert import UpsertTable
-from .card import SINK_RETRIES, Sources, full_application, simple_application, table_sinks
+from .card import ALL_OUTPUTS, SINK_RETRIES, Sources, full_application, simple_application, table_sinks
 
 # The topics.
 CUSTOMER_TOPIC, VENDOR_TOPIC, TRANSACTION_TOPIC = "customer", "vendor", "transaction"
@@ -62,7 +62,7 @@ def deployed_full(
     return full_application(
         spark,
         deployed_sources(spark, topics, base),
-        table_sinks(spark, base),
+        table_sinks(spark, base, outputs=ALL_OUTPUTS),
         checkpoint_base,
         available_now=available_now,
     )

@@ -58,7 +58,15 @@ from ..sources.messages import (
     text_records,
 )
 from ..streaming.group import Output, QueryGroup
-from ..streaming.sinks import Sink, csv_sink, message_sink, to_messages, upsert_sink
+from ..streaming.sinks import (
+    CSV_TIME_FORMAT,
+    TRANSACTION_TIME_FORMAT,
+    Sink,
+    csv_sink,
+    message_sink,
+    to_messages,
+    upsert_sink,
+)
 from ..streaming.upsert import UpsertTable
 from . import adapter as given
 from .card import (
@@ -214,9 +222,9 @@ def json_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows to messages and back; the message format keeps whole seconds."""
+    """Rows to messages and back; the reference's format, which the SQL has, keeps whole seconds."""
     rows = given.transactions(spark, sf_dir).select(*TRANSACTION_COLUMNS)
-    messages = to_messages(rows, "customer_id")
+    messages = to_messages(rows, "customer_id", TRANSACTION_TIME_FORMAT)
     return plain_times(parse_json(messages, TRANSACTION))
 
 
@@ -657,7 +665,7 @@ def simple_transactions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def message_files_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions out as files of messages, in again as a stream of several micro-batches."""
     base = run_dir(spark, "message_files")
-    sink = message_sink("messages", "customer_id", f"{base}/messages")
+    sink = message_sink("messages", "customer_id", f"{base}/messages", TRANSACTION_TIME_FORMAT)
     _run(
         spark,
         [
@@ -686,7 +694,7 @@ def message_files_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_sink_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid transactions appended as CSV files and read back."""
     base = run_dir(spark, "csv")
-    sink = csv_sink("valid_transactions", base)
+    sink = csv_sink("valid_transactions", base, timestamp_format=CSV_TIME_FORMAT)
     _run(
         spark,
         [

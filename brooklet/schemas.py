@@ -227,6 +227,13 @@ TABLES = {
             buckets=15,
             order_by=("event_timestamp",),
         ),
+        TableSpec(
+            "undecided_transactions",
+            TRANSACTION,
+            ("transaction_id",),
+            buckets=15,
+            order_by=("event_timestamp",),
+        ),
         TableSpec(
             "customer_orphans",
             CUSTOMER_ORPHAN,

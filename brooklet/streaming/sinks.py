@@ -8,10 +8,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.types import TimestampNTZType, TimestampType
 
 from .upsert import DIRECT, UpsertTable, with_retries
 
+# The reference's formats, which keep whole seconds and milliseconds only; the default keeps microseconds.
 TRANSACTION_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+CSV_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSXXX"
+_WHOLE_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 @dataclass(frozen=True)
@@ -98,12 +102,28 @@ def fan_out_sink(
     return Sink(name, writer)
 
 
-def csv_sink(name: str, output_dir: str, trigger_seconds: float | None = 10) -> Sink:
-    """Appends CSV files with a header below ``<output_dir>/<name>.csv``."""
+def _times_as_text(df: DataFrame) -> DataFrame:
+    """Times with all their microseconds as text, as far as they are columns of their own."""
+    times = [f.name for f in df.schema if isinstance(f.dataType, (TimestampType, TimestampNTZType))]
+    return df.withColumns({c: df[c].cast("string") for c in times})
+
+
+def csv_sink(
+    name: str,
+    output_dir: str,
+    trigger_seconds: float | None = 10,
+    timestamp_format: str | None = None,
+) -> Sink:
+    """Appends CSV files with a header below ``<output_dir>/<name>.csv``.
+
+    Times keep their microseconds unless a ``timestamp_format`` says otherwise.
+    """
 
     def writer(df: DataFrame, checkpoint: str) -> DataStreamWriter:
+        rows = _times_as_text(df) if timestamp_format is None else df
         base = (
-            df.writeStream.outputMode("append")
+            rows.writeStream.outputMode("append")
+            .option("timestampFormat", timestamp_format or _WHOLE_TIME_FORMAT)
             .format("csv")
             .option("header", "true")
             .option("path", f"{output_dir.rstrip('/')}/{name}.csv")
@@ -127,16 +147,19 @@ def memory_sink(name: str, output_mode: str = "append") -> Sink:
 def to_messages(
     df: DataFrame,
     key: str | None,
-    timestamp_format: str = TRANSACTION_TIME_FORMAT,
+    timestamp_format: str | None = None,
     beside: tuple[str, ...] = (),
 ) -> DataFrame:
     """Rows as messages: the key as text, the row as JSON in which NULL fields are left out.
 
-    Columns named in ``beside`` stay next to the message and are not part of it.
+    Columns named in ``beside`` stay next to the message and are not part of it. Times keep their
+    microseconds unless a ``timestamp_format`` says otherwise.
     """
     fields = [c for c in df.columns if c not in beside]
     chosen = F.lit(None) if key is None else F.col(key)
-    value = F.to_json(F.struct(*fields), {"timestampFormat": timestamp_format})
+    times = [] if timestamp_format else [f.name for f in df.schema if isinstance(f.dataType, (TimestampType, TimestampNTZType))]
+    shown = [df[c].cast("string").alias(c) if c in times else df[c] for c in fields]
+    value = F.to_json(F.struct(*shown), {"timestampFormat": timestamp_format or _WHOLE_TIME_FORMAT})
     return df.select(chosen.cast("string").alias("key"), value.alias("value"), *beside)
 
 
@@ -144,7 +167,7 @@ def message_sink(
     name: str,
     key: str | None,
     target: str | Mapping[str, str],
-    timestamp_format: str = TRANSACTION_TIME_FORMAT,
+    timestamp_format: str | None = None,
     trigger_seconds: float | None = None,
     key_separator: str | None = None,
 ) -> Sink:

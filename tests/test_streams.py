@@ -271,6 +271,24 @@ def test_messages_leave_null_fields_out(spark):
     assert to_messages(rows, "vendor_id").first()["key"] == "3"
 
 
+def test_times_keep_their_microseconds(spark, tmp_path):
+    spark.sql("SELECT 1 AS id, TIMESTAMP'2018-11-12 09:42:00.123456' AS at").write.parquet(f"{tmp_path}/in")
+    assert to_messages(spark.read.parquet(f"{tmp_path}/in"), None).first()["value"] == '{"id":1,"at":"2018-11-12 09:42:00.123456"}'
+    sink = csv_sink("times", f"{tmp_path}/out", None)
+    group = QueryGroup(spark, [Output(lambda: spark.readStream.schema("id int, at timestamp").parquet(f"{tmp_path}/in"), sink)], f"{tmp_path}/cp", available_now=True)
+    group.start()
+    group.drain()
+    back = spark.read.schema("id int, at timestamp").csv(f"{tmp_path}/out/times.csv", header=True)
+    assert str(back.selectExpr("CAST(at AS STRING) AS at").first().at) == "2018-11-12 09:42:00.123456"
+
+
+def test_undecided_records_have_a_table(spark, tmp_path):
+    from brooklet.plans.deploy import deployed_full
+
+    group = deployed_full(spark, {}.get, f"{tmp_path}/tables", f"{tmp_path}/cp")
+    assert "undecided_transactions" in group.queries and "undecided_transactions" in TABLES
+
+
 def test_messages_go_round_through_files(spark, tmp_path):
     rows = [
         ("1", 1, 3, "SWIPED", samples.at("2018-11-12 09:42:00"), "5", "Debit"),
