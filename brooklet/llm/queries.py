@@ -5,6 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from brooklet.llm.chat_format import OP4_SQL, op4_chat_formatting
 from brooklet.llm.decontaminate import op6_benchmark_decontamination
+from brooklet.llm.embedding_dedup import OP11_SQL, op11_embedding_near_dedup
 from brooklet.llm.fingerprints import op3_document_fingerprints
 from brooklet.llm.html_text import op10_html_extraction
 from brooklet.llm.jaccard_join import OP2_SQL, op2_ngram_jaccard_join
@@ -27,6 +28,7 @@ LLM_QUERIES = {
     "op8_warc": op8_warc,
     "op9_secret_scans": op9_secret_scans,
     "op10_html_extraction": op10_html_extraction,
+    "op11_embedding_near_dedup": op11_embedding_near_dedup,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_vector_code_compression": op13_vector_code_compression,
     "pipeline": corpus_pipeline.run,
@@ -37,6 +39,7 @@ LLM_ORACLES: dict[str, str] = {
     "op2_ngram_jaccard_join": OP2_SQL,
     "op4_chat_formatting": OP4_SQL,
     "op8_warc": OP8_SQL,
+    "op11_embedding_near_dedup": OP11_SQL,
     "op12_merkle_manifest": OP12_SQL,
     "op13_vector_code_compression": OP13_SQL,
 }
