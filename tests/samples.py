@@ -1,36 +1,47 @@
-"""The sample run: four files of transactions and the tables around them."""
+"""The sample run: sales at a steady pace, a few of them odd, and the tables around them."""
 
 import json
 from collections import Counter
-from datetime import datetime
+from datetime import datetime, timedelta
 from pathlib import Path
 
-# (id, customer, vendor, state, time, card); two files share a minute, so a stream counts it twice.
-TRANSACTION_FILES = [
-    [
-        ("t-100", 7, 4, "CREATED", "2021-03-01 08:00:10", "Credit"),
-        ("t-100", 7, 4, "SWIPED", "2021-03-01 08:00:40", "Credit"),  # the same id again
-    ],
-    [
-        ("t-101", 8, 5, "AUTHORIZED", "2021-03-01 08:01:05", "Debit"),
-        ("t-102", 901, 4, "CREATED", "2021-03-01 08:01:30", "Debit"),  # a customer nobody knows
-        ("t-104", 8, 4, "LOST", "2021-03-01 08:01:45", "Debit"),  # no such state
-        ("t-103", 7, 902, "SWIPED", "2021-03-01 08:01:59", "Credit"),  # a vendor nobody knows
-    ],
-    [
-        ("t-105", 7, 5, "CREATED", "2021-03-01 08:01:50", "Voucher"),  # no such card
-        ("t-106", 8, 5, "SWIPED", "2021-03-01 08:05:00", "Debit"),
-    ],
-    [("t-107", 7, 4, "CREATED", "2021-03-01 09:00:00", "Credit")],
-]
-UNKNOWN_CUSTOMER, UNKNOWN_VENDOR = 901, 902
-BUSY_MINUTE, LAST_MINUTE = "2021-03-01 08:01:00", "2021-03-01 09:00:00"
+FIRST_SALE = datetime(2022, 6, 9, 14, 2)
+SALES, SECONDS_APART, SALES_PER_FILE = 12, 25, 2
+
+# Customers as the stream brings them: names, state, its abbreviation.
+CUSTOMERS = {21: ("Noor", "Haddad", 9, "NJ"), 22: ("Elif", "Stern", 14, "KS"), 23: ("Jun", "Park", 27, "NV")}
+STATES = {9: ("New Jersey", "NJ"), 14: ("Kansas", "KS"), 27: ("Nevada", "NV"), 30: ("Ohio", "OH")}
+VENDORS = {31: ("Lake Kiosk", "0700-1"), 32: ("Night Bus", "0700-2"), 33: ("Seed Shop", "0700-3")}
+DAY = "2022-06-08"
+UNKNOWN_CUSTOMER, UNKNOWN_VENDOR = 777, 888
+
+# What is odd about a sale, by its number; all others are sound.
+ODD_SALES = {
+    2: {"vendor": UNKNOWN_VENDOR},
+    4: {"state": "MISSING"},
+    7: {"card": "Cheque"},
+    9: {"customer": UNKNOWN_CUSTOMER},
+    11: {"id": "sale-05"},  # an id that came before
+}
+
+
+def _sale(number):
+    """(id, customer, vendor, state, time, card) of a sale."""
+    sale = {
+        "id": f"sale-{number:02d}",
+        "customer": list(CUSTOMERS)[number % 3],
+        "vendor": list(VENDORS)[number % 2],
+        "state": ("CREATED", "SWIPED", "AUTHORIZED")[number % 3],
+        "time": str(FIRST_SALE + timedelta(seconds=SECONDS_APART * number)),
+        "card": ("Debit", "Credit")[number % 2],
+    }
+    return tuple((sale | ODD_SALES.get(number, {})).values())
+
 
-# Customers as the stream brings them, with the abbreviation of their state; a comma ends a line.
-CUSTOMERS = {6: ("Ines", "Okafor", 2, "OR"), 7: ("Maja", "Lind", 3, "ME"), 8: ("Tariq", "Vega", 5, "UT")}
-STATES = {-1: ("Unknown", "??"), 2: ("Oregon", "OR"), 3: ("Maine", "ME"), 5: ("Utah", "UT")}
-VENDORS = {4: ("Corner Bakery", "555-01"), 5: ("Tram Tickets", "555-02")}
-DAY = "2021-02-28"
+ALL_ROWS = [_sale(number) for number in range(SALES)]
+TRANSACTION_FILES = [ALL_ROWS[i : i + SALES_PER_FILE] for i in range(0, SALES, SALES_PER_FILE)]
+# The third sale is in the first minute but in the second file, so a stream counts that minute twice.
+BUSY_MINUTE, BUSY_COUNTS, LAST_MINUTE = "2022-06-09 14:02:00", [2, 3], "2022-06-09 14:06:00"
 
 
 def _lines(rows):
@@ -55,7 +66,7 @@ STATIC_CUSTOMER_LINES = _lines(
         "state_abbreviation": "IA",
         "update_timestamp": DAY,
     }
-    for k in (7, 8)
+    for k in CUSTOMERS
 )
 STATE_LINES = [
     *_lines({"state_id": k, "state_name": name, "state_abbreviation": short} for k, (name, short) in STATES.items()),
@@ -76,7 +87,7 @@ def transaction_line(row):
             "vendor_id": vendor,
             "event_state": state,
             "event_timestamp": when,
-            "price": "100",
+            "price": f"{len(when) + customer / 4}",
             "card_type": card,
         }
     )
@@ -98,7 +109,6 @@ def write_in_order(directory, files, pause=0.02):
         os.utime(path, (1_600_000_000 + i * 10, 1_600_000_000 + i * 10))
 
 
-ALL_ROWS = [row for rows in TRANSACTION_FILES for row in rows]
-INVALID_IDS = sorted(r[0] for r in ALL_ROWS if r[3] == "LOST" or r[5] == "Voucher")
+INVALID_IDS = sorted(r[0] for r in ALL_ROWS if r[3] == "MISSING" or r[5] == "Cheque")
 VALID_IDS = sorted(r[0] for r in ALL_ROWS if r[0] not in INVALID_IDS)
 WINDOWS = dict(Counter(r[4][:-2] + "00" for r in ALL_ROWS))

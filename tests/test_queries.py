@@ -1,10 +1,12 @@
-"""Every registered query against the same query in SQL on another engine."""
+"""Every query of the flows against the same query in SQL on another engine; those on training text have tests of their own."""
 
 from pathlib import Path
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from brooklet.plans.oracles import ORACLES
+from brooklet.plans.queries import QUERIES
 from check import differences, oracle_rows
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -13,13 +15,13 @@ pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no tables her
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, name):
-    got = queries()[name](spark, SF_DIR).toArrow()
-    assert differences(got, oracle_rows(SF_DIR, oracle_sql()[name])) == []
+    got = QUERIES[name](spark, SF_DIR).toArrow()
+    assert differences(got, oracle_rows(SF_DIR, ORACLES[name])) == []
 
 
 def test_entry(spark):

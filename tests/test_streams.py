@@ -34,7 +34,7 @@ def tick_files(directory, files):
 
 
 def counted(spark, directory, checkpoint, name, delay="10 seconds"):
-    source = json_dir_stream(spark, directory)
+    source = json_dir_stream(spark, directory, files_per_trigger=1)
     build = lambda: count_by_window(source(TICK), "ts", delay=delay)
     group = QueryGroup(
         spark, [Output(build, memory_sink(name, "update"))], checkpoint, available_now=True
@@ -78,7 +78,7 @@ def test_rows_without_time_count_nowhere(spark):
 def test_equal_ids_count_once(spark, tmp_path, salts):
     files = [[("a", "00:05:30"), ("a", "00:05:31")], [("a", "00:05:32"), ("b", "00:05:33")]]
     tick_files(f"{tmp_path}/in", files)
-    source = json_dir_stream(spark, f"{tmp_path}/in")
+    source = json_dir_stream(spark, f"{tmp_path}/in", files_per_trigger=1)
     build = lambda: dedup_by_id(source(TICK), ["id"], "ts", "1 minute", salts)
     group = QueryGroup(
         spark, [Output(build, memory_sink(f"unique{salts}"))], f"{tmp_path}/cp", available_now=True
