@@ -31,7 +31,8 @@ from ..schemas import (
 )
 from ..sources.messages import Source
 from ..streaming.group import Output, QueryGroup
-from ..streaming.sinks import Sink, fan_out_sink, upsert_sink
+from ..streaming.live import Clock, Moment
+from ..streaming.sinks import Maintenance, Sink, fan_out_sink, upsert_sink
 from ..streaming.upsert import UpsertTable
 
 DELAY = "10 seconds"
@@ -43,20 +44,20 @@ UNKNOWN = "Unknown"
 UNKNOWN_STATE = -1
 
 
-def customer_orphan_columns() -> dict[str, Column]:
+def customer_orphan_columns(clock: Column | None = None) -> dict[str, Column]:
     return {
         "first_name": F.lit(UNKNOWN),
         "last_name": F.lit(UNKNOWN),
         "state_id": F.lit(UNKNOWN_STATE),
-        "update_timestamp": F.current_timestamp(),
+        "update_timestamp": F.current_timestamp() if clock is None else clock,
     }
 
 
-def vendor_orphan_columns() -> dict[str, Column]:
+def vendor_orphan_columns(clock: Column | None = None) -> dict[str, Column]:
     return {
         "vendor_name": F.lit(UNKNOWN),
         "phone_number": F.lit(UNKNOWN),
-        "update_timestamp": F.current_timestamp(),
+        "update_timestamp": F.current_timestamp() if clock is None else clock,
     }
 
 
@@ -72,12 +73,16 @@ def routed(transactions: DataFrame) -> dict[str, DataFrame]:
     return {route: part.select(*TRANSACTION_COLUMNS) for route, part in parts.items()}
 
 
-def customer_orphans(valid: DataFrame, customers: DataFrame, dedup: str = "batch") -> DataFrame:
-    return orphans(valid, customers, "customer_id", customer_orphan_columns(), dedup)
+def customer_orphans(
+    valid: DataFrame, customers: DataFrame, dedup: str = "batch", clock: Column | None = None
+) -> DataFrame:
+    return orphans(valid, customers, "customer_id", customer_orphan_columns(clock), dedup)
 
 
-def vendor_orphans(valid: DataFrame, vendors: DataFrame, dedup: str = "batch") -> DataFrame:
-    return orphans(valid, vendors, "vendor_id", vendor_orphan_columns(), dedup)
+def vendor_orphans(
+    valid: DataFrame, vendors: DataFrame, dedup: str = "batch", clock: Column | None = None
+) -> DataFrame:
+    return orphans(valid, vendors, "vendor_id", vendor_orphan_columns(clock), dedup)
 
 
 def customers_flow(customers: DataFrame, states: DataFrame) -> DataFrame:
@@ -198,28 +203,51 @@ ALL_OUTPUTS = [*OUTPUTS, "undecided_transactions"]
 SINK_RETRIES = 3
 
 
+# Which stored table an output is joined with.
+JOINED_WITH = {"customer_orphans": "customers", "vendor_orphans": "vendors", "customers": "states"}
+
+
+def join_live(name: str, batch: DataFrame, moment: Moment) -> DataFrame:
+    """An output of ``JOINED_WITH`` from a micro-batch of its stream and the table as it is now."""
+    side = moment.tables[JOINED_WITH[name]]
+    if name == "customers":
+        return customers_flow(batch, side)
+    flow = customer_orphans if name == "customer_orphans" else vendor_orphans
+    return flow(batch, side, clock=F.lit(moment.clock))
+
+
 def table_sinks(
     spark: SparkSession,
     base: str,
     trigger_seconds: float | None = None,
     outputs: Sequence[str] = tuple(OUTPUTS),
+    live: Mapping[str, UpsertTable] | None = None,
+    clock: Clock | None = None,
+    maintenance: Maintenance | None = None,
 ) -> dict[str, Sink]:
-    """A keyed table below ``base`` for each output of the full application."""
+    """A keyed table below ``base`` for each output of the full application.
+
+    With ``live`` (stored tables by name) the outputs of ``JOINED_WITH`` are joined in every micro-batch
+    with the version that is current then; their streams come without the join. ``clock`` gives
+    the time of a micro-batch for the orphans it finds.
+    """
     # The orphans of a micro-batch are folded to one row per key before they are written.
     folded = {"customer_orphans": "customer_id", "vendor_orphans": "vendor_id"}
 
-    def fold(key: str) -> Callable[[DataFrame], DataFrame]:
-        return lambda batch: batch.dropDuplicates([key])
-
-    return {
-        name: upsert_sink(
+    def sink(name: str) -> Sink:
+        joined = bool(live) and name in JOINED_WITH
+        return upsert_sink(
             UpsertTable(spark, f"{base}/{name}", TABLES[name]),
             retries=SINK_RETRIES,
             trigger_seconds=trigger_seconds,
-            prepare=fold(folded[name]) if name in folded else None,
+            prepare=(lambda batch: batch.dropDuplicates([folded[name]])) if name in folded else None,
+            join=(lambda batch, moment: join_live(name, batch, moment)) if joined else None,
+            live={JOINED_WITH[name]: live[JOINED_WITH[name]]} if joined else None,
+            clock=clock,
+            maintenance=maintenance,
         )
-        for name in outputs
-    }
+
+    return {name: sink(name) for name in outputs}
 
 
 def full_application(
@@ -231,15 +259,19 @@ def full_application(
     available_now: bool = False,
     dedup: str = "batch",
     shared_pass: Mapping[str, UpsertTable] | None = None,
+    live: bool = False,
 ) -> QueryGroup:
     """One query per sink, from the sources to the sinks.
 
-    ``sinks`` goes by output name. With
+    ``sinks`` goes by output name. With ``live`` they join the stored tables themselves, as those of
+    ``table_sinks`` with live tables do; else a query keeps the tables as they were at its start. With
     ``shared_pass`` (tables by output name) the stateless outputs of the transactions that it
     names come from one query that reads the stream once.
     """
 
     def build(name: str) -> Callable[[], DataFrame]:
+        if live and name in JOINED_WITH:
+            return lambda: live_input(name, sources)
         if name == "customers":
             return lambda: customers_flow(sources.customer_stream(CUSTOMER), sources.states(STATE))
         if name == "vendors":
@@ -253,6 +285,13 @@ def full_application(
     return QueryGroup(spark, outputs, checkpoint_base, before_start, available_now)
 
 
+def live_input(name: str, sources: Sources) -> DataFrame:
+    """The stream behind an output of ``JOINED_WITH``, before the join."""
+    if name == "customers":
+        return sources.customer_stream(CUSTOMER)
+    return routed(with_watermark(sources.transaction_stream(TRANSACTION), EVENT_TIME, DELAY))[VALID]
+
+
 def transaction_output(
     name: str, transactions: DataFrame, sources: Sources, dedup: str = "batch"
 ) -> DataFrame:

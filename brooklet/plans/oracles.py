@@ -280,4 +280,23 @@ UNION SELECT 'vendor_orphans', count(*) FROM ({VENDOR_ORPHANS})""",
 FROM ({VALID})""",
     "csv_sink_stream": f"SELECT * REPLACE (date_trunc('millisecond', event_timestamp) AS event_timestamp) FROM ({VALID})",
     "dedup_by_id_stream": CLOSED_WINDOWS,
+    "live_customers_stream": f"""{WITH_CHECKED}
+SELECT DISTINCT customer_id, 'Unknown' AS first_name, 'Unknown' AS last_name, -1 AS state_id
+FROM checked
+WHERE valid_record AND NOT EXISTS (
+  SELECT 1 FROM customer
+  WHERE c_custkey = customer_id AND (c_custkey % 3 <> 0 OR CAST(transaction_id AS BIGINT) % 4 >= 2))""",
+    "orphan_first_seen_stream": f"""{WITH_CHECKED}
+SELECT customer_id, TIMESTAMP '2024-01-01 00:00:00' + to_hours(min(CAST(transaction_id AS BIGINT) % 4)) AS update_timestamp
+FROM checked
+WHERE valid_record AND NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = customer_id)
+GROUP BY customer_id""",
+    "table_count_audit_commits": f"""SELECT 'valid_transactions' AS table_name, count(*) AS num_rows FROM ({VALID})
+UNION SELECT 'invalid_transactions', count(*) FROM ({INVALID})
+UNION SELECT 'customer_orphans', count(*) FROM ({CUSTOMER_ORPHANS})
+UNION SELECT 'vendor_orphans', count(*) FROM ({VENDOR_ORPHANS})""",
+    "day_lookup": """
+SELECT CAST(l_shipdate AS TIMESTAMP) AS l_shipdate, l_orderkey, CAST(l_linenumber AS INTEGER) AS l_linenumber, CAST(l_quantity AS DOUBLE) AS l_quantity
+FROM lineitem
+WHERE l_shipdate BETWEEN DATE '1995-03-10' AND DATE '1995-03-14'""",
 }

@@ -8,6 +8,8 @@ Queries that run a stream write below the shared folder of the session and end b
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +18,7 @@ from pyspark.sql.types import StructType, TimestampType
 from ..functions.avro_schema import parsing_form
 from ..functions.parse import once
 from ..functions.text import has_keyword
-from ..operators.audit import audit_counts
+from ..operators.audit import audit_counts, audit_tables
 from ..operators.evolve import decode, encode_envelope, split_envelope
 from ..operators.latest import latest
 from ..operators.lifecycle import lifecycle, reprocess
@@ -48,7 +50,7 @@ from ..schemas import (
     struct,
 )
 from ..session import run_dir
-from ..sources.files import json_dir_stream, json_file, parquet_stream
+from ..sources.files import json_file, message_dir_stream, parquet_stream
 from ..sources.messages import (
     BROKER_TIME,
     field_records,
@@ -316,18 +318,20 @@ def upsert_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_times(upserts.read())
 
 
+SHIPMENTS = TableSpec(
+    "shipments",
+    struct(l_shipdate=TIME, l_orderkey=LONG, l_linenumber=INT, l_quantity=DOUBLE),
+    ("l_shipdate", "l_orderkey", "l_linenumber"),
+    hash_columns=("l_orderkey",),
+    buckets=2,
+    range_column="l_shipdate",
+)
+
+
 def offload_old_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shipped lines moved out of a keyed table by month, and those that stay."""
-    spec = TableSpec(
-        "shipments",
-        struct(l_shipdate=TIME, l_orderkey=LONG, l_linenumber=INT, l_quantity=DOUBLE),
-        ("l_shipdate", "l_orderkey", "l_linenumber"),
-        hash_columns=("l_orderkey",),
-        buckets=2,
-        range_column="l_shipdate",
-    )
     path = run_dir(spark, "shipments")
-    shipments = UpsertTable(spark, path, spec)
+    shipments = UpsertTable(spark, path, SHIPMENTS)
     lines = given.table(spark, sf_dir, "lineitem")
     dated = lines.withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp"))
     shipments.load(dated)
@@ -341,7 +345,7 @@ def offload_old_months(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.max("l_shipdate").alias("last_day"),
         )
 
-    old = spark.read.parquet(f"{path}-old").select(*spec.schema.names)
+    old = spark.read.parquet(f"{path}-old").select(*SHIPMENTS.schema.names)
     return plain_times(measured(old, "files").union(measured(shipments.read(), "table")))
 
 
@@ -662,27 +666,119 @@ def simple_transactions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_times(upserts.read())
 
 
+QUARTERS = 4
+FIRST_CLOCK = datetime(2024, 1, 1)
+
+
+def _quarters(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """All events in four parts by their id."""
+    events = given.table(spark, sf_dir, "events")
+    return [events.where(F.pmod("event_id", F.lit(QUARTERS)) == n) for n in range(QUARTERS)]
+
+
+def _arriving(spark: SparkSession, path: str) -> Callable[[StructType], DataFrame]:
+    """Transactions from the files of events that arrive at ``path``."""
+    return lambda schema: given.transactions_from(parquet_stream(spark, path))
+
+
+def _orphans_while_running(
+    spark: SparkSession, sf_dir: str, base: str, between: Callable[[int, UpsertTable], None]
+) -> DataFrame:
+    """Orphans of a query that runs while four parts of the events arrive; ``between`` changes the customers before each."""
+    customers = UpsertTable(spark, f"{base}/known", TABLES["customers"])
+    sinks = table_sinks(
+        spark,
+        base,
+        outputs=["customer_orphans"],
+        live={"customers": customers},
+        clock=lambda batch_id: FIRST_CLOCK + timedelta(hours=batch_id),
+    )
+    parts = _quarters(spark, sf_dir)
+    sources = replace(_sources(spark, sf_dir), transaction_stream=_arriving(spark, f"{base}/in"))
+    group = None
+    for n, part in enumerate(parts):
+        between(n, customers)
+        part.write.mode("append").parquet(f"{base}/in")
+        if group is None:
+            group = full_application(spark, sources, _named(sinks, base), f"{base}/checkpoints", live=True)
+            group.start()
+        group.drain()
+    group.stop()
+    return plain_times(UpsertTable(spark, f"{base}/customer_orphans", TABLES["customer_orphans"]).read())
+
+
+def _stored_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return customers_flow(given.customers(spark, sf_dir), given.states(spark, sf_dir))
+
+
+def live_customers_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers whose id divides by 3 arrive after the first half of the events; the running query sees them."""
+    base = run_dir(spark, "live")
+    every = _stored_customers(spark, sf_dir)
+
+    def between(part: int, customers: UpsertTable) -> None:
+        if part == 0:
+            customers.load(every.where("customer_id % 3 <> 0"))
+        if part == QUARTERS // 2:
+            customers.load(every.where("customer_id % 3 = 0"))
+
+    return _orphans_while_running(spark, sf_dir, base, between).drop(CLOCK)
+
+
+def orphan_first_seen_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orphans with the time of the micro-batch that saw them first, however often they come again."""
+    base = run_dir(spark, "first_seen")
+    every = _stored_customers(spark, sf_dir)
+    load = lambda part, customers: customers.load(every) if part == 0 else None
+    return _orphans_while_running(spark, sf_dir, base, load).select("customer_id", CLOCK)
+
+
+def table_count_audit_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the streamed tables as their commits tell, without reading a table after the flow."""
+    base = run_dir(spark, "audit")
+    names = ["valid_transactions", "invalid_transactions", "customer_orphans", "vendor_orphans"]
+    sinks = {**table_sinks(spark, base, outputs=names)}
+    group = full_application(spark, _sources(spark, sf_dir), _named(sinks, base), f"{base}/checkpoints", available_now=True)
+    group.start()
+    group.drain()
+    tables = {n: UpsertTable(spark, f"{base}/{n}", TABLES[n]) for n in names}
+    for stored in tables.values():
+        stored.compact(full=True, settled=True)
+    return audit_tables(spark, tables)
+
+
+def day_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shipped lines of a few days from a keyed table, which reads one month of its snapshot."""
+    shipments = UpsertTable(spark, run_dir(spark, "days"), SHIPMENTS)
+    lines = given.table(spark, sf_dir, "lineitem")
+    dated = lines.withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp"))
+    shipments.load(dated.where("l_linenumber > 1"))
+    shipments.compact(settled=True)
+    shipments.load(dated.where("l_linenumber <= 2"))
+    return plain_times(shipments.read(between=(datetime(1995, 3, 10), datetime(1995, 3, 14))))
+
+
 def message_files_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Transactions out as files of messages, in again as a stream of several micro-batches."""
+    """Transactions out as files of messages with their keys, in again file by file."""
     base = run_dir(spark, "message_files")
     sink = message_sink("messages", "customer_id", f"{base}/messages", TRANSACTION_TIME_FORMAT)
     _run(
         spark,
         [
             Output(
-                lambda: given.transaction_stream(spark, sf_dir).drop("timestamp"),
+                lambda: given.transaction_stream(spark, sf_dir).drop("timestamp").repartition(3),
                 Sink(f"messages_{base[-8:]}", sink.writer),
             )
         ],
         base,
     )
     upserts = UpsertTable(spark, f"{base}/valid", TABLES["valid_transactions"])
-    source = json_dir_stream(spark, f"{base}/messages", "event_timestamp")
+    messages = lambda: message_dir_stream(spark, f"{base}/messages", files_per_trigger=1)
     _run(
         spark,
         [
             Output(
-                lambda: routed(source(TRANSACTION))["valid"],
+                lambda: routed(parse_json(messages(), TRANSACTION))["valid"],
                 Sink(f"valid_{base[-8:]}", upsert_sink(upserts, retries=3).writer),
             )
         ],
@@ -808,4 +904,8 @@ QUERIES: dict[str, Query] = {
     "message_files_stream": message_files_stream,
     "csv_sink_stream": csv_sink_stream,
     "dedup_by_id_stream": dedup_by_id_stream,
+    "live_customers_stream": live_customers_stream,
+    "orphan_first_seen_stream": orphan_first_seen_stream,
+    "table_count_audit_commits": table_count_audit_commits,
+    "day_lookup": day_lookup,
 }

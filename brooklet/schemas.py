@@ -169,13 +169,18 @@ STATES = [
 ]
 
 
+# Which version of a key a table keeps.
+LAST, FIRST = "last", "first"
+
+
 @dataclass(frozen=True)
 class TableSpec:
     """Layout of a keyed table.
 
     ``key`` is the primary key. ``buckets`` hash buckets over ``hash_columns`` (the key when
     empty) and calendar months of ``range_column`` become partition folders. ``order_by`` breaks
-    ties between two versions of a key written by the same micro-batch.
+    ties between two versions of a key written by the same micro-batch. A table keeps the last version
+    of a key, or the first: then a key that is there is never written again.
     """
 
     name: str
@@ -185,6 +190,7 @@ class TableSpec:
     buckets: int = 10
     range_column: str | None = None
     order_by: tuple[str, ...] = ()
+    keep: str = LAST
 
     def __post_init__(self) -> None:
         names = set(self.schema.fieldNames())
@@ -193,6 +199,8 @@ class TableSpec:
                 raise ValueError(f"{self.name}: no column {column}")
         if not self.key:
             raise ValueError(f"{self.name}: a keyed table needs a key")
+        if self.keep not in (LAST, FIRST):
+            raise ValueError(f"{self.name}: keep is {LAST!r} or {FIRST!r}")
         if self.buckets < 1:
             raise ValueError(f"{self.name}: buckets must be positive")
         # Pruning by bucket or month is only right where both follow from the key.
@@ -240,9 +248,21 @@ TABLES = {
             ("customer_id",),
             buckets=1,
             order_by=("update_timestamp",),
+            keep=FIRST,
         ),
         TableSpec(
-            "vendor_orphans", VENDOR, ("vendor_id",), buckets=1, order_by=("update_timestamp",)
+            "vendor_orphans",
+            VENDOR,
+            ("vendor_id",),
+            buckets=1,
+            order_by=("update_timestamp",),
+            keep=FIRST,
+        ),
+        TableSpec(
+            "malformed_messages",
+            struct(topic=TEXT, partition=INT, offset=LONG, timestamp=TIME, value=BYTES),
+            ("topic", "partition", "offset"),
+            buckets=1,
         ),
         TableSpec("transactions_operational_metadata", WINDOW_COUNT, ("start_ts",), buckets=1),
         TableSpec(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.parse import once
-from ..schemas import EVENT_TIME
+from ..schemas import EVENT_TIME, TEXT, struct
 from .messages import Source
 
 
@@ -26,6 +26,16 @@ def json_dir_stream(
     return load
 
 
+def message_dir_stream(
+    spark: SparkSession, path: str, files_per_trigger: int | None = None
+) -> DataFrame:
+    """Files of messages, one JSON object with ``key`` and ``value`` per line, as a stream of both."""
+    reader = spark.readStream.schema(struct(key=TEXT, value=TEXT))
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.json(path)
+
+
 def json_file(spark: SparkSession, path: str, view: str | None = None) -> Source:
     """JSON lines as a static table. A trailing comma is tolerated, blank lines are left out."""
 

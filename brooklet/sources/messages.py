@@ -12,7 +12,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.parse import once
 from ..functions.text import nth_field
@@ -56,20 +56,27 @@ def with_prefix(settings: Mapping[str, str], prefix: str) -> dict[str, str]:
 
 
 def kafka_options(
-    properties: Mapping[str, str], topic: str, starting: str = "latest"
+    properties: Mapping[str, str],
+    topic: str,
+    starting: str = "latest",
+    options: Mapping[str, str] | None = None,
 ) -> dict[str, str]:
-    """Reader options: client settings under the connector's prefix, topic and start position."""
-    options = {CLIENT_PREFIX + key: value for key, value in properties.items()}
-    options["subscribe"] = topic
-    options["startingOffsets"] = starting
-    return options
+    """Reader options: client settings under the connector's prefix, topic, start position, and any of the
+    reader's own ``options``, such as ``maxOffsetsPerTrigger``, as they are."""
+    found = {CLIENT_PREFIX + key: value for key, value in properties.items()}
+    return found | {"subscribe": topic, "startingOffsets": starting} | dict(options or {})
 
 
 def message_stream(
-    spark: SparkSession, properties: Mapping[str, str], topic: str, starting: str = "latest"
+    spark: SparkSession,
+    properties: Mapping[str, str],
+    topic: str,
+    starting: str = "latest",
+    options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """A topic as a stream of messages."""
-    return spark.readStream.format("kafka").options(**kafka_options(properties, topic, starting)).load()
+    found = kafka_options(properties, topic, starting, options)
+    return spark.readStream.format("kafka").options(**found).load()
 
 
 def message_backlog(spark: SparkSession, properties: Mapping[str, str], topic: str) -> DataFrame:
@@ -102,6 +109,15 @@ def parse_json(
     return rows.withColumn(EVENT_TIME, F.col(event_time))
 
 
+def malformed(messages: DataFrame, schema: StructType) -> DataFrame:
+    """Messages whose text is not a JSON object of this schema, raw, with the place they came from."""
+    text = F.col("value").cast("string")
+    broken = "_corrupt_record"
+    parsed = F.from_json(text, StructType([*schema.fields, StructField(broken, StringType())]), {"columnNameOfCorruptRecord": broken})
+    place = [F.col(c).cast(kind).alias(c) for c, kind in (("topic", "string"), ("partition", "int"), ("offset", "bigint"), ("timestamp", "timestamp"))]
+    return messages.where(text.isNull() | parsed[broken].isNotNull()).select(*place, F.col("value").cast("binary").alias("value"))
+
+
 def parse_text(messages: DataFrame) -> DataFrame:
     """Message values as text."""
     return messages.select(F.col("value").cast("string").alias("value"))

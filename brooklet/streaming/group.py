@@ -91,6 +91,12 @@ class QueryGroup:
         if len(self.queries) != len(outputs):
             raise ValueError("two outputs have the same name")
 
+    def add(self, output: Output, checkpoint_base: str, available_now: bool = False) -> None:
+        """One more query, started after the others."""
+        if output.sink.name in self.queries:
+            raise ValueError("two outputs have the same name")
+        self.queries[output.sink.name] = NamedQuery(output, checkpoint_base, available_now)
+
     def start(self) -> None:
         for step in self._before_start:
             step()

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
-from .upsert import DIRECT, UpsertTable, with_retries
+from .live import Clock, Moment, moment_of
+from .upsert import DIRECT, KEPT_VERSIONS, UpsertTable, with_retries
 
 # The reference's formats, which keep whole seconds and milliseconds only; the default keeps microseconds.
 TRANSACTION_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -18,6 +19,23 @@ CSV_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSXXX"
 _WHOLE_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
+@dataclass(frozen=True)
+class Maintenance:
+    """Folds a table after every ``compact_every`` micro-batches, merges all layers at every
+    ``merge_every``-th fold, and then removes what only versions before the newest ``keep_versions`` need.
+    """
+
+    compact_every: int = 200
+    merge_every: int = 10
+    keep_versions: int = KEPT_VERSIONS
+
+    def after(self, table: UpsertTable, batch_id: int) -> None:
+        folds, rest = divmod(batch_id + 1, self.compact_every)
+        if rest == 0:
+            table.compact(full=folds % self.merge_every == 0)
+            table.clean_up(self.keep_versions)
+
+
 @dataclass(frozen=True)
 class Sink:
     """A name and the way to set up a writer for a frame and a checkpoint folder."""
@@ -48,22 +66,41 @@ def upsert_sink(
     prepare: Callable[[DataFrame], DataFrame] | None = None,
     before_retry: Callable[[], None] | None = None,
     output_mode: str = "update",
+    join: Callable[[DataFrame, Moment], DataFrame] | None = None,
+    live: Mapping[str, UpsertTable] | None = None,
+    clock: Clock | None = None,
+    maintenance: Maintenance | None = None,
 ) -> Sink:
     """Writes micro-batches to a keyed table, each of them again after an error.
 
-    ``prepare`` is applied to every micro-batch as a static frame.
+    ``prepare`` is applied to every micro-batch as a static frame. ``join`` comes before it and also gets
+    the micro-batch's moment: a time, and the rows of the ``live`` tables as they are when it is
+    first tried. A second try has the same moment, as the query's checkpoint notes it.
+    ``maintenance`` folds the table after every so many micro-batches.
     """
     if output_mode != "update":
         raise ValueError(f"a keyed table takes output mode update, not {output_mode}")
     if retries < 0:
         raise ValueError("retries must be non-negative")
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch if prepare is None else prepare(batch)
-        writer_id = query_id(batch)
-        with_retries(lambda: table.write_batch(rows, batch_id, writer_id), retries, before_retry)
+    if live and join is None:
+        raise ValueError("live tables need a function that joins them")
 
     def writer(df: DataFrame, checkpoint: str) -> DataStreamWriter:
+        def write(batch: DataFrame, batch_id: int) -> None:
+            writer_id = query_id(batch)
+
+            def attempt() -> None:
+                rows = batch
+                if join is not None:
+                    rows = join(rows, moment_of(batch.sparkSession, checkpoint, batch_id, live or {}, clock))
+                if prepare is not None:
+                    rows = prepare(rows)
+                table.write_batch(rows, batch_id, writer_id)
+
+            with_retries(attempt, retries, before_retry)
+            if maintenance is not None:
+                maintenance.after(table, batch_id)
+
         base = df.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
         return _trigger(base.foreachBatch(write), trigger_seconds)
 
@@ -169,22 +206,22 @@ def message_sink(
     target: str | Mapping[str, str],
     timestamp_format: str | None = None,
     trigger_seconds: float | None = None,
-    key_separator: str | None = None,
+    values_only: bool = False,
 ) -> Sink:
     """Rows as messages: to a topic, given the options of the Kafka sink, or to files of lines.
 
-    A line holds the value; with ``key_separator`` it begins with the key, empty if there is none.
+    A line is a JSON object with the message's ``key`` and ``value``, both text, which
+    ``sources.files.message_dir_stream`` reads; with ``values_only`` it is the value alone.
     """
 
     def writer(df: DataFrame, checkpoint: str) -> DataStreamWriter:
         messages = to_messages(df, key, timestamp_format)
-        if isinstance(target, str):
-            line = F.col("value")
-            if key_separator is not None:
-                line = F.concat(F.coalesce("key", F.lit("")), F.lit(key_separator), "value")
-            lines = messages.select(line.alias("value")).writeStream.format("text").option("path", target)
-        else:
+        if not isinstance(target, str):
             lines = messages.writeStream.format("kafka").options(**target)
+        elif values_only:
+            lines = messages.select("value").writeStream.format("text").option("path", target)
+        else:
+            lines = messages.writeStream.format("json").option("path", target)
         return _trigger(
             lines.outputMode("append").option("checkpointLocation", checkpoint), trigger_seconds
         )

@@ -53,6 +53,8 @@ def test_full(spark, tmp_path):
     assert sorted(r["transaction_id"] for r in valid) == samples.VALID_IDS
     assert sorted(r["transaction_id"] for r in read["invalid_transactions"].read().collect()) == samples.INVALID_IDS
     assert read["invalid_transactions"].rejects().count() == 1
+    (broken,) = UpsertTable(spark, f"{tables}/malformed_messages", TABLES["malformed_messages"]).read().collect()
+    assert (broken["topic"], bytes(broken["value"])) == ("transaction", b'{"transaction_id":')
     assert read["customer_orphans"].read().first()["customer_id"] == samples.UNKNOWN_CUSTOMER
     assert read["vendor_orphans"].read().first()["vendor_id"] == samples.UNKNOWN_VENDOR
     counts = read["transactions_operational_metadata"].read().collect()

@@ -1,6 +1,7 @@
 """Restart, late rows, de-duplication, query groups and the other sinks."""
 
 import time
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,10 +10,12 @@ import samples
 from brooklet.operators.enrich import enrich
 from brooklet.operators.windows import count_by_window, dedup_by_id
 from brooklet.plans.card import routed
-from brooklet.schemas import INT, TABLES, TEXT, TIME, TRANSACTION, TableSpec, struct
-from brooklet.sources.files import json_dir_stream, parquet_stream
+from brooklet.schemas import FIRST as KEEP_FIRST, INT, TABLES, TEXT, TIME, TRANSACTION, TableSpec, struct
+from brooklet.sources.files import json_dir_stream, message_dir_stream, parquet_stream
+from brooklet.sources.messages import parse_json
 from brooklet.streaming.group import Output, QueryGroup
 from brooklet.streaming.sinks import (
+    Maintenance,
     Sink,
     checkpoint_path,
     csv_sink,
@@ -118,7 +121,8 @@ def test_restart_goes_on_where_it_stopped(spark, tmp_path):
     assert sorted(tuple(r) for r in table.read().collect()) == [(1, "a"), (2, "c"), (3, "d")]
     # Each message was written by one batch only.
     log = spark.read.parquet(f"{tmp_path}/table/log")
-    assert sorted((r["batch_id"], r["id"]) for r in log.collect()) == [(0, 1), (0, 2), (1, 2), (1, 3)]
+    number = {b.attempt: b.number for b in table.current_commit().batches}
+    assert sorted((number[r["attempt"]], r["id"]) for r in log.collect()) == [(0, 1), (0, 2), (1, 2), (1, 3)]
 
 
 def test_new_checkpoint_replaces_nothing(spark, tmp_path):
@@ -300,11 +304,64 @@ def test_messages_go_round_through_files(spark, tmp_path):
     group = QueryGroup(spark, [out], f"{tmp_path}/cp", available_now=True)
     group.start()
     group.drain()
-    back = spark.read.schema(TRANSACTION).json(f"{tmp_path}/out")
+    lines = spark.read.schema("key string, value string").json(f"{tmp_path}/out")
+    assert sorted((r["key"] for r in lines.collect()), key=str) == ["1", None]
+    back = parse_json(lines, TRANSACTION)
     assert sorted(tuple(r) for r in back.collect()) == rows
     assert [r["transaction_id"] for r in routed(back)["valid"].collect()] == ["1"]
 
 
+def test_message_files_are_read_back_with_their_keys(spark, tmp_path):
+    write_pairs(spark, f"{tmp_path}/in", [(1, "a"), (2, "b")])
+    sinks = {"keyed": message_sink("keyed", "id", f"{tmp_path}/keyed"), "plain": message_sink("plain", "id", f"{tmp_path}/plain", values_only=True)}
+    group = QueryGroup(spark, [Output(lambda: parquet_stream(spark, f"{tmp_path}/in"), s) for s in sinks.values()], f"{tmp_path}/cp", available_now=True)
+    group.start()
+    group.drain()
+    build = lambda: parse_json(message_dir_stream(spark, f"{tmp_path}/keyed", 1), PAIR, raw="text").withColumn("v", F.upper("v"))
+    again = QueryGroup(spark, [Output(build, memory_sink("read_back"))], f"{tmp_path}/cp2", available_now=True)
+    again.start()
+    again.drain()
+    assert sorted((r["id"], r["v"]) for r in spark.table("read_back").collect()) == [(1, "A"), (2, "B")]
+    assert sorted(r["value"] for r in spark.read.text(f"{tmp_path}/plain").collect()) == ['{"id":1,"v":"a"}', '{"id":2,"v":"b"}']
+
+
+def test_a_customer_that_arrives_between_two_batches_is_no_orphan(spark, tmp_path):
+    known = UpsertTable(spark, f"{tmp_path}/known", PAIRS)
+    known.load(spark.createDataFrame([(1, "x")], PAIR))
+    found = UpsertTable(spark, f"{tmp_path}/found", replace(PAIRS, keep=KEEP_FIRST))
+
+    def missing(batch, moment):
+        side = moment.tables["known"]
+        return batch.join(side, "id", "left_anti").withColumn("v", F.lit(moment.clock).cast("string"))
+
+    sink = upsert_sink(found, "missing", join=missing, live={"known": known}, clock=lambda n: samples.at(f"2022-01-01 00:00:0{n}"))
+    write_pairs(spark, f"{tmp_path}/in", [(1, "a"), (2, "a"), (3, "a")])
+    query = sink.writer(parquet_stream(spark, f"{tmp_path}/in"), f"{tmp_path}/cp").start()
+    query.processAllAvailable()
+    known.load(spark.createDataFrame([(4, "y")], PAIR))
+    write_pairs(spark, f"{tmp_path}/in", [(2, "b"), (4, "b"), (5, "b")])
+    query.processAllAvailable()
+    query.stop()
+    got = {r["id"]: r["v"] for r in found.read().collect()}
+    # The second is an orphan since the first batch and keeps that time; the fourth never was one.
+    assert got == {2: "2022-01-01 00:00:00", 3: "2022-01-01 00:00:00", 5: "2022-01-01 00:00:01"}
+    with pytest.raises(ValueError):
+        upsert_sink(found, live={"known": known})
+
+
+def test_a_sink_folds_its_table_now_and_then(spark, tmp_path):
+    for n in range(5):
+        write_pairs(spark, f"{tmp_path}/in", [(n, "a"), (0, f"v{n}")])
+    table = UpsertTable(spark, f"{tmp_path}/t", PAIRS)
+    sink = upsert_sink(table, maintenance=Maintenance(compact_every=2, merge_every=2, keep_versions=1))
+    group = QueryGroup(spark, [Output(lambda: parquet_stream(spark, f"{tmp_path}/in", 1), sink)], f"{tmp_path}/cp", available_now=True)
+    group.start()
+    group.drain()
+    commit = table.current_commit()
+    assert len(commit.layers) == 1 and len(commit.batches) == 2
+    assert table.read().count() == 5 and table.obsolete() == []
+
+
 def test_trigger_is_honoured(spark, tmp_path):
     write_pairs(spark, f"{tmp_path}/in", [(1, "x")])
     table = UpsertTable(spark, f"{tmp_path}/t", PAIRS)

@@ -1,13 +1,20 @@
 """The keyed table: replays, ties, rejects, folding, pruning, offloading; against a dictionary."""
 
+import json
 import random
+import re
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 import samples
 from brooklet.operators.latest import latest
-from brooklet.schemas import INT, LONG, TABLES, TEXT, TIME, TableSpec, struct
+from brooklet.schemas import FIRST, INT, LONG, TABLES, TEXT, TIME, TableSpec, struct
+from brooklet.streaming.commits import Batch, CommitLog
+from brooklet.streaming.files import children, claim, read_text
+from brooklet.streaming.live import moment_of
 from brooklet.streaming.upsert import UpsertTable, with_retries
 
 SPEC = TableSpec("t", struct(id=INT, v=TEXT, n=LONG), ("id",), buckets=3, order_by=("n",))
@@ -105,7 +112,7 @@ def test_empty_batches_keep_their_run(spark, tmp_path):
     table = UpsertTable(spark, str(tmp_path), SPEC)
     table.write_batch(batch(spark, []), 0, "w")
     table.write_batch(batch(spark, [(1, "a", 1)]), 1, "w")
-    assert spark.read.parquet(f"{tmp_path}/log").first()["run"] == 0
+    assert {b.run for b in table.current_commit().batches} == {0}
     table.load(batch(spark, []))
     table.write_batch(batch(spark, [(1, "b", 1)]), 2, "w")
     assert content(table) == {1: ("b", 1)}
@@ -129,34 +136,37 @@ def test_random_writes_folds_and_replays(spark, tmp_path, seed):
     assert content(table) == expected
     table.compact(full=True, settled=True)
     assert content(table) == expected
-    assert table.current_commit().deltas == ()
+    assert len(table.current_commit().layers) == 1 and not table.current_commit().batches
 
 
 def test_compaction_leaves_the_newest_batch_in_the_log(spark, tmp_path):
     table = UpsertTable(spark, str(tmp_path), SPEC)
     assert table.compact().version == -1
     table.write_batch(batch(spark, [(1, "a", 1)]), 0)
-    assert table.compact().version == -1
-    table.write_batch(batch(spark, [(1, "b", 1)]), 1)
+    assert not table.compact().layers
+    table.write_batch(batch(spark, [(1, "b", 1), (None, "r", 2)]), 1)
     commit = table.compact()
-    assert (commit.version, commit.upto) == (0, (0, 0))
+    assert len(commit.layers) == 1 and [b.position for b in commit.batches] == [(0, 1)]
     # The newest batch comes again with other rows, as after a change of a static table.
-    table.write_batch(batch(spark, [(1, "c", 1)]), 1)
+    table.write_batch(batch(spark, [(1, "c", 1), (None, "r", 2)]), 1)
     assert content(table) == {1: ("c", 1)}
     table.write_batch(batch(spark, [(2, "d", 1)]), 2)
     later = table.compact()
-    assert len(later.deltas) == 1 and later.base == commit.base
+    assert len(later.layers) == 2 and later.layers[0] == commit.layers[0]
     assert content(table) == {1: ("c", 1), 2: ("d", 1)}
     full = table.compact(full=True)
-    log = f"{tmp_path}/log/run=0/writer=direct"
-    assert set(table.obsolete()) == {
-        *(f"{tmp_path}/snapshot/{s.id}" for s in (commit.base, *later.deltas)),
-        *(f"{log}/batch_id={n}/rejected=false" for n in (0, 1)),
-    }
-    # Folded batches are not read again: the table is whole without them.
-    (tmp_path / "log/run=0/writer=direct/batch_id=0/rejected=false").rename(tmp_path / "away")
-    assert full.base not in (commit.base, None)
+    assert len(full.layers) == 1
+    # What has been folded goes; rejects stay.
+    assert table.clean_up(keep_versions=1)
+    assert table.obsolete() == []
     assert content(table) == {1: ("c", 1), 2: ("d", 1)}
+    assert [r["v"] for r in table.rejects().collect()] == ["r"]
+
+
+def bucket_of(file):
+    """Month and bucket of a file of a snapshot."""
+    month, bucket = re.search(r"month=([^/]+)/key_bucket=(\d+)/", file).groups()
+    return month, int(bucket)
 
 
 def test_lookup_reads_one_bucket(spark, tmp_path):
@@ -166,8 +176,9 @@ def test_lookup_reads_one_bucket(spark, tmp_path):
     table.write_batch(batch(spark, [(7, "new", 1)]), 1)
     assert content(table, keys={"id": 7}) == {7: ("new", 1)}
     assert content(table, keys={"id": 8}) == {8: ("v8", 8)}
-    plan = table.read(keys={"id": 8})._jdf.queryExecution().executedPlan().toString()
-    assert "(key_bucket" in plan and "PartitionFilters: [isnotnull(key_bucket" in plan
+    (piece,) = [p for p in table.current_commit().layers[0] if p.bucket == table._bucket_of({"id": 8})]
+    files = table.read(keys={"id": 8}).inputFiles()
+    assert {bucket_of(f) for f in files if "/snapshot/" in f} == {("all", piece.bucket)}
     with pytest.raises(ValueError):
         table.read(keys={"v": "a"})
 
@@ -195,10 +206,10 @@ def test_months_are_pruned(spark, tmp_path):
 def test_offload_moves_old_months(spark, tmp_path):
     table = UpsertTable(spark, f"{tmp_path}/t", DATED)
     table.load(dated_rows(spark))
-    snapshot = table.compact(settled=True).base.id
+    before = table.compact(settled=True)
     table.offload("2018-11", f"{tmp_path}/old", settled=True)
     commit = table.offload("2018-12", f"{tmp_path}/old", settled=True)
-    assert commit.base.id == snapshot  # nothing was rewritten
+    assert set(commit.layers[0]) < set(before.layers[0])  # nothing was rewritten
     assert table.read().count() == 4
     old = spark.read.parquet(f"{tmp_path}/old")
     assert {r["month"] for r in old.select("month").distinct().collect()} == {"2018-10", "2018-11"}
@@ -219,6 +230,144 @@ def test_offload_moves_old_months(spark, tmp_path):
         UpsertTable(spark, str(tmp_path / "x"), SPEC).offload("2018-11", f"{tmp_path}/y")
 
 
+def test_a_read_after_ten_thousand_batches_looks_into_one_folder(spark, tmp_path, monkeypatch):
+    table = UpsertTable(spark, str(tmp_path), SPEC)
+    rows = spark.range(10_000).selectExpr("CAST(id % 5000 AS INT) AS id", "concat('v', id) AS v", "id AS n", "concat('a', id) AS attempt", "false AS rejected")
+    rows.write.partitionBy("rejected").parquet(f"{tmp_path}/log/folder=f")
+    batches = tuple(Batch(0, i, "w", f"a{i}", "f", 1, 0) for i in range(10_000))
+    table._log.change(lambda now: replace(now, batches=batches, folder="f", run=0, writer="w"))
+    listed = []
+    monkeypatch.setattr("brooklet.streaming.commits.children", lambda spark, path: listed.append(path) or children(spark, path))
+    got = table.read()
+    assert listed == [f"{tmp_path}/commits"]
+    assert "InMemoryFileIndex(1 paths)" in got._jdf.queryExecution().executedPlan().toString()
+    assert {r["id"]: r["n"] for r in got.collect()} == {i: 5000 + i for i in range(5000)}
+
+
+def test_a_merge_leaves_other_months_and_buckets_alone(spark, tmp_path, monkeypatch):
+    table = UpsertTable(spark, str(tmp_path), DATED)
+    table.load(dated_rows(spark))
+    before = table.compact(settled=True)
+    table.load(dated_rows(spark).where("id = 'k1' AND month(ts) = 11").withColumn("v", F.lit(7)))
+    read = []
+    merged = UpsertTable._merged
+
+    def watched(self, layers, batches, chosen=()):
+        frame = merged(self, layers, batches, chosen)
+        read.extend(f for f in frame.inputFiles() if "/snapshot/" in f)
+        return frame
+
+    monkeypatch.setattr(UpsertTable, "_merged", watched)
+    after = table.compact(full=True, settled=True)
+    monkeypatch.undo()
+    (touched,) = {p.place for p in after.layers[0]} & {bucket_of(f) for f in read}
+    assert {bucket_of(f) for f in read} == {touched} and touched[0] == "2018-11"
+    assert {p for p in before.layers[0] if p.place != touched} == {p for p in after.layers[0] if p.place != touched}
+    assert table.read().count() == 12 and table.read(months=["2018-11"]).where("v = 7").count() == 1
+
+
+def test_a_day_reads_one_month(spark, tmp_path):
+    table = UpsertTable(spark, str(tmp_path), DATED)
+    table.load(dated_rows(spark))
+    table.compact(settled=True)
+    table.load(dated_rows(spark).where("month(ts) = 12").withColumn("ts", F.col("ts") + F.expr("INTERVAL 3 DAYS")))
+    day = samples.at("2018-11-03 00:00:00"), samples.at("2018-11-03 23:59:59")
+    got = table.read(between=day)
+    assert {bucket_of(f)[0] for f in got.inputFiles() if "/snapshot/" in f} == {"2018-11"}
+    assert not [f for f in got.inputFiles() if "/log/" in f]
+    assert sorted(r["v"] for r in got.collect()) == [1100, 1101, 1102, 1103]
+    late = table.read(between=(samples.at("2018-12-04 00:00:00"), None))
+    assert late.count() == 4 and not [f for f in late.inputFiles() if "/snapshot/" in f]
+    assert table.read(between=(None, None)).count() == 16
+    assert table.read(between=(samples.at("2030-01-01 00:00:00"), None)).count() == 0
+    with pytest.raises(ValueError):
+        UpsertTable(spark, str(tmp_path / "x"), SPEC).read(between=day)
+
+
+def test_first_sighting_stays(spark, tmp_path):
+    table = UpsertTable(spark, str(tmp_path), replace(SPEC, keep=FIRST))
+    table.write_batch(batch(spark, [(1, "a", 5), (1, "b", 3), (2, "a", 1)]), 0)
+    table.write_batch(batch(spark, [(1, "c", 0), (3, "c", 9)]), 1)
+    expected = {1: ("b", 3), 2: ("a", 1), 3: ("c", 9)}
+    assert content(table) == expected
+    table.compact()
+    assert content(table) == expected
+    table.write_batch(batch(spark, [(2, "d", 0), (3, "d", 0), (4, "d", 0)]), 2)
+    expected[4] = ("d", 0)
+    assert content(table) == expected
+    table.compact()
+    table.write_batch(batch(spark, [(4, "e", 0), (5, "e", 0)]), 3)
+    expected[5] = ("e", 0)
+    assert content(table) == expected
+    table.compact(full=True, settled=True)
+    assert content(table) == expected
+    with pytest.raises(ValueError):
+        replace(SPEC, keep="any")
+
+
+def test_an_attempt_that_was_not_committed_counts_for_nothing(spark, tmp_path):
+    table = UpsertTable(spark, str(tmp_path), SPEC)
+    folder = table.write_batch(batch(spark, [(1, "a", 1)]), 0).folder
+    lost = batch(spark, [(1, "lost", 9), (2, "lost", 9)]).withColumns({"attempt": F.lit("x"), "rejected": F.lit(False)})
+    lost.write.mode("append").partitionBy("rejected").parquet(f"{tmp_path}/log/folder={folder}")
+    assert content(table) == {1: ("a", 1)}
+    table.compact(full=True, settled=True)
+    assert content(table) == {1: ("a", 1)}
+
+
+def test_earlier_versions_and_counts(spark, tmp_path):
+    table = UpsertTable(spark, str(tmp_path), SPEC)
+    first = table.write_batch(batch(spark, [(1, "a", 1), (None, "r", 1)]), 0)
+    second = table.write_batch(batch(spark, [(1, "b", 1), (2, "b", 1)]), 1)
+    assert content(table, version=first.version) == {1: ("a", 1)}
+    assert content(table, version=-1) == {}
+    assert (second.written, second.rejected) == (4, 1)
+    again = table.write_batch(batch(spark, [(1, "b", 1)]), 1)
+    assert (again.written, again.rejected) == (3, 1)
+    assert table.num_rows() is None
+    table.compact(full=True, settled=True)
+    assert table.num_rows() == 1 == table.read().count()
+    table.write_batch(batch(spark, []), 2)
+    assert table.num_rows() == 1
+
+
+def test_one_of_many_claims_wins(spark, tmp_path):
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda i: claim(spark, f"{tmp_path}/x/one.json", str(i)), range(40)))
+    assert won.count(True) == 1
+    assert read_text(spark, f"{tmp_path}/x/one.json") == str(won.index(True))
+    assert children(spark, f"{tmp_path}/x") == ["one.json"]
+    assert children(spark, f"{tmp_path}/y") is None
+
+
+def test_changes_at_once_all_count(spark, tmp_path):
+    def add(i):
+        log = CommitLog(spark, f"{tmp_path}/commits")
+        for _ in range(5):
+            log.change(lambda now: replace(now, written=now.written + 1))
+
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(add, range(6)))
+    last = CommitLog(spark, f"{tmp_path}/commits").current()
+    assert (last.written, last.version) == (30, 29)
+
+
+def test_a_batch_that_is_tried_again_sees_the_version_it_saw(spark, tmp_path):
+    table = UpsertTable(spark, f"{tmp_path}/t", SPEC)
+    table.write_batch(batch(spark, [(1, "a", 1)]), 0)
+    first = samples.at("2022-01-01 00:00:00")
+
+    def seen(n, clock=lambda i: first):
+        moment = moment_of(spark, f"{tmp_path}/cp", n, {"side": table}, clock)
+        return moment.tables["side"].count(), moment.clock
+
+    assert seen(0) == (1, first)
+    table.write_batch(batch(spark, [(2, "b", 1)]), 1)
+    assert seen(0, lambda i: samples.at("2030-01-01 00:00:00")) == (1, first)
+    assert seen(1, None)[0] == 2
+    assert json.loads(read_text(spark, f"{tmp_path}/cp/live/{1:012d}.json"))["versions"] == {"side": 1}
+
+
 def test_view(spark, tmp_path):
     table = UpsertTable(spark, str(tmp_path), SPEC)
     table.load(batch(spark, [(1, "a", 1)]))
