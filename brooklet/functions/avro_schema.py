@@ -1,14 +1,11 @@
-"""Avro schema texts: reader fields, and the canonical parsing form of the Avro specification."""
+"""Avro schema texts of flat records: the fields of a reader, and the form by which schemas are compared."""
 
 from __future__ import annotations
 
 import json
-import sys
 from dataclasses import dataclass
 from typing import Any
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -24,9 +21,6 @@ from pyspark.sql.types import (
     StructType,
 )
 
-# The helper below travels with the query, so executors need no copy of this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 # Avro primitives, their Spark types, and the writer types each reader type accepts.
 SPARK_TYPES: dict[str, DataType] = {
     "boolean": BooleanType(),
@@ -46,8 +40,6 @@ READABLE_FROM = {
     "bytes": ["bytes", "string"],
     "string": ["string", "bytes"],
 }
-# The attributes that the canonical form keeps, in their order.
-CANONICAL_ATTRIBUTES = ["name", "type", "fields", "symbols", "items", "values", "size"]
 PRIMITIVES = {"null", *SPARK_TYPES}
 
 NO_DEFAULT = object()
@@ -96,51 +88,27 @@ def reader_struct(fields: list[ReaderField]) -> StructType:
     return StructType([StructField(f.name, f.spark_type, True) for f in fields])
 
 
-def canonical_form(avro_schema: str) -> str:
-    """Parsing canonical form: full names, kept attributes in order, no white space."""
-
-    def canonical(node: Any, namespace: str | None) -> Any:
-        if isinstance(node, list):
-            return [canonical(branch, namespace) for branch in node]
-        if isinstance(node, str):
-            bare = node in PRIMITIVES or "." in node or not namespace
-            return node if bare else f"{namespace}.{node}"
-        kind = node["type"]
-        if isinstance(kind, (dict, list)) or kind in PRIMITIVES:
-            return canonical(kind, namespace)
-        kept = dict(node)
-        if "name" in kept:
-            name = kept["name"]
-            space = name.rpartition(".")[0] if "." in name else kept.get("namespace", namespace)
-            kept["name"] = name if "." in name or not space else f"{space}.{name}"
-            namespace = space
-        for part in ("items", "values"):
-            if part in kept:
-                kept[part] = canonical(kept[part], namespace)
-        if "fields" in kept:
-            kept["fields"] = [
-                {"name": f["name"], "type": canonical(f["type"], namespace)} for f in kept["fields"]
-            ]
-        if "size" in kept:
-            kept["size"] = int(kept["size"])
-        return {a: kept[a] for a in CANONICAL_ATTRIBUTES if a in kept}
-
-    form = canonical(json.loads(avro_schema), None)
-    return json.dumps(form, separators=(",", ":"), ensure_ascii=False)
-
-
-@F.pandas_udf(StringType())
-def _parsing_form(schemas: pd.Series) -> pd.Series:
-    def form(text: str | None) -> str | None:
-        try:
-            return None if text is None else canonical_form(text)
-        except (ValueError, KeyError, TypeError, AttributeError):
-            return None
-
-    return schemas.map(form)
-
-
 def parsing_form(schema: Column | str) -> Column:
-    """Canonical form per schema text; NULL where the text is not a schema."""
-    # Marked so that a later filter on the form does not compute it a second time.
-    return _parsing_form.asNondeterministic()(schema)
+    """Parsing canonical form of a flat record schema: its full name, and names and types of its fields.
+
+    Attributes, their order and white space make no difference to it. A field is flat if its type
+    is a primitive, with or without attributes, or a union of such. NULL for all other texts.
+    """
+    text = F.col(schema) if isinstance(schema, str) else schema
+    record = F.from_json(text, "type string, name string, namespace string, fields array<struct<name: string, type: string>>")
+    name, space = record["name"], record["namespace"]
+    full = F.when(name.contains(".") | F.coalesce(space, F.lit("")).eqNullSafe(""), name).otherwise(F.concat(space, F.lit("."), name))
+
+    def primitive(kind: Column) -> Column:
+        named = F.when(kind.startswith("{"), F.get_json_object(kind, "$.type")).otherwise(kind)
+        return F.when(named.isin(*sorted(PRIMITIVES)), F.concat(F.lit('"'), named, F.lit('"')))
+
+    def typed(kind: Column) -> Column:
+        branches = F.transform(F.from_json(kind, "array<string>"), primitive)
+        union = F.when(~F.exists(branches, lambda b: b.isNull()), F.concat(F.lit("["), F.array_join(branches, ","), F.lit("]")))
+        return F.when(kind.startswith("["), union).otherwise(primitive(kind))
+
+    # A part that is NULL makes its field NULL, and a field that is NULL the whole form.
+    fields = F.transform(record["fields"], lambda f: F.concat(F.lit('{"name":"'), f["name"], F.lit('","type":'), typed(f["type"]), F.lit("}")))
+    form = F.concat(F.lit('{"name":"'), full, F.lit('","type":"record","fields":['), F.array_join(fields, ","), F.lit("]}"))
+    return F.when((record["type"] == "record") & ~F.exists(fields, lambda f: f.isNull()), form)

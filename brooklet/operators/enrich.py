@@ -1,8 +1,4 @@
-"""Joins with keyed static tables.
-
-A table is broadcast only after a look at its size. A bigger one is joined by shuffling, with the
-rows of each key spread over several tasks; Spark splits what is still uneven at run time.
-"""
+"""Joins with keyed static tables, which Spark broadcasts or shuffles by what it knows of their size."""
 
 from __future__ import annotations
 
@@ -22,6 +18,16 @@ def join_static(df: DataFrame, side: DataFrame, key: str, how: str) -> DataFrame
     return df.join(side, key, how)
 
 
+def join_counted(df: DataFrame, side: DataFrame, key: str, how: str, most: int) -> DataFrame:
+    """Joins rows to a static table that is usually small, but of which Spark may know no size.
+
+    One job looks whether it has at most ``most`` rows; then it is broadcast, and the rows of the
+    other side, of which a few keys may hold nearly all, stay where they are.
+    """
+    few = side.limit(most + 1).count() <= most
+    return join_static(df, F.broadcast(side) if few else side, key, how)
+
+
 def enrich(
     df: DataFrame,
     dim: DataFrame,

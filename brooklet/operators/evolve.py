@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 from ..functions.avro_schema import READABLE_FROM, ReaderField, reader_fields, reader_struct
 from ..functions.envelope import body_of, bytes_to_id, seal
 from ..functions.parse import once
-from .enrich import join_static
+from .enrich import join_counted
 from .registry import get_schema, list_schemas
 
 REASON = "reason"
+#: A registry of so many schemas is broadcast: a name, a flag per reader field and a reason each.
+BROADCAST_SCHEMAS = 50_000
 BAD_TEXT = "_corrupt_record"
 WRITER_RECORD = "type string, fields array<struct<name: string, type: string>>"
 PRIMITIVE = r'(?:^|[\s,\[:"])(null|boolean|int|long|float|double|bytes|string)(?:$|[\s,\]}"])'
@@ -38,13 +40,15 @@ def split_envelope(messages: DataFrame) -> DataFrame:
 
 
 def writer_fields(avro_schema: Column) -> Column:
-    """The fields of a record schema as a map from name to the primitives in the type."""
-    return F.map_from_entries(
-        F.transform(
-            F.from_json(avro_schema, WRITER_RECORD)["fields"],
-            lambda f: F.struct(f["name"], F.regexp_extract_all(f["type"], F.lit(PRIMITIVE), F.lit(1))),
-        )
-    )
+    """The fields of a record schema as a map from name to the primitives in the type.
+
+    NULL if the text is no such schema, or has a field without a name or two of the same name.
+    """
+    fields = F.from_json(avro_schema, WRITER_RECORD)["fields"]
+    names = F.transform(fields, lambda f: f["name"])
+    sound = ~F.exists(names, lambda n: n.isNull()) & (F.size(F.array_distinct(names)) == F.size(names))
+    typed = F.transform(fields, lambda f: F.struct(f["name"], F.regexp_extract_all(f["type"], F.lit(PRIMITIVE), F.lit(1))))
+    return F.map_from_entries(F.when(sound, typed))
 
 
 def resolve(
@@ -91,19 +95,20 @@ def by_name(name: Column, choices: Mapping[str, Column]) -> Column:
     )
 
 
-def decode(
+def decode_all(
     messages: DataFrame,
     registry: DataFrame,
     reader_versions: Mapping[str, int],
-    strict: bool = False,
     fill_nullable: bool = False,
-) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Messages as the records their readers ask for, by schema name, and those without one.
-
-    Each frame has the other message columns next to the record; the rejects have the schema id,
-    the body and the reason. In strict mode a message without a record fails the query instead.
-    Only the reader schemas, one per configured name, are fetched when the query is built. Schemas
-    are compared once per registry row, and any number of writer versions costs one join.
+) -> DataFrame:
+    """All messages, each read once, with their records in a column per schema name.
+
+    Behind the message's other columns: schema_id, body, ``name`` (of the schema whose reader the record
+    is for, NULL if there is no record), ``record_<i>`` for the i-th configured name, and the reason
+    why there is none. Only the reader schemas, one per configured name, and whether the
+    registry is small are fetched when the query is built. Schemas are compared once per registry
+    row, and any number of writer versions costs one join, which moves no message if the registry
+    has at most ``BROADCAST_SCHEMAS`` rows.
     """
     readers = {
         name: reader_fields(get_schema(registry, name=name, version=version)["avro_schema"])
@@ -122,7 +127,7 @@ def decode(
         .alias("schema_problem"),
         by_name(F.col("name"), {n: r[1] for n, r in resolved.items()}).alias("has"),
     )
-    rows = join_static(split_envelope(messages), writers, "schema_id", "left_outer")
+    rows = join_counted(split_envelope(messages), writers, "schema_id", "left_outer", BROADCAST_SCHEMAS)
 
     # Each body is parsed once, as the reader of its own schema name sees it.
     writer = F.col("writer_name")
@@ -147,17 +152,35 @@ def decode(
         .otherwise(by_name(writer, {n: d[1] for n, d in decoded.items()}))
     )
     judged = rows.withColumn(REASON, reason)
-    good = F.col(REASON).isNull()
-    named = F.when(good, writer)
+    named = F.when(F.col(REASON).isNull(), writer)
+    records = [F.when(named == n, decoded[n][0]).alias(f"record_{i}") for i, n in enumerate(readers)]
+    return judged.select(*kept, "schema_id", "body", named.alias("name"), *records, REASON)
+
+
+def decode(
+    messages: DataFrame,
+    registry: DataFrame,
+    reader_versions: Mapping[str, int],
+    strict: bool = False,
+    fill_nullable: bool = False,
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Messages as the records their readers ask for, by schema name, and those without one.
+
+    Each frame has the other message columns next to the record; the rejects have the schema id,
+    the body and the reason. In strict mode a message without a record fails the query instead.
+    Every frame that is used reads the messages; ``decode_all`` reads them once for all names.
+    """
+    kept = [c for c in messages.columns if c != "value"]
+    judged = decode_all(messages, registry, reader_versions, fill_nullable)
+    name = F.col("name")
     if strict:
-        # One expression over both sides of the join, so that no filter on the name runs before it.
+        # In the filter itself, so that no other filter on the name runs before it.
         problem = F.concat(F.lit("message without a record: "), F.col(REASON))
-        named = F.when(good, writer).otherwise(F.raise_error(problem))
+        name = F.when(F.col(REASON).isNull(), name).otherwise(F.raise_error(problem))
     records = {
-        name: judged.where(named == name).withColumn("record", record).select(*kept, "record.*")
-        for name, (record, _) in decoded.items()
+        n: judged.where(name == n).select(*kept, f"record_{i}.*") for i, n in enumerate(reader_versions)
     }
-    return records, judged.where(~good).select(*kept, "schema_id", "body", REASON)
+    return records, judged.where(F.col(REASON).isNotNull()).select(*kept, "schema_id", "body", REASON)
 
 
 def _with_bad_text(fields: list[ReaderField]):

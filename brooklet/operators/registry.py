@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.avro_schema import canonical_form, parsing_form
+from ..functions.avro_schema import parsing_form
 from ..functions.parse import once
 from ..schemas import INT, REGISTRY, TEXT, struct
+from ..streaming.files import children, claim
+from ..streaming.upsert import no_rows, read_if_present
 from .enrich import join_static
 from .latest import latest
 
@@ -43,14 +47,14 @@ def registry_from_dir(spark: SparkSession, path: str) -> DataFrame:
 
 
 def registry_history(messages: DataFrame) -> DataFrame:
-    """Schema messages as registry records, with the offset that orders them."""
+    """Schema messages as registry records without their form, with the offset that orders them."""
     record = F.from_json(F.col("value").cast("string"), SCHEMA_MESSAGE)
-    return (
-        messages.select("offset", once(record))
-        .where(F.col("id").isNotNull())
-        .withColumnRenamed("avroSchema", "avro_schema")
-        .withColumn("parsing_form", parsing_form("avro_schema"))
-    )
+    rows = messages.select("offset", once(record)).where(F.col("id").isNotNull())
+    return rows.withColumnRenamed("avroSchema", "avro_schema")
+
+
+def _with_form(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("parsing_form", parsing_form("avro_schema")).select(*COLUMNS)
 
 
 def registry_rejects(messages: DataFrame) -> DataFrame:
@@ -63,18 +67,22 @@ def registry_rejects(messages: DataFrame) -> DataFrame:
 
 def schemas_by_id(history: DataFrame) -> DataFrame:
     """The last record of each id."""
-    return latest(history, ["id"], ["offset"]).select(*COLUMNS)
+    return _with_form(latest(history, ["id"], ["offset"]))
 
 
 def schemas_by_version(history: DataFrame) -> DataFrame:
     """The last record of each name and version."""
-    return latest(history, ["name", "version"], ["offset"]).select(*COLUMNS)
+    return _with_form(latest(history, ["name", "version"], ["offset"]))
 
 
 def schemas_by_form(history: DataFrame) -> DataFrame:
-    """The last record of each canonical form; records that are not schemas have none."""
-    parsed = F.col("parsing_form").isNotNull()
-    return latest(history, ["parsing_form"], ["offset"], parsed).select(*COLUMNS)
+    """The last record of each form; records whose schema is no flat record have none.
+
+    Equal texts are folded before the form is made, which is once for each of them.
+    """
+    texts = latest(history, ["avro_schema"], ["offset"])
+    formed = texts.withColumn("parsing_form", parsing_form("avro_schema"))
+    return latest(formed, ["parsing_form"], ["offset"], F.col("parsing_form").isNotNull()).select(*COLUMNS)
 
 
 def list_schemas(
@@ -110,10 +118,15 @@ def get_schema(
     return found[0]
 
 
+def form_of(spark: SparkSession, avro_schema: str) -> str | None:
+    """The form of one schema text, None if it is no flat record schema."""
+    return spark.range(1).select(parsing_form(F.lit(avro_schema)).alias("form")).first()["form"]
+
+
 def find_schema(registry: DataFrame, avro_schema: str) -> Row:
-    """The record of a schema that is equal up to names, order of attributes and white space."""
-    form = canonical_form(avro_schema)
-    found = registry.where(F.col("parsing_form") == F.lit(form)).take(1)
+    """The record of a flat record schema that is equal up to attributes, their order and white space."""
+    form = form_of(registry.sparkSession, avro_schema)
+    found = [] if form is None else registry.where(F.col("parsing_form") == F.lit(form)).take(1)
     if not found:
         raise SchemaNotFound(f"no schema with the form {form}")
     return found[0]
@@ -150,21 +163,31 @@ def register_schema(
 ) -> Row:
     """Adds a schema to the registry table at ``path`` and returns its record.
 
-    The text must be a schema. One writer at a time: the id is chosen by reading the table.
+    The text must be JSON. Any number of writers may register at once: an id belongs to the one who
+    creates its claim, a file below ``path`` that can be created only once. The ids that are claimed
+    count as used, so an id is not given twice even if a writer breaks off before its record is there.
     """
     try:
-        form = canonical_form(avro_schema)
-    except (ValueError, KeyError, TypeError, AttributeError) as problem:
+        json.loads(avro_schema)
+    except ValueError as problem:
         raise ValueError(f"not a schema: {problem}") from problem
+    form = form_of(spark, avro_schema)
+    claims = f"{path.rstrip('/')}/_claims"
     free = next_id(read_registry(spark, path)).first()["next_id"]
+    while not claim(spark, f"{claims}/{free:010d}", name):
+        free = next_id(_used_ids(spark, path, claims)).first()["next_id"]
     record = (free, name, version, avro_schema, form)
-    spark.createDataFrame([record], REGISTRY).write.mode("append").parquet(path)
+    spark.createDataFrame([record], REGISTRY).write.mode("append").parquet(f"{path.rstrip('/')}/records/claimed={free}")
     return Row(*COLUMNS)(*record)
 
 
+def _used_ids(spark: SparkSession, path: str, claims: str) -> DataFrame:
+    """Ids of the records and of the claims."""
+    claimed = [(int(name),) for name in children(spark, claims) or [] if name.isdigit()]
+    return read_registry(spark, path).select("id").union(spark.createDataFrame(claimed, "id int"))
+
+
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
     """The registry table; empty where nothing has been registered."""
-    from ..streaming.upsert import no_rows, read_if_present
-
-    registry = read_if_present(spark, path, REGISTRY)
-    return no_rows(spark, REGISTRY) if registry is None else registry
+    found = read_if_present(spark, f"{path.rstrip('/')}/records", REGISTRY)
+    return no_rows(spark, REGISTRY) if found is None else found.select(*REGISTRY.names)

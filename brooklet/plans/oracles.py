@@ -120,13 +120,11 @@ SELECT id, name, version, avro_schema, parsing_form FROM s
 QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY "offset" DESC) = 1"""
 
 
-USER_MESSAGES = """
-  SELECT event_id AS "offset", event_type, 'user' || user_id AS identifier,
-         CAST(CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 5 WHEN 'purchase' THEN 7
-                              WHEN 'signup' THEN 9 ELSE 5 END AS INTEGER) AS schema_id,
-         CASE WHEN event_id % 5 <> 0 THEN 'User, ' || user_id END AS display_name,
-         CAST(event_id % 80 + 1930 AS INTEGER) AS year_of_birth,
-         epoch_us(ts) // 1000 AS registration_time
+ACT_MESSAGES = """
+  SELECT event_id AS "offset", event_type, user_id AS visitor, strftime(ts, '%Y-%m-%d') AS day,
+         CAST(CASE event_type WHEN 'view' THEN 12 WHEN 'purchase' THEN 21 WHEN 'signup' THEN 44 ELSE 30 END
+              AS INTEGER) AS schema_id,
+         CASE WHEN event_id % 5 <> 0 THEN CAST(round(value * 100) AS INTEGER) END AS cents
   FROM events"""
 
 
@@ -236,31 +234,32 @@ FROM part LEFT JOIN last
   SELECT CAST(p_partkey + CASE WHEN p_partkey >= 90 THEN 10 ELSE 0 END AS INTEGER) AS id FROM part),
 free AS (SELECT 0 AS id UNION SELECT id + 1 FROM used EXCEPT SELECT id FROM used)
 SELECT CAST(min(id) AS INTEGER) AS next_id FROM free""",
-    "envelope_split": f"""WITH m AS ({USER_MESSAGES})
+    "envelope_split": f"""WITH m AS ({ACT_MESSAGES})
 SELECT "offset", schema_id,
        CASE event_type
-         WHEN 'error' THEN '{{"identifier":"' || identifier
-         WHEN 'view' THEN '{{"identifier":"' || identifier || '","display_name":"'
-           || coalesce(display_name, '-') || '","registration_time":' || registration_time || '}}'
-         ELSE '{{"identifier":"' || identifier || '"'
-           || coalesce(',"display_name":"' || display_name || '"', '')
-           || ',"year_of_birth":' || year_of_birth || '}}' END AS body
+         WHEN 'error' THEN '{{"kind":"error'
+         WHEN 'view' THEN '{{"kind":"view","cents":' || coalesce(cents, 0) || ',"day":"' || day || '"}}'
+         WHEN 'purchase' THEN '{{' || coalesce('"cents":' || cents || ',', '') || '"visitor":' || visitor || ',"grade":"fine"}}'
+         ELSE '{{"kind":"' || event_type || '"' || coalesce(',"cents":' || cents, '') || ',"visitor":' || visitor || '}}' END AS body
 FROM m""",
-    "decode_user_v2": f"""WITH m AS ({USER_MESSAGES})
-SELECT "offset", identifier, display_name, year_of_birth
-FROM m WHERE event_type IN ('click', 'purchase')""",
-    "decode_user_v3": f"""WITH m AS ({USER_MESSAGES})
-SELECT "offset", identifier,
-       CASE WHEN event_type = 'view' THEN coalesce(display_name, '-') ELSE display_name END AS display_name,
-       CAST(CASE WHEN event_type = 'view' THEN 1970 ELSE year_of_birth END AS INTEGER) AS year_of_birth,
-       CAST(NULL AS VARCHAR) AS nickname
+    "decode_user_v2": f"""WITH m AS ({ACT_MESSAGES})
+SELECT "offset", event_type AS kind, cents, visitor FROM m WHERE event_type = 'click'""",
+    "decode_user_v3": f"""WITH m AS ({ACT_MESSAGES})
+SELECT "offset", CASE WHEN event_type = 'view' THEN coalesce(cents, 0) ELSE cents END AS cents,
+       CASE WHEN event_type = 'view' THEN -1 ELSE visitor END AS visitor,
+       CASE WHEN event_type = 'purchase' THEN 'fine' ELSE 'plain' END AS grade
 FROM m WHERE event_type IN ('view', 'click', 'purchase')""",
-    "decode_rejects": f"""WITH m AS ({USER_MESSAGES})
+    "decode_rejects": f"""WITH m AS ({ACT_MESSAGES})
 SELECT "offset", schema_id,
-       CASE event_type WHEN 'view' THEN 'field year_of_birth has no default'
+       CASE event_type WHEN 'view' THEN 'field visitor has no default'
+                       WHEN 'purchase' THEN 'field kind has no default'
                        WHEN 'signup' THEN 'unknown schema id'
                        ELSE 'unreadable body' END AS reason
-FROM m WHERE event_type IN ('view', 'signup', 'error')""",
+FROM m WHERE event_type IN ('view', 'purchase', 'signup', 'error')""",
+    "decode_two_names": f"""WITH m AS ({ACT_MESSAGES})
+SELECT "offset", 'act' AS name, visitor, cents, CAST(NULL AS VARCHAR) AS brand, CAST(NULL AS BIGINT) AS size
+FROM m WHERE event_type = 'click'
+UNION ALL SELECT p_partkey, 'brand', NULL, NULL, p_brand, CAST(p_size AS BIGINT) FROM part""",
     "dedup_by_id": f"WITH tx AS ({TX}) SELECT DISTINCT * FROM tx",
     "valid_transactions_stream": VALID,
     "invalid_transactions_stream": INVALID,
