@@ -2,7 +2,7 @@
 
 A hash turns a vector by three rounds of random signs and a Walsh-Hadamard transform and takes the
 nearest vertex of the cross-polytope: the largest coordinate and its sign. A table's bucket joins so
-many hashes that there are as many buckets as vectors; a vector also probes the buckets that its
+many hashes that vectors far apart rarely meet; a vector also probes the buckets that its
 next nearest vertices give. The number of tables follows from how often pairs just at the threshold
 meet, measured on made pairs when the tables are laid out.
 
@@ -20,7 +20,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
 from brooklet.llm.common import column, mixed, written
@@ -96,7 +96,8 @@ class Layout:
     def __init__(self, count: int, dimension: int):
         self.width = max(_LEAST_DIMENSION, 1 << (dimension - 1).bit_length())
         hashes, last = 1, 1
-        while (2 * self.width) ** (hashes - 1) * 2 * last < count:
+        # So many buckets that two vectors far apart meet in one of a table's with a chance of one in ``count``.
+        while (2 * self.width) ** (hashes - 1) * 2 * last < count * (1 + PROBES) ** 2:
             hashes, last = (hashes, last * 2) if last < self.width else (hashes + 1, 2)
         self.last = last
         random = np.random.default_rng([20240607, dimension, hashes, last])
@@ -133,9 +134,19 @@ def layout(count: int, dimension: int) -> Layout:
     return Layout(count, dimension)
 
 
-def most_differing_bits() -> int:
-    share = math.acos(COSINE) / math.pi
-    return math.ceil(64 * share + SKETCH_DEVIATIONS * math.sqrt(64 * share * (1 - share)))
+def _near(x: Column, y: Column, angle: Column) -> Column:
+    """Whether two sketches differ in no more bits than those of vectors at this angle may."""
+    share = F.least(angle / math.pi, F.lit(1.0))
+    return F.bit_count(x.bitwiseXOR(y)) <= 64 * share + SKETCH_DEVIATIONS * F.sqrt(64 * share * (1 - share))
+
+
+def _sketched(batches: Iterator[pa.RecordBatch], count: int) -> Iterator[pa.RecordBatch]:
+    """Adds the sketches of the column ``centre``."""
+    for batch in batches:
+        found = np.zeros(batch.num_rows, np.int64)
+        for at, units in _by_width(column(batch, "centre")):
+            found[at] = layout(count, units.shape[1]).sketches(units)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], names=[*batch.schema.names, "sketch"])
 
 
 def _units(vectors: pa.Array, width: int) -> np.ndarray:
@@ -254,19 +265,19 @@ def similar_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     # A cell is the vectors near a pivot (2 * cls) or those further away (2 * cls + 1), or one vector.
     members = shells = None
     if gathered is not None:
-        members, shells = _cells(gathered, classes)
+        members, shells = _cells(gathered, classes, count)
         own = members.select("cls", "cell")
-        placed = buckets.join(own, "cls", "left").withColumns({"single": F.col("cell").isNull(), "cell": F.coalesce("cell", F.col("cls") * 2)})
-        crowd = placed.where("NOT single").groupBy("bucket", "cell").agg(F.first("sketch").alias("sketch"), F.lit(False).alias("single"))
-        placed = placed.where("single").select("bucket", "cell", "sketch", "single").unionByName(crowd)
-        placed = written(placed, "op11-placed")
+        placed = buckets.join(own, "cls", "left")
+        alone = placed.where("cell IS NULL").select("bucket", (F.col("cls") * 2).alias("cell"), "sketch", F.lit(0.0).alias("radius"), F.lit(True).alias("single"))
+        crowd = placed.where("cell IS NOT NULL").select("bucket", "cell").distinct().join(shells.select("cell", "sketch", "radius"), "cell")
+        placed = written(alone.unionByName(crowd.withColumn("single", F.lit(False))), "op11-placed")
     else:
-        placed = buckets.select("bucket", (F.col("cls") * 2).alias("cell"), "sketch", F.lit(True).alias("single"))
+        placed = buckets.select("bucket", (F.col("cls") * 2).alias("cell"), "sketch", F.lit(0.0).alias("radius"), F.lit(True).alias("single"))
 
     x, y = placed.alias("x"), placed.alias("y")
-    near = F.bit_count(F.col("x.sketch").bitwiseXOR(F.col("y.sketch"))) <= most_differing_bits()
+    near = _near(F.col("x.sketch"), F.col("y.sketch"), F.lit(math.acos(COSINE)) + F.col("x.radius") + F.col("y.radius"))
+    met = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.cell") < F.col("y.cell")) & near)
     both = F.col("x.single") & F.col("y.single")
-    met = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.cell") < F.col("y.cell")) & (near | ~both))
     pairs = written(met.select(F.col("x.cell").alias("a"), F.col("y.cell").alias("b"), both.alias("plain")).distinct(), "op11-pairs")
 
     plain = pairs.where("plain").select(F.shiftright("a", 1).alias("a"), F.shiftright("b", 1).alias("b"))
@@ -323,7 +334,7 @@ def _gathered(buckets: DataFrame, vecs: DataFrame) -> DataFrame | None:
     return out
 
 
-def _cells(gathered: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _cells(gathered: DataFrame, classes: DataFrame, count: int) -> tuple[DataFrame, DataFrame]:
     """Members of the cells, with the angle to the cell's centre; and the cells with centre, radius, size and weight.
 
     The centre is the mean direction of all vectors around a pivot. Those within half the threshold's
@@ -345,12 +356,14 @@ def _cells(gathered: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFram
     placed = placed.withColumn("angle", angle).withColumn("cell", F.col("pivot") * 2 + F.when(F.col("angle") <= half, 0).otherwise(1))
     members = written(placed.select("cls", "cell", "n", "angle"), "op11-members")
     shells = members.groupBy("cell").agg(F.max("angle").alias("radius"), F.count("*").alias("size"), F.sum("n").alias("weight"))
-    shells = shells.withColumn("pivot", F.shiftright("cell", 1)).join(centres, "pivot")
-    return members, written(shells.select("cell", "radius", "size", "weight", "centre"), "op11-cells")
+    shells = shells.withColumn("pivot", F.shiftright("cell", 1)).join(centres, "pivot").select("cell", "radius", "size", "weight", "centre")
+    sketched = "cell long, radius double, size long, weight long, centre array<double>, sketch long"
+    return members, written(shells.mapInArrow(lambda it: _sketched(it, count), sketched), "op11-cells")
 
 
 def _cell_links(pairs: DataFrame, members: DataFrame, shells: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Links that a cell has part in: (cls, links) to be summed, edges between pivots, and (cell, bonus): links of all its members."""
+    shells = shells.drop("sketch")
     limit = math.acos(COSINE)
     # Single vectors that meet a cell are cells of one, with radius 0.
     ends = pairs.select(F.col("a").alias("cell")).unionByName(pairs.select(F.col("b").alias("cell"))).distinct()
