@@ -110,25 +110,45 @@ def decode_all(
     row, and any number of writer versions costs one join, which moves no message if the registry
     has at most ``BROADCAST_SCHEMAS`` rows.
     """
-    readers = {
+    readers = _readers(registry, reader_versions)
+    writers = registry.select(F.col("id").alias("schema_id"), *_writer_columns(readers, F.col("name"), fill_nullable))
+    rows = join_counted(split_envelope(messages), writers, "schema_id", "left_outer", BROADCAST_SCHEMAS)
+    return _judged(rows, [c for c in messages.columns if c != "value"], readers)
+
+
+def decode_attached(
+    rows: DataFrame, registry: DataFrame, reader_versions: Mapping[str, int], fill_nullable: bool = False
+) -> DataFrame:
+    """``decode_all`` for messages that bring their writer's schema along, as those that have waited for it do.
+
+    ``rows`` have schema_id, body, writer_name and avro_schema, NULL where the schema never came; only the
+    readers are taken from the registry.
+    """
+    readers = _readers(registry, reader_versions)
+    kept = [c for c in rows.columns if c not in ("schema_id", "body", "writer_name", "avro_schema", "version")]
+    schema = _writer_columns(readers, F.col("writer_name"), fill_nullable)
+    return _judged(rows.select(*kept, "schema_id", "body", *schema), kept, readers)
+
+
+def _readers(registry: DataFrame, versions: Mapping[str, int]) -> dict[str, list[ReaderField]]:
+    return {
         name: reader_fields(get_schema(registry, name=name, version=version)["avro_schema"])
-        for name, version in reader_versions.items()
+        for name, version in versions.items()
     }
-    kept = [c for c in messages.columns if c != "value"]
 
+
+def _writer_columns(
+    readers: Mapping[str, list[ReaderField]], name: Column, fill_nullable: bool
+) -> list[Column]:
+    """Of a writer's schema: its name, why no record of it can be read, and which of the reader's fields it has."""
     written = writer_fields(F.col("avro_schema"))
-    resolved = {name: resolve(written, fields, fill_nullable) for name, fields in readers.items()}
-    unread = F.lit("no reader version")
-    writers = registry.select(
-        F.col("id").alias("schema_id"),
-        F.col("name").alias("writer_name"),
-        F.when(F.col("name").isin(*readers), by_name(F.col("name"), {n: r[0] for n, r in resolved.items()}))
-        .otherwise(unread)
-        .alias("schema_problem"),
-        by_name(F.col("name"), {n: r[1] for n, r in resolved.items()}).alias("has"),
-    )
-    rows = join_counted(split_envelope(messages), writers, "schema_id", "left_outer", BROADCAST_SCHEMAS)
+    resolved = {n: resolve(written, fields, fill_nullable) for n, fields in readers.items()}
+    problem = F.when(name.isin(*readers), by_name(name, {n: r[0] for n, r in resolved.items()})).otherwise(F.lit("no reader version"))
+    return [name.alias("writer_name"), problem.alias("schema_problem"), by_name(name, {n: r[1] for n, r in resolved.items()}).alias("has")]
+
 
+def _judged(rows: DataFrame, kept: list[str], readers: Mapping[str, list[ReaderField]]) -> DataFrame:
+    """Records and reasons of messages whose writer is known or NULL."""
     # Each body is parsed once, as the reader of its own schema name sees it.
     writer = F.col("writer_name")
     text = F.col("body").cast("string")

@@ -256,6 +256,15 @@ SELECT "offset", schema_id,
                        WHEN 'signup' THEN 'unknown schema id'
                        ELSE 'unreadable body' END AS reason
 FROM m WHERE event_type IN ('view', 'purchase', 'signup', 'error')""",
+    "decode_waiting_stream": f"""WITH m AS ({ACT_MESSAGES})
+SELECT "offset", schema_id,
+       CASE WHEN event_type = 'click' THEN visitor END AS visitor,
+       CASE WHEN event_type = 'click' THEN cents END AS cents,
+       CASE event_type WHEN 'view' THEN 'field visitor has no default'
+                       WHEN 'purchase' THEN 'field kind has no default'
+                       WHEN 'signup' THEN 'unknown schema id'
+                       WHEN 'error' THEN 'unreadable body' END AS reason
+FROM m WHERE event_type <> 'signup' OR "offset" % 4 < 2""",
     "decode_two_names": f"""WITH m AS ({ACT_MESSAGES})
 SELECT "offset", 'act' AS name, visitor, cents, CAST(NULL AS VARCHAR) AS brand, CAST(NULL AS BIGINT) AS size
 FROM m WHERE event_type = 'click'

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +19,7 @@ from ..functions.avro_schema import parsing_form
 from ..functions.parse import once
 from ..functions.text import has_keyword
 from ..operators.audit import audit_counts, audit_tables
-from ..operators.evolve import decode, decode_all, encode_envelope, split_envelope
+from ..operators.evolve import decode, decode_all, decode_attached, encode_envelope, split_envelope
 from ..operators.latest import latest
 from ..operators.lifecycle import lifecycle, reprocess
 from ..operators.registry import (
@@ -35,6 +35,7 @@ from ..operators.registry import (
 from ..operators.validate import UNDECIDED, validate, with_route
 from ..operators.windows import count_by_window, dedup_by_id
 from ..schemas import (
+    BYTES,
     CUSTOMER,
     DOUBLE,
     INT,
@@ -70,6 +71,7 @@ from ..streaming.sinks import (
     upsert_sink,
 )
 from ..streaming.upsert import UpsertTable
+from ..streaming.waiting import await_schemas, rocks_db
 from . import adapter as given
 from .card import (
     Sources,
@@ -513,6 +515,55 @@ def decode_two_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def decode_waiting_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as messages, a quarter an hour; one schema comes after half of them, another one never.
+
+    Messages whose schema is not known wait 100 minutes of the messages' time for it; those still waiting at
+    the end are in neither output.
+    """
+    base = run_dir(spark, "waiting")
+    quarter = F.pmod("offset", F.lit(QUARTERS))
+    clock = F.timestamp_seconds(F.lit(int(FIRST_CLOCK.replace(tzinfo=timezone.utc).timestamp())) + quarter * 3600)
+    messages = split_envelope(_act_messages(spark, sf_dir)).withColumn("timestamp", clock)
+    registry = _act_registry(spark)
+    late = next(s for s in ACT_SCHEMAS if s[0] == 30)
+    known = registry.where(F.col("id") != late[0])
+    told = spark.createDataFrame([(*late, FIRST_CLOCK.replace(tzinfo=timezone.utc) + timedelta(minutes=90))], "id int, name string, version int, avro_schema string, timestamp timestamp")
+    told.limit(0).write.parquet(f"{base}/schemas")
+    messages.limit(0).write.parquet(f"{base}/messages")
+
+    def build() -> DataFrame:
+        stream = spark.readStream.schema(messages.schema).parquet(f"{base}/messages")
+        schemas = spark.readStream.schema(told.schema).parquet(f"{base}/schemas")
+        ids = [r["id"] for r in known.select("id").collect()]
+        return await_schemas(stream.where(~F.col("schema_id").isin(ids)), schemas, timedelta(minutes=100))
+
+    waited = UpsertTable(spark, f"{base}/waited", WAITED)
+    group = QueryGroup(spark, [Output(build, Sink(f"waited_{base[-8:]}", upsert_sink(waited).writer))], f"{base}/checkpoints")
+    with rocks_db(spark):
+        for n in range(QUARTERS):
+            if n == QUARTERS // 2:
+                told.write.mode("append").parquet(f"{base}/schemas")
+                group.drain()
+            messages.where(quarter == n).write.mode("append").parquet(f"{base}/messages")
+            if n == 0:
+                group.start()
+            group.drain()
+        group.stop()
+    direct = messages.join(F.broadcast(known.select(F.col("id").alias("schema_id"), F.col("name").alias("writer_name"), "avro_schema")), "schema_id")
+    columns = ["offset", "schema_id", "body", "writer_name", "avro_schema"]
+    found = decode_attached(direct.select(*columns).unionByName(waited.read().select(*columns)), registry, {"act": 2})
+    return found.select("offset", "schema_id", "record_0.visitor", "record_0.cents", "reason")
+
+
+WAITED = TableSpec(
+    "waited",
+    struct(offset=LONG, schema_id=INT, body=BYTES, timestamp=TIME, writer_name=TEXT, version=INT, avro_schema=TEXT),
+    ("offset",),
+    buckets=1,
+)
+
+
 def decode_user_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
     records, _ = decode(_act_messages(spark, sf_dir), _act_registry(spark), {"act": 2})
     return records["act"]
@@ -897,6 +948,7 @@ QUERIES: dict[str, Query] = {
     "decode_user_v3": decode_user_v3,
     "decode_rejects": decode_rejects,
     "decode_two_names": decode_two_names,
+    "decode_waiting_stream": decode_waiting_stream,
     "dedup_by_id": dedup_by_id_batch,
     "valid_transactions_stream": valid_transactions_stream,
     "invalid_transactions_stream": invalid_transactions_stream,
