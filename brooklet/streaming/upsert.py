@@ -40,7 +40,7 @@ from .files import children, remove
 
 RUN, BATCH, REJECTED, ATTEMPT, FOLDER = "run", "batch_id", "rejected", "attempt", "folder"
 SNAPSHOT, MONTH, BUCKET = "snapshot", "month", "key_bucket"
-LOG_COLUMNS = struct(attempt=TEXT, folder=TEXT, rejected=BOOL)
+LOG_COLUMNS = struct(run=INT, batch_id=LONG, attempt=TEXT, folder=TEXT, rejected=BOOL)
 SNAPSHOT_COLUMNS = struct(snapshot=TEXT, month=TEXT, key_bucket=INT)
 DIRECT = "direct"
 #: Versions whose folders a clean-up leaves alone, for readers and writers that began with them.
@@ -92,7 +92,9 @@ class UpsertTable:
         before = self.current_commit()
         folder, attempt = before.folder or uuid.uuid4().hex, uuid.uuid4().hex
         no_key = reduce(lambda a, b: a | b, (F.col(k).isNull() for k in self.spec.key))
-        rows = batch.select(*self._typed_columns(batch), no_key.alias(REJECTED), F.lit(attempt).alias(ATTEMPT))
+        run = before.run if writer == before.writer else before.run + 1
+        place = [F.lit(run).alias(RUN), F.lit(batch_id).cast("bigint").alias(BATCH), F.lit(attempt).alias(ATTEMPT)]
+        rows = batch.select(*self._typed_columns(batch), *place, no_key.alias(REJECTED))
         seen = Observation()
         low, high = self._bounds(f"NOT {REJECTED}")
         rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(REJECTED).alias("rejected"), low.alias("low"), high.alias("high"))
@@ -100,7 +102,6 @@ class UpsertTable:
         found = seen.get
 
         def made(now: Commit) -> Commit:
-            run = now.run if writer == now.writer else now.run + 1
             new = Batch(run, batch_id, writer, attempt, folder, found["rows"], found["rejected"], found["low"], found["high"])
             old = [b for b in now.batches if b.position == new.position]
             others = [b for b in now.batches if b.position != new.position]
@@ -218,12 +219,12 @@ class UpsertTable:
         """Rows of batches in the log, with their run and number; leftovers of other attempts stay out."""
         schema = StructType(self.spec.schema.fields + LOG_COLUMNS.fields)
         if not batches:
-            return no_rows(self.spark, StructType(schema.fields + struct(run=INT, batch_id=LONG).fields))
+            return no_rows(self.spark, schema)
         folders = sorted({f"{self.path}/log/{FOLDER}={b.folder}/{REJECTED}={str(rejected).lower()}" for b in batches})
         rows = self.spark.read.schema(schema).option("basePath", f"{self.path}/log").parquet(*folders)
-        # As many rows as the commit names batches.
-        live = [(b.attempt, b.run, b.number) for b in batches]
-        return rows.join(F.broadcast(self.spark.createDataFrame(live, f"{ATTEMPT} string, {RUN} int, {BATCH} bigint")), ATTEMPT)
+        # As many names as the commit has batches; a filter leaves Spark its estimate of the size.
+        live = ", ".join(f"'{b.attempt}'" for b in batches)
+        return rows.where(f"{ATTEMPT} IN ({live})")
 
     def _pieces(self, pieces: Iterable[Piece]) -> DataFrame:
         """Rows of snapshot folders; no other folder is looked into."""

@@ -232,7 +232,7 @@ def test_offload_moves_old_months(spark, tmp_path):
 
 def test_a_read_after_ten_thousand_batches_looks_into_one_folder(spark, tmp_path, monkeypatch):
     table = UpsertTable(spark, str(tmp_path), SPEC)
-    rows = spark.range(10_000).selectExpr("CAST(id % 5000 AS INT) AS id", "concat('v', id) AS v", "id AS n", "concat('a', id) AS attempt", "false AS rejected")
+    rows = spark.range(10_000).selectExpr("CAST(id % 5000 AS INT) AS id", "concat('v', id) AS v", "id AS n", "0 AS run", "id AS batch_id", "concat('a', id) AS attempt", "false AS rejected")
     rows.write.partitionBy("rejected").parquet(f"{tmp_path}/log/folder=f")
     batches = tuple(Batch(0, i, "w", f"a{i}", "f", 1, 0) for i in range(10_000))
     table._log.change(lambda now: replace(now, batches=batches, folder="f", run=0, writer="w"))
