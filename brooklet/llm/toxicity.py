@@ -16,7 +16,6 @@ from math import exp
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from brooklet.llm.common import chunks, column, written
 
@@ -31,6 +30,8 @@ THRESHOLD = 0.3
 RIDGE = 0.2
 #: Tokens that a task remembers the features of, before it forgets them all.
 REMEMBERED = 150_000
+#: Texts that become Python strings at once.
+SLICE = 500
 
 # What leetspeak writes for a letter.
 LEET = {
@@ -272,31 +273,32 @@ def train(docs: DataFrame, labels: DataFrame, restorer: Restorer, sample: int =
     return {top[x]: float(w[i]) for x, i in place.items()}, float(w[-1])
 
 
-def _score_rows(batches: Iterator[pa.RecordBatch], names: list[str], restorer: Restorer, weights: dict[str, float], constant: float) -> Iterator[pa.RecordBatch]:
+def _scores(texts: Iterator[pa.Array], restorer: Restorer, weights: dict[str, float], constant: float) -> Iterator[pa.Array]:
     known: dict[str, frozenset[str]] = {}
     nothing: frozenset[str] = frozenset()
 
     def of(restored: str) -> frozenset[str]:
         return frozenset(f for f in _named(restored) if f in weights) or nothing
 
-    for batch in (part for whole in batches for part in _sliced(whole)):
+    for batch in texts:
         scores = []
-        for text in column(batch, "text").to_pylist():
-            text = text or ""
-            tokens = set(text.split())
-            for token in tokens.difference(known):
-                known[token] = of(token.lower()).union(*map(of, restorer.readings(token))) or nothing
-            found: set[str] = set().union(*filter(None, map(known.__getitem__, tokens)))
-            for unit in restorer.spaced(text):
-                found |= of(unit)
-            total = constant + sum(weights[f] for f in sorted(found))
-            scores.append(1 / (1 + exp(-max(-30.0, min(30.0, total)))))
-            if len(known) > REMEMBERED:
-                known.clear()
-        yield pa.RecordBatch.from_arrays([*(column(batch, c) for c in names[:-1]), pa.array(scores, pa.float64())], names=names)
-
-
-def _sliced(batch: pa.RecordBatch, rows: int = 500) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(batch), SLICE):
+            for text in batch.slice(at, SLICE).to_pylist():
+                text = text or ""
+                tokens = set(text.split())
+                for token in tokens.difference(known):
+                    known[token] = of(token.lower()).union(*map(of, restorer.readings(token))) or nothing
+                found: set[str] = set().union(*filter(None, map(known.__getitem__, tokens)))
+                for unit in restorer.spaced(text):
+                    found |= of(unit)
+                total = constant + sum(weights[f] for f in sorted(found))
+                scores.append(1 / (1 + exp(-max(-30.0, min(30.0, total)))))
+                if len(known) > REMEMBERED:
+                    known.clear()
+        yield pa.array(scores, pa.float64())
+
+
+def _sliced(batch: pa.RecordBatch, rows: int = SLICE) -> Iterator[pa.RecordBatch]:
     return (batch.slice(i, rows) for i in range(0, len(batch), rows))
 
 
@@ -311,16 +313,20 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, carry: Se
     Rows that repeat an id are scored one by one. Labels that are null or neither 0 nor 1 teach
     nothing; repeated labels count once each value. Without toxic labels, or without clean ones,
     all scores are 0 or 1. An empty table gives an empty table; other columns are not read, but
-    those that ``carry`` names come along.
+    those that ``carry`` names come along, unless they have the name of a column given here.
     """
     spark = docs.sparkSession
     restorer = Restorer(character_model(docs))
     weights, constant = train(docs, labels, restorer, sample)
     shared = spark.sparkContext.broadcast((restorer, weights, constant))
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *[c for c in carry if c != "text"])
-    carried = source.select(*carry).schema.fields
-    schema = StructType([StructField("doc_id", LongType()), *carried, StructField("score", DoubleType())])
-    return source.mapInArrow(lambda it: _score_rows(it, schema.names, *shared.value), schema)
+
+    # Only texts go to the workers and only scores come back; what is carried stays where it is.
+    @F.arrow_udf("double")
+    def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return _scores(texts, *shared.value)
+
+    others = [F.col(f"`{c}`") for c in carry if c.lower() not in ("doc_id", "score")]
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *others, score(F.col("text").cast("string")).alias("score"))
 
 
 def op7_toxicity(spark, sf_dir: str) -> DataFrame:
