@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .latest import latest
+from .latest import earliest
 
 
 def with_watermark(df: DataFrame, ts: str, delay: str | None) -> DataFrame:
@@ -63,13 +63,14 @@ def window_metrics(
 def dedup_by_id(
     df: DataFrame, ids: list[str], ts: str, delay: str | None = None, salts: int = 1
 ) -> DataFrame:
-    """One row per id. A stream forgets an id once the watermark has passed it by ``delay``.
+    """The first row per id: by time on a static frame, by arrival on a stream, which forgets an id
+    once the watermark has passed it by ``delay``.
 
     With ``salts`` above 1 a stream drops copies in two steps, first among the rows that the same
     read tasks brought: for logs in which copies of one id make up much of the volume.
     """
     if not df.isStreaming:
-        return latest(df, ids, [ts])
+        return earliest(df, ids, [ts])
     if delay is None:
         raise ValueError("a stream needs a delay to bound its state")
     rows = df.withWatermark(ts, delay)

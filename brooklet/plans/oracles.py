@@ -288,6 +288,7 @@ UNION SELECT 'vendor_orphans', count(*) FROM ({VENDOR_ORPHANS})""",
 FROM ({VALID})""",
     "csv_sink_stream": f"SELECT * REPLACE (date_trunc('millisecond', event_timestamp) AS event_timestamp) FROM ({VALID})",
     "dedup_by_id_stream": CLOSED_WINDOWS,
+    "ops_metadata_simple_stream": WINDOWS,
     "live_customers_stream": f"""{WITH_CHECKED}
 SELECT DISTINCT customer_id, 'Unknown' AS first_name, 'Unknown' AS last_name, -1 AS state_id
 FROM checked

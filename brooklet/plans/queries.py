@@ -700,10 +700,10 @@ def shared_pass_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_counts({n: t.read() for n, t in tables.items()})
 
 
-def simple_transactions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The simple application on a stream."""
+def _run_simple(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One output of the simple application, streamed into its keyed table and read back."""
     base = run_dir(spark, "simple")
-    upserts = UpsertTable(spark, f"{base}/transactions", TABLES["transactions"])
+    upserts = UpsertTable(spark, f"{base}/{name}", TABLES[name])
 
     def stream(schema: StructType) -> DataFrame:
         events = given.event_stream(spark, sf_dir)
@@ -715,7 +715,7 @@ def simple_transactions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark,
         lambda schema: given.customers(spark, sf_dir),
         stream,
-        _named({"transactions": upsert_sink(upserts, retries=3)}, base),
+        _named({name: upsert_sink(upserts, retries=3)}, base),
         f"{base}/checkpoints",
         available_now=True,
     )
@@ -724,6 +724,14 @@ def simple_transactions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain_times(upserts.read())
 
 
+def simple_transactions_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run_simple(spark, sf_dir, "transactions")
+
+
+def ops_metadata_simple_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _run_simple(spark, sf_dir, "operational_metadata")
+
+
 QUARTERS = 4
 FIRST_CLOCK = datetime(2024, 1, 1)
 
@@ -961,6 +969,7 @@ QUERIES: dict[str, Query] = {
     "ops_metadata_append_stream": ops_metadata_append_stream,
     "shared_pass_stream": shared_pass_stream,
     "simple_transactions_stream": simple_transactions_stream,
+    "ops_metadata_simple_stream": ops_metadata_simple_stream,
     "message_files_stream": message_files_stream,
     "csv_sink_stream": csv_sink_stream,
     "dedup_by_id_stream": dedup_by_id_stream,
