@@ -9,11 +9,12 @@ prefix shingles, each pair at most once, and compared by their whole sets.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from brooklet.llm.common import BASE_2, SPACED, chunks, column, maybe_among, mixed, pairs_hash, powers, row_ranges, words, written
 from brooklet.llm.components import components
@@ -24,11 +25,21 @@ PERCENT = 80
 #: the same result, this one only sets its cost, so the bound is one of memory: 20 MB.
 FREQUENT = 1_000_000
 #: Shingles that a task counts at once for that order.
-COUNTED = 3_000_000
+COUNTED = 2_000_000
 #: A shingle with more pairs that are not known to be connected, as a multiple of its classes, takes a
-#: round with one pivot first; after so many rounds all classes that are still apart are compared.
-CROWDED = 32
+#: round with one pivot first; after so many rounds its classes are compared in blocks, if they are many.
+CROWDED = 1
 PIVOT_ROUNDS = 3
+#: The same multiple after the last round, up to which the pairs themselves are listed.
+LISTED = 16
+#: Classes of a block, and shingles of all their sets.
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 21
+#: Rows of an Arrow batch while this operator's own jobs run: texts are long, and buffers count as memory.
+BATCH_ROWS = 1000
+#: Pairs of texts that are compared at once.
+COMPARED = 64
+#: Bytes of text whose shingles are made at once.
+TEXT_BYTES = 1 << 20
 #: Parts of the hash range (64, by the upper six bits) by whose counts the suffix filter compares two sets.
 PARTS = 64
 
@@ -70,7 +81,7 @@ def _count_rows(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Rec
         return pa.RecordBatch.from_arrays([pa.array(found[n > 1].view(np.int64)), pa.array(n[n > 1])], names=["shingle", "n"])
 
     for batch in batches:
-        for _, offsets, data in chunks(column(batch, "text")):
+        for _, offsets, data in chunks(column(batch, "text"), TEXT_BYTES):
             held.append(_shingles(offsets, data, size)[1])
             if sum(map(len, held)) >= COUNTED:
                 yield counts()
@@ -103,7 +114,7 @@ def _table_rows(batches: Iterator[pa.RecordBatch], order: Order, size: int, perc
     seen: set[int] = set()
     for batch in batches:
         rids, keys = column(batch, "rid"), column(batch, "key").cast(pa.int64())
-        for start, offsets, data in chunks(column(batch, "text")):
+        for start, offsets, data in chunks(column(batch, "text"), TEXT_BYTES):
             rows = len(offsets) - 1
             row, found = _shingles(offsets, data, size)
             bounds = row_ranges(row, rows)
@@ -145,14 +156,112 @@ def _table_rows(batches: Iterator[pa.RecordBatch], order: Order, size: int, perc
             )
 
 
-def _set_rows(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        classes = column(batch, "class")
-        for start, offsets, data in chunks(column(batch, "text")):
-            rows = len(offsets) - 1
-            row, found = _shingles(offsets, data, size)
-            lists = pa.ListArray.from_arrays(pa.array(row_ranges(row, rows).astype(np.int32)), pa.array(found.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([classes.slice(start, rows), lists], names=["class", "shingles"])
+def _sets(texts: pa.Array, size: int) -> list[np.ndarray]:
+    """Shingles of each text, ascending."""
+    out: list[np.ndarray] = []
+    for _, offsets, data in chunks(texts, TEXT_BYTES):
+        row, found = _shingles(offsets, data, size)
+        out += np.split(found, row_ranges(row, len(offsets) - 1)[1:-1])
+    return out
+
+
+def _linked_pairs(batches: Iterator[pa.RecordBatch], size: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b) whose texts ``one`` and ``two`` link."""
+    for whole in batches:
+        for first in range(0, len(whole), COMPARED):
+            batch = whole.slice(first, COMPARED)
+            one, two = (_sets(column(batch, c), size) for c in ("one", "two"))
+            common = np.array([len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(one, two, strict=True)], np.int64)
+            union = np.array([len(x) + len(y) for x, y in zip(one, two, strict=True)], np.int64) - common
+            kept = pa.array(np.flatnonzero(100 * common >= percent * union))
+            yield pa.RecordBatch.from_arrays([column(batch, c).take(kept) for c in ("a", "b")], names=["a", "b"])
+
+
+def _linked_in_block(rows: pa.Table, size: int, percent: int) -> pa.Table:
+    """Links among the classes of a block, or between two blocks, as many as connect what links connect.
+
+    Classes of one label, and those that a link of this block has connected, are not compared.
+    """
+    rows = rows.combine_chunks()
+    classes, n, place = (rows[c].to_numpy() for c in ("class", "n", "place"))
+    sets = _sets(rows["text"].combine_chunks(), size)
+    bounds = np.cumsum([0, *map(len, sets)])
+    numbers = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    group = np.unique(rows["label"].to_numpy(), return_inverse=True)[1]
+    first, second = rows["first"].to_numpy(zero_copy_only=False), rows["second"].to_numpy(zero_copy_only=False)
+    found: list[tuple[int, int]] = []
+    inside = np.zeros(int(numbers.max(initial=-1)) + 1, bool)
+    for x in np.flatnonzero(first):
+        least = -(-percent * (n[x] + n) // (100 + percent))
+        maybe = second & (group != group[x]) & (100 * np.minimum(n, n[x]) >= percent * np.maximum(n, n[x])) & (np.minimum(n - place, n[x] - place[x]) >= least)
+        maybe = np.flatnonzero(maybe)
+        if not len(maybe):
+            continue
+        own = numbers[bounds[x] : bounds[x + 1]]
+        inside[own] = True
+        sizes = bounds[maybe + 1] - bounds[maybe]
+        starts = np.cumsum(sizes) - sizes
+        at = np.arange(int(sizes.sum())) - np.repeat(starts - bounds[maybe], sizes)
+        common = np.add.reduceat(inside[numbers[at]].astype(np.int64), starts)
+        inside[own] = False
+        for y in maybe[100 * common >= percent * (n[x] + n[maybe] - common)]:
+            if group[y] != group[x]:
+                found.append((int(classes[x]), int(classes[y])))
+                group[group == group[y]] = group[x]
+    return pa.table({"a": pa.array([min(p) for p in found], pa.int64()), "b": pa.array([max(p) for p in found], pa.int64())})
+
+
+def _linked_in_crowds(crowded: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links that connect the classes of crowded shingles (shingle, class, n, place, label), from whole comparisons in blocks.
+
+    Shingles with the same classes count once. A crowd that fits into a block is one unit. Of others the
+    sizes are cut into levels so that linked classes are in the same or in neighbouring ones; each
+    level is dealt into blocks, and each unit takes one or two of them, so a crowd of c classes
+    costs c / ``BLOCK`` rows a class and no row a pair.
+    """
+    same = crowded.groupBy("shingle").agg(F.count("*").alias("c"), F.bit_xor(F.xxhash64("class")).alias("h"), F.bit_xor(F.xxhash64("class", F.lit(1))).alias("g"))
+    same = same.withColumn("crowd", F.min("shingle").over(Window.partitionBy("c", "h", "g"))).select("shingle", "crowd")
+    # The smallest place of any of the shingles bounds what two classes have in common.
+    rows = crowded.join(same, "shingle").groupBy("crowd", "class").agg(F.first("n").alias("n"), F.min("place").alias("place"), F.first("label").alias("label"))
+    small = rows.groupBy("crowd").agg(((F.count("*") <= BLOCK) & (F.sum("n") <= BLOCK_SHINGLES)).alias("small"))
+    level = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9).cast("int")
+    rows = written(rows.join(small, "crowd").withColumn("level", F.when(F.col("small"), 0).otherwise(level)), "op2-crowds")
+    per = rows.groupBy("crowd", "level").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    per = per.groupBy("crowd").agg(F.map_from_entries(F.collect_list(F.struct("level", "blocks"))).alias("blocks"))  # one entry a level, some 80 at most
+    rows = rows.join(per, "crowd")
+
+    def others(level: Column) -> Column:
+        last = F.coalesce(F.try_element_at("blocks", level), F.lit(0)) - 1
+        return F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(F.array().cast("array<int>"))
+
+    def unit(level: Column, i: Column, j: Column, beside: Column, first: Column, second: Column) -> Column:
+        return F.struct(level.alias("level"), i.alias("i"), j.alias("j"), beside.alias("beside"), first.alias("first"), second.alias("second"))
+
+    level, block, yes, no = F.col("level"), F.col("block"), F.lit(True), F.lit(False)
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("class"), F.element_at("blocks", level)).cast("int"))
+    # Units of one level take two of its blocks, or one against itself; units of two levels a block of each.
+    within = F.transform(others(level), lambda o: unit(level, F.least(block, o), F.greatest(block, o), no, block <= o, block >= o))
+    above = F.transform(others(level + 1), lambda o: unit(level, block, o, yes, yes, no))
+    under = F.transform(others(level - 1), lambda o: unit(level - 1, o, block, yes, no, yes))
+    dealt = rows.select("crowd", "class", "n", "place", "label", F.inline(F.concat(within, above, under)))
+    # A unit without both sides, or with one label only, has nothing to compare.
+    whole = dealt.groupBy("crowd", "level", "beside", "i", "j").agg(F.max("first").alias("a"), F.max("second").alias("b"), F.min("label").alias("least"), F.max("label").alias("most"))
+    whole = whole.where("a AND b AND least <> most").select("crowd", "level", "beside", "i", "j")
+    dealt = dealt.join(whole, ["crowd", "level", "beside", "i", "j"], "left_semi")
+    dealt = dealt.join(texts, "class")
+    return dealt.groupBy("crowd", "level", "beside", "i", "j").applyInArrow(lambda table: _linked_in_block(table, size, percent), "a long, b long")
+
+
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Bounds the Arrow batches of the jobs within; the session's own setting comes back."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def similar_components(docs: DataFrame, key: str = "doc_id", size: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -171,9 +280,16 @@ def similar_components(docs: DataFrame, key: str = "doc_id", size: int = WORDS,
 
     Links inside a group are not all listed: classes known to be connected are not compared again.
     The classes of a shingle are all compared, unless there are many pairs among them; then one of
-    them, another one in each round, is compared with the rest, until few pairs are left that are
-    not known to be connected, and these are all compared. No pair that could link is left out.
+    them, another one in each round, is compared with the rest, and what is still apart after the
+    rounds is compared in blocks that give the links that connect them, not a row for each pair. No
+    pair that could link is left out.
     """
+    with _small_batches(docs.sparkSession):
+        return _similar_components(docs, key, size, percent)
+
+
+def _similar_components(docs: DataFrame, key: str, size: int, percent: int) -> DataFrame:
+    """All but the last joins of ``similar_components`` runs here, as written tables."""
     spark = docs.sparkSession
     source = docs.select(F.col(key).cast("long").alias("key"), F.col("text").cast("string").alias("text"))
     source = source.withColumn("rid", F.xxhash64("key", "text"))
@@ -185,7 +301,8 @@ def similar_components(docs: DataFrame, key: str = "doc_id", size: int = WORDS,
     prefixes = table.where("shingle IS NOT NULL").select("shingle", "class", "n", "place")
     documents = table.where("shingle IS NULL").select("key", "class", "n", "rid", "parts")
     same = Window.partitionBy("shingle")
-    shared = prefixes.withColumn("least", F.min("class").over(same)).withColumn("most", F.max("class").over(same)).where("least <> most")
+    shared = prefixes.withColumns({"least": F.min("class").over(same), "most": F.max("class").over(same), "c": F.count("*").over(same)}).where("least <> most")
+    # A class that several tasks have found is there several times, so ``c`` may say more than there are.
     buckets = written(shared.drop("least", "most").distinct(), "op2-buckets")
 
     joined = written(buckets.select("class").distinct(), "op2-joined")
@@ -193,21 +310,28 @@ def similar_components(docs: DataFrame, key: str = "doc_id", size: int = WORDS,
     one = written(one.join(joined, "class"), "op2-classes")
     parts = one.select("class", "parts")
 
-    def sets_of(classes: DataFrame) -> DataFrame:
-        """Whole sets, of one text each."""
+    def with_texts(texts: DataFrame | None, classes: DataFrame) -> DataFrame:
+        """A text of each class: those at hand, and those of further classes. They are half as large as their sets."""
+        classes = classes.distinct()
+        if texts is not None:
+            classes = classes.join(texts.select("class"), "class", "left_anti")
         wanted = written(one.join(classes, "class").select("rid", "class"), "op2-wanted")
-        texts = maybe_among(source.select("rid", "text"), "rid", wanted.select("rid"))
-        texts = texts.join(wanted.hint("shuffle_hash"), "rid").dropDuplicates(["rid"])
-        return written(texts.select("class", "text").mapInArrow(lambda it: _set_rows(it, size), "class long, shingles array<long>"), "op2-sets")
-
-    live = buckets.withColumn("label", F.col("class"))
+        if texts is not None and wanted.isEmpty():
+            return texts
+        found = maybe_among(source.select("rid", "text"), "rid", wanted.select("rid"))
+        found = found.join(wanted.hint("shuffle_hash"), "rid").dropDuplicates(["rid"])
+        found = written(found.select("class", "text"), "op2-texts")
+        return found if texts is None else texts.unionByName(found)
+
+    live = buckets.withColumns({"label": F.col("class"), "crowded": F.col("c") - 1 > 2 * CROWDED}).drop("c")
     rounds: list[DataFrame] = []
-    tried = sets = member = None
+    tried = texts = member = None
     for step in range(PIVOT_ROUNDS + 1):
-        per = live.groupBy("shingle", "label").agg(F.count("*").alias("c")).groupBy("shingle").agg(F.sum("c").alias("all"), F.sum(F.col("c") * F.col("c")).alias("own"), F.count("*").alias("labels"))
-        crowded = F.lit(step < PIVOT_ROUNDS) & (F.col("all") * F.col("all") - F.col("own") > 2 * CROWDED * F.col("all"))
-        per = written(per.where("labels > 1").select("shingle", crowded.alias("crowded")), "op2-open")
-        live = written(live.join(per, "shingle").select("shingle", "class", "n", "place", "label", "crowded"), "op2-live")
+        if step:  # before the first round no two classes are known to be connected
+            per = live.groupBy("shingle", "label").agg(F.count("*").alias("c")).groupBy("shingle").agg(F.sum("c").alias("all"), F.sum(F.col("c") * F.col("c")).alias("own"), F.count("*").alias("labels"))
+            crowded = F.col("all") * F.col("all") - F.col("own") > 2 * (CROWDED if step < PIVOT_ROUNDS else LISTED) * F.col("all")
+            per = written(per.where("labels > 1").select("shingle", crowded.alias("crowded")), "op2-open")
+            live = written(live.join(per, "shingle").select("shingle", "class", "n", "place", "label", "crowded"), "op2-live")
         if live.isEmpty():
             break
         least = F.ceil(F.lit(percent) * (F.col("x.n") + F.col("y.n")) / F.lit(100 + percent))  # common shingles that a link needs
@@ -220,25 +344,27 @@ def similar_components(docs: DataFrame, key: str = "doc_id", size: int = WORDS,
         pivots = written(pivots.select("shingle", "p.class", "p.n", "p.place", "p.label"), "op2-pivots")
         pair = (F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b"))
         pairs = few.alias("x").join(few.alias("y"), apart & (F.col("x.class") < F.col("y.class"))).select(*pair)
-        pairs = pairs.unionByName(many.alias("x").join(pivots.alias("y"), apart).select(*pair)).distinct()
+        if step < PIVOT_ROUNDS:
+            pairs = pairs.unionByName(many.alias("x").join(pivots.alias("y"), apart).select(*pair))
+        pairs = pairs.distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = written(pairs, "op2-pairs")
         tried = pairs if tried is None else tried.unionByName(pairs)
 
-        both = pairs.join(parts.select(F.col("class").alias("a"), F.col("parts").alias("pa")), "a").join(parts.select(F.col("class").alias("b"), F.col("parts").alias("pb")), "b")
+        counts = maybe_among(parts, "class", pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))))
+        both = pairs.join(counts.select(F.col("class").alias("a"), F.col("parts").alias("pa")), "a").join(counts.select(F.col("class").alias("b"), F.col("parts").alias("pb")), "b")
         differ = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
         total = F.aggregate("pa", F.lit(0), lambda s, x: s + x) + F.aggregate("pb", F.lit(0), lambda s, x: s + x)
         both = written(both.where(differ <= total - 2 * F.ceil(F.lit(percent) * total / F.lit(100 + percent))).select("a", "b"), "op2-candidates")
         ends = both.select(F.col("a").alias("class")).unionByName(both.select(F.col("b").alias("class")))
-        if sets is None:  # the classes of crowded shingles too, so that later rounds have their sets
-            sets = sets_of(ends.unionByName(many.select("class")).distinct())
-        near_sets = maybe_among(sets, "class", ends)
-        both = both.join(near_sets.select(F.col("class").alias("a"), F.col("shingles").alias("sa")), "a").join(near_sets.select(F.col("class").alias("b"), F.col("shingles").alias("sb")), "b")
-        common = F.size(F.array_intersect("sa", "sb"))
-        union = F.size("sa") + F.size("sb") - common
-        both = both.select("a", "b", common.alias("i"), union.alias("u"))
-        rounds.append(written(both.where(F.lit(100) * F.col("i") >= F.lit(percent) * F.col("u")).select("a", "b"), "op2-links"))
+        texts = with_texts(texts, ends.unionByName(live.where("crowded").select("class")) if step == PIVOT_ROUNDS else ends)
+        near = maybe_among(texts, "class", ends)
+        both = both.join(near.select(F.col("class").alias("a"), F.col("text").alias("one")), "a").join(near.select(F.col("class").alias("b"), F.col("text").alias("two")), "b")
+        rounds.append(written(both.select("a", "b", "one", "two").mapInArrow(lambda it: _linked_pairs(it, size, percent), "a long, b long"), "op2-links"))
+        if step == PIVOT_ROUNDS:
+            rounds.append(written(_linked_in_crowds(live.where("crowded"), texts, size, percent), "op2-crowd-links"))
+            break
 
         # Equal labels mean connected classes; the other way round holds only after the last round.
         # Two steps carry the smallest label to the pivot and from there to all that link with it.
@@ -273,11 +399,13 @@ def one_of_each(docs: DataFrame, key: str = "doc_id") -> DataFrame:
 
     Documents without words are in no group and all stay. Columns are those of ``docs``.
     """
-    found = similar_components(docs, key).where("first").select(F.col("rid").alias("_rid"), (F.col("n_shingles") == 0).alias("_bare")).distinct()
+    found = similar_components(docs, key).where("first").select("rid", (F.col("n_shingles") == 0).alias("bare")).distinct()
     found = written(found, "op2-first")
-    kept = docs.withColumn("_rid", F.xxhash64(F.col(key).cast("long"), F.col("text").cast("string"))).transform(lambda rows: maybe_among(rows, "_rid", found)).join(found.hint("shuffle_hash"), "_rid")
-    kept = kept.withColumn("_row", F.when(F.col("_bare"), F.monotonically_increasing_id()).otherwise(F.lit(0)))
-    return kept.dropDuplicates(["_rid", "_row"]).select(*docs.columns)
+    # The document travels as one column, so its columns may have any names.
+    rows = docs.select(F.xxhash64(F.col(key).cast("long"), F.col("text").cast("string")).alias("rid"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"))
+    kept = maybe_among(rows, "rid", found).join(found.hint("shuffle_hash"), "rid")
+    kept = kept.withColumn("row", F.when(F.col("bare"), F.monotonically_increasing_id()).otherwise(F.lit(0)))
+    return kept.dropDuplicates(["rid", "row"]).select("document.*")
 
 
 def op2_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
