@@ -11,7 +11,9 @@ of merging: a piece may follow another one if merging leaves the two of them as
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections import defaultdict
+from collections.abc import Iterator, Sequence, Set
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,7 @@ REMEMBERED_WORDS = 200_000
 
 _walks: dict[str, Walk] = {}
 
-_UNITS = re.compile(f"{MARK}{{2,}}[^{MARK}\n]*|{MARK}?[^{MARK}\n]+|{MARK}|\n")
+_UNITS = re.compile(f"{MARK}?[^{MARK}\n]+|{MARK}{{2,}}[^{MARK}\n]*|{MARK}|\n")
 
 
 class Vocabulary:
@@ -57,8 +59,8 @@ class Vocabulary:
         for p in self.ids:
             if len(p) > 2:
                 lengths.setdefault(p[-3:], set()).add(len(p))
-        #: Lengths of the pieces with the same last three characters, longest first.
-        self.ends = {end: tuple(sorted(n, reverse=True)) for end, n in lengths.items()}
+        #: Lengths of the pieces with the same last three characters, longest first, and that of two characters.
+        self.ends = {end: (*sorted(n, reverse=True), 2) for end, n in lengths.items()}
         self.name = f"{path}:{size}"
         self.run = max((len(p) for p in self.ids if not p.strip(MARK)), default=1)
 
@@ -102,9 +104,9 @@ class Walk:
         ``last`` and ``size`` are the forward table: the last piece of each prefix, -1 where that is
         a character without a piece, and its length.
         """
-        ids, ends, pairs, follows = self.v.ids, self.v.ends, self.pairs, self.follows
+        ids, ends, pairs, follows = self.v.ids.get, self.v.ends.get, self.pairs.get, self.follows
         out: dict[str, list[int]] = {}
-        last, size = [-1], [0]
+        last, size, two = [-1], [0], (2,)
         before = ""
         for unit in sorted(units):
             shared = 0
@@ -114,17 +116,17 @@ class Walk:
                 shared += 1
             del last[shared + 1 :], size[shared + 1 :]
             for i in range(shared + 1, len(unit) + 1):
-                for n in (*ends.get(unit[max(0, i - 3) : i], ()), 2):
-                    if n <= i and (piece := ids.get(unit[i - n : i])) is not None:
+                for n in ends(unit[i - 3 : i], two) if i > 2 else two:
+                    if n <= i and (piece := ids(unit[i - n : i])) is not None:
                         front = last[i - n]
-                        if (fits := pairs.get(front << 32 | piece)) is None:
+                        if (fits := pairs(front << 32 | piece)) is None:
                             fits = follows(front, piece)
                         if fits:
                             last.append(piece)
                             size.append(n)
                             break
                 else:
-                    last.append(ids.get(unit[i - 1], -1))
+                    last.append(ids(unit[i - 1], -1))
                     size.append(1)
             found: list[int] = []
             at = len(unit)
@@ -139,11 +141,11 @@ class Walk:
             before = unit
         return out
 
-    def units(self, units: set[str]) -> dict[str, list[int]]:
+    def units(self, units: Set[str]) -> dict[str, list[int]]:
         """Ids of units, of which the task has walked some already."""
         if len(self.known) > REMEMBERED_WORDS:
             self.known.clear()
-        self.known.update(self._units(units.difference(self.known)))
+        self.known.update(self._units(units - self.known.keys()))
         return self.known
 
     def _units(self, units: set[str]) -> dict[str, list[int]]:
@@ -163,18 +165,16 @@ class Walk:
 
 def _encoded(texts: list[str], walk: Walk) -> tuple[np.ndarray, np.ndarray]:
     """Offsets and ids of several texts."""
-    number: dict[str, int] = {}
+    number: defaultdict[str, int] = defaultdict(count().__next__)
     rows: list[np.ndarray] = []
     for text in texts:
         found = _UNITS.findall(MARK + text.replace(" ", MARK)) if text else []
-        for unit in set(found).difference(number):
-            number[unit] = len(number)
         rows.append(np.fromiter(map(number.__getitem__, found), np.int64, len(found)))
-    ids = walk.units(set(number))
-    lists = [ids[u] for u in number]
-    size = np.array([len(x) for x in lists], np.int64)
+    ids = walk.units(number.keys())
+    lists = list(map(ids.__getitem__, number))
+    size = np.fromiter(map(len, lists), np.int64, len(lists))
     start = np.cumsum(size) - size
-    flat = np.array([x for y in lists for x in y], np.int32)
+    flat = np.fromiter(chain.from_iterable(lists), np.int32, int(size.sum()))
     at = np.concatenate(rows) if rows else np.zeros(0, np.int64)
     n = size[at]
     place = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start[at], n)
