@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,22 @@ ALNUM = np.zeros(256, bool)
 ALNUM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
 
+#: Settings for jobs on long texts: rows of an Arrow batch, whose buffers count as memory on both sides.
+SMALL_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
+
+@contextmanager
+def settings(spark: SparkSession, **wanted: str) -> Iterator[None]:
+    """The session's settings for the jobs within; its own come back."""
+    before = {name: spark.conf.get(name) for name in wanted}
+    try:
+        for name, value in wanted.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path below the folder that driver and executors share.
 

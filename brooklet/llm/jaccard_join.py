@@ -9,14 +9,13 @@ prefix shingles, each pair at most once, and compared by their whole sets.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from brooklet.llm.common import BASE_2, SPACED, chunks, column, maybe_among, mixed, pairs_hash, powers, row_ranges, words, written
+from brooklet.llm.common import BASE_2, SMALL_BATCHES, SPACED, chunks, column, maybe_among, mixed, pairs_hash, powers, row_ranges, settings, words, written
 from brooklet.llm.components import components
 
 WORDS = 5
@@ -34,8 +33,6 @@ PIVOT_ROUNDS = 3
 LISTED = 16
 #: Classes of a block, and shingles of all their sets.
 BLOCK, BLOCK_SHINGLES = 1024, 1 << 21
-#: Rows of an Arrow batch while this operator's own jobs run: texts are long, and buffers count as memory.
-BATCH_ROWS = 1000
 #: Pairs of texts that are compared at once.
 COMPARED = 64
 #: Bytes of text whose shingles are made at once.
@@ -252,18 +249,6 @@ def _linked_in_crowds(crowded: DataFrame, texts: DataFrame, size: int, percent:
     return dealt.groupBy("crowd", "level", "beside", "i", "j").applyInArrow(lambda table: _linked_in_block(table, size, percent), "a long, b long")
 
 
-@contextmanager
-def _small_batches(spark: SparkSession) -> Iterator[None]:
-    """Bounds the Arrow batches of the jobs within; the session's own setting comes back."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(BATCH_ROWS))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def similar_components(docs: DataFrame, key: str = "doc_id", size: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Groups of documents that links connect, and the size of each document's set.
 
@@ -284,7 +269,7 @@ def similar_components(docs: DataFrame, key: str = "doc_id", size: int = WORDS,
     rounds is compared in blocks that give the links that connect them, not a row for each pair. No
     pair that could link is left out.
     """
-    with _small_batches(docs.sparkSession):
+    with settings(docs.sparkSession, **SMALL_BATCHES):
         return _similar_components(docs, key, size, percent)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from brooklet.llm.common import written
+from brooklet.llm.common import SMALL_BATCHES, settings, written
 from brooklet.llm.decontaminate import decontaminate
 from brooklet.llm.jaccard_join import one_of_each
 from brooklet.llm.secrets import find_secrets, redacted
@@ -104,6 +104,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on the documents of ``sf_dir``; each stage's result but the last is a written table."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    with settings(spark, **SMALL_BATCHES):
+        for name, stage in STAGES[:-1]:
+            docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -47,3 +47,16 @@ def test_stages_take_effect_and_keep_clean_documents(spark):
             assert all(not brute.known_secrets(r.text) for r in docs.collect())
         if name == "sentencepiece":
             assert all(r.n_ids == len(r.ids) for r in docs.collect())
+
+
+def test_stages_run_in_small_arrow_batches(spark, monkeypatch):
+    name, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before = spark.conf.get(name)
+
+    def noted(session, docs, sf_dir):
+        seen.append(session.conf.get(name))
+        return docs
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("one", noted), ("two", noted)])
+    corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert seen[0] == "1000" and spark.conf.get(name) == before
