@@ -31,17 +31,19 @@ CROWDED = 1
 PIVOT_ROUNDS = 3
 #: The same multiple after the last round, up to which the pairs themselves are listed.
 LISTED = 16
+#: Pairs still apart, as a multiple of all rows of open shingles, up to which the last round follows at once.
+FEW_LEFT = 4
 #: Classes of a block, and shingles of all their sets.
 BLOCK, BLOCK_SHINGLES = 1024, 1 << 21
 #: Pairs of texts that are compared at once.
 COMPARED = 64
 #: Bytes of text whose shingles are made at once.
 TEXT_BYTES = 1 << 20
-#: Parts of the hash range (64, by the upper six bits) by whose counts the suffix filter compares two sets.
-PARTS = 64
+#: Parts of the hash range (by the upper eight bits) by whose counts, up to 127 each, the suffix filter compares two sets.
+PARTS = 256
 
 _NULL_ID = (1 << 63) - 1
-_TABLE = "shingle long, class long, n int, place int, rid long, key long, parts array<int>"
+_TABLE = "shingle long, class long, n int, place int, rid long, key long, parts array<tinyint>"
 
 
 def _shingles(offsets: np.ndarray, data: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -107,7 +109,7 @@ class Order:
 
 def _table_rows(batches: Iterator[pa.RecordBatch], order: Order, size: int, percent: int) -> Iterator[pa.RecordBatch]:
     """One row per document, without a shingle, and the prefix of each class, once per task."""
-    schema = pa.schema([("shingle", pa.int64()), ("class", pa.int64()), ("n", pa.int32()), ("place", pa.int32()), ("rid", pa.int64()), ("key", pa.int64()), ("parts", pa.list_(pa.int32()))])
+    schema = pa.schema([("shingle", pa.int64()), ("class", pa.int64()), ("n", pa.int32()), ("place", pa.int32()), ("rid", pa.int64()), ("key", pa.int64()), ("parts", pa.list_(pa.int8()))])
     seen: set[int] = set()
     for batch in batches:
         rids, keys = column(batch, "rid"), column(batch, "key").cast(pa.int64())
@@ -119,7 +121,7 @@ def _table_rows(batches: Iterator[pa.RecordBatch], order: Order, size: int, perc
             sums = np.zeros(len(found) + 1, np.uint64)
             np.cumsum(mixed(found + BASE_2), out=sums[1:])
             cls = pairs_hash(sums[bounds[1:]] - sums[bounds[:-1]], n.astype(np.uint64)).view(np.int64)
-            part = np.bincount(row * PARTS + (found >> np.uint64(58)).astype(np.int64), minlength=rows * PARTS).astype(np.int32)
+            part = np.bincount(row * PARTS + (found >> np.uint64(56)).astype(np.int64), minlength=rows * PARTS)
             none = pa.nulls(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -129,7 +131,7 @@ def _table_rows(batches: Iterator[pa.RecordBatch], order: Order, size: int, perc
                     pa.nulls(rows, pa.int32()),
                     rids.slice(start, rows),
                     keys.slice(start, rows),
-                    pa.FixedSizeListArray.from_arrays(pa.array(part), PARTS).cast(pa.list_(pa.int32())),
+                    pa.FixedSizeListArray.from_arrays(pa.array(np.minimum(part, 127).astype(np.int8)), PARTS).cast(pa.list_(pa.int8())),
                 ],
                 schema=schema,
             )
@@ -148,7 +150,7 @@ def _table_rows(batches: Iterator[pa.RecordBatch], order: Order, size: int, perc
             row, found, place = row[prefix], found[prefix], place[prefix]
             m = len(row)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found.view(np.int64)), pa.array(cls[row]), pa.array(n[row].astype(np.int32)), pa.array(place.astype(np.int32)), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.list_(pa.int32()))],
+                [pa.array(found.view(np.int64)), pa.array(cls[row]), pa.array(n[row].astype(np.int32)), pa.array(place.astype(np.int32)), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.list_(pa.int8()))],
                 schema=schema,
             )
 
@@ -249,6 +251,24 @@ def _linked_in_crowds(crowded: DataFrame, texts: DataFrame, size: int, percent:
     return dealt.groupBy("crowd", "level", "beside", "i", "j").applyInArrow(lambda table: _linked_in_block(table, size, percent), "a long, b long")
 
 
+def _with_partners(rows: DataFrame, percent: int) -> DataFrame:
+    """Rows (shingle, class, n, place) that may have a partner among those of their shingle, and c, how many of these are left.
+
+    What stands from ``place`` on bounds what two sets have in common, so partners have ``reach`` shingles at
+    most, each as the other's reach says. Of two rows the answer is exact; of more, a row goes only if no other fits.
+    """
+    rows = rows.withColumn("reach", F.expr(f"{100 + percent} * (cast(n AS long) - place) div {percent} - n"))
+    up = Window.partitionBy("shingle").orderBy("n", "class")
+    down = Window.partitionBy("shingle").orderBy(F.desc("n"), F.desc("class"))
+    # Frames that grow from the first row on cost one step a row, ones that shrink to the last row would cost a pass a row.
+    fits = rows.withColumns({"shorter": F.max("reach").over(up.rowsBetween(Window.unboundedPreceding, -1)), "least": F.first("n").over(up), "after": F.lead("n").over(up)})
+    fits = fits.withColumn("longer", F.max("reach").over(down.rowsBetween(Window.unboundedPreceding, -1)))
+    longer = (F.col("after") <= F.col("reach")) & (F.col("longer") >= F.col("n"))
+    shorter = (F.col("shorter") >= F.col("n")) & (F.col("least") <= F.col("reach"))
+    kept = fits.where(longer | shorter).select("shingle", "class", "n", "place")
+    return kept.withColumn("c", F.count("*").over(Window.partitionBy("shingle"))).where("c > 1")
+
+
 def similar_components(docs: DataFrame, key: str = "doc_id", size: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Groups of documents that links connect, and the size of each document's set.
 
@@ -286,14 +306,13 @@ def _similar_components(docs: DataFrame, key: str, size: int, percent: int) -> D
     prefixes = table.where("shingle IS NOT NULL").select("shingle", "class", "n", "place")
     documents = table.where("shingle IS NULL").select("key", "class", "n", "rid", "parts")
     same = Window.partitionBy("shingle")
-    shared = prefixes.withColumns({"least": F.min("class").over(same), "most": F.max("class").over(same), "c": F.count("*").over(same)}).where("least <> most")
-    # A class that several tasks have found is there several times, so ``c`` may say more than there are.
-    buckets = written(shared.drop("least", "most").distinct(), "op2-buckets")
+    shared = prefixes.withColumns({"least": F.min("class").over(same), "most": F.max("class").over(same)}).where("least <> most")
+    buckets = written(_with_partners(shared.drop("least", "most").distinct(), percent), "op2-buckets")
 
     joined = written(buckets.select("class").distinct(), "op2-joined")
-    one = documents.groupBy("class").agg(F.min("rid").alias("rid"), F.first("parts").alias("parts"))
+    one = maybe_among(documents, "class", joined).groupBy("class").agg(F.min("rid").alias("rid"), F.first("n").alias("n"), F.first("parts").alias("parts"))
     one = written(one.join(joined, "class"), "op2-classes")
-    parts = one.select("class", "parts")
+    parts = one.select("class", "n", "parts")
 
     def with_texts(texts: DataFrame | None, classes: DataFrame) -> DataFrame:
         """A text of each class: those at hand, and those of further classes. They are half as large as their sets."""
@@ -312,24 +331,29 @@ def _similar_components(docs: DataFrame, key: str, size: int, percent: int) -> D
     rounds: list[DataFrame] = []
     tried = texts = member = None
     for step in range(PIVOT_ROUNDS + 1):
+        last = step == PIVOT_ROUNDS
         if step:  # before the first round no two classes are known to be connected
             per = live.groupBy("shingle", "label").agg(F.count("*").alias("c")).groupBy("shingle").agg(F.sum("c").alias("all"), F.sum(F.col("c") * F.col("c")).alias("own"), F.count("*").alias("labels"))
-            crowded = F.col("all") * F.col("all") - F.col("own") > 2 * (CROWDED if step < PIVOT_ROUNDS else LISTED) * F.col("all")
-            per = written(per.where("labels > 1").select("shingle", crowded.alias("crowded")), "op2-open")
-            live = written(live.join(per, "shingle").select("shingle", "class", "n", "place", "label", "crowded"), "op2-live")
-        if live.isEmpty():
+            per = written(per.where("labels > 1").select("shingle", "all", (F.col("all") * F.col("all") - F.col("own")).alias("apart")), "op2-open")
+            left = per.agg(F.sum("all").alias("all"), F.sum("apart").alias("apart")).first()
+            if left["all"] is None:
+                break
+            last = last or left["apart"] <= 2 * FEW_LEFT * left["all"]
+            crowded = F.col("apart") > 2 * (LISTED if last else CROWDED) * F.col("all")
+            live = written(live.join(per, "shingle").select("shingle", "class", "n", "place", "label", crowded.alias("crowded")), "op2-live")
+        elif live.isEmpty():
             break
         least = F.ceil(F.lit(percent) * (F.col("x.n") + F.col("y.n")) / F.lit(100 + percent))  # common shingles that a link needs
         near = (F.lit(100) * F.least("x.n", "y.n") >= F.lit(percent) * F.greatest("x.n", "y.n")) & (F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place")) >= least)
         apart = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.label") != F.col("y.label")) & near
         few, many = live.where("NOT crowded"), live.where("crowded")
-        # A class with many crowded shingles is near the middle of its group, and links with most of it.
-        many = many.join(many.groupBy("class").agg(F.count("*").alias("central")), "class")
-        pivots = many.groupBy("shingle").agg(F.max(F.struct("central", F.xxhash64("class", F.lit(step)).alias("h"), "class", "n", "place", "label")).alias("p"))
-        pivots = written(pivots.select("shingle", "p.class", "p.n", "p.place", "p.label"), "op2-pivots")
         pair = (F.least("x.class", "y.class").alias("a"), F.greatest("x.class", "y.class").alias("b"))
         pairs = few.alias("x").join(few.alias("y"), apart & (F.col("x.class") < F.col("y.class"))).select(*pair)
-        if step < PIVOT_ROUNDS:
+        if not last:
+            # A class with many crowded shingles is near the middle of its group, and links with most of it.
+            many = many.join(many.groupBy("class").agg(F.count("*").alias("central")), "class")
+            pivots = many.groupBy("shingle").agg(F.max(F.struct("central", F.xxhash64("class", F.lit(step)).alias("h"), "class", "n", "place", "label")).alias("p"))
+            pivots = written(pivots.select("shingle", "p.class", "p.n", "p.place", "p.label"), "op2-pivots")
             pairs = pairs.unionByName(many.alias("x").join(pivots.alias("y"), apart).select(*pair))
         pairs = pairs.distinct()
         if tried is not None:
@@ -338,16 +362,16 @@ def _similar_components(docs: DataFrame, key: str, size: int, percent: int) -> D
         tried = pairs if tried is None else tried.unionByName(pairs)
 
         counts = maybe_among(parts, "class", pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))))
-        both = pairs.join(counts.select(F.col("class").alias("a"), F.col("parts").alias("pa")), "a").join(counts.select(F.col("class").alias("b"), F.col("parts").alias("pb")), "b")
+        both = pairs.join(counts.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("parts").alias("pa")), "a").join(counts.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("parts").alias("pb")), "b")
         differ = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
-        total = F.aggregate("pa", F.lit(0), lambda s, x: s + x) + F.aggregate("pb", F.lit(0), lambda s, x: s + x)
+        total = F.col("na") + F.col("nb")
         both = written(both.where(differ <= total - 2 * F.ceil(F.lit(percent) * total / F.lit(100 + percent))).select("a", "b"), "op2-candidates")
         ends = both.select(F.col("a").alias("class")).unionByName(both.select(F.col("b").alias("class")))
-        texts = with_texts(texts, ends.unionByName(live.where("crowded").select("class")) if step == PIVOT_ROUNDS else ends)
+        texts = with_texts(texts, ends.unionByName(live.where("crowded").select("class")) if last else ends)
         near = maybe_among(texts, "class", ends)
         both = both.join(near.select(F.col("class").alias("a"), F.col("text").alias("one")), "a").join(near.select(F.col("class").alias("b"), F.col("text").alias("two")), "b")
         rounds.append(written(both.select("a", "b", "one", "two").mapInArrow(lambda it: _linked_pairs(it, size, percent), "a long, b long"), "op2-links"))
-        if step == PIVOT_ROUNDS:
+        if last:
             rounds.append(written(_linked_in_crowds(live.where("crowded"), texts, size, percent), "op2-crowd-links"))
             break
 

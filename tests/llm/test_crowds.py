@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -41,6 +43,60 @@ def test_crowds_of_several_sizes_and_blocks_equal_brute_force(spark, monkeypatch
     assert joined(spark, texts) == [(k, n, c) for k, n, c in want]
 
 
+@pytest.fixture
+def tables(monkeypatch):
+    """Names and rows of the tables that the join writes."""
+    seen, real = [], jaccard_join.written
+
+    def noted(df, name):
+        out = real(df, name)
+        seen.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(jaccard_join, "written", noted)
+    return seen
+
+
+def test_rows_without_a_partner_are_not_kept(spark, tables):
+    """Of two texts one begins the other, and is too short to link with it."""
+    base = [f"w{i}" for i in range(64)]
+    assert joined(spark, [" ".join(base[:44]), " ".join(base)]) == [(0, 40, 0), (1, 60, 1)]
+    assert dict(tables)["op2-buckets"] == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_rows_kept_have_all_partners(spark, seed):
+    rng = random.Random(seed)
+    rows = [(rng.randrange(60), c, n := rng.randrange(1, 60), rng.randrange(n - -(-80 * n // 100) + 1)) for c in range(300)]
+    kept = {(r.shingle, r["class"]): r.c for r in jaccard_join._with_partners(spark.createDataFrame(rows, "shingle long, class long, n int, place int"), 80).collect()}
+
+    def near(x, y):
+        least = -(-80 * (x[2] + y[2]) // 180)
+        return x[0] == y[0] and x[1] != y[1] and 100 * min(x[2], y[2]) >= 80 * max(x[2], y[2]) and min(x[2] - x[3], y[2] - y[3]) >= least
+
+    assert {x[:2] for x in rows if any(near(x, y) for y in rows)} <= set(kept)
+    assert len(kept) < len(rows)
+    assert all(c == sum(s == t for t, _ in kept) > 1 for (s, _), c in kept.items())
+
+
+def test_few_pairs_left_are_compared_at_once(spark, tables):
+    rng = random.Random(5)
+    blocks = [" ".join(f"b{i}w{j}" for j in range(50)) for i in range(20)]
+    texts = [" ".join(b for i, b in enumerate(blocks) if i not in left_out) for left_out in (set(rng.sample(range(20), 4)) for _ in range(16))]
+    want = brute.near_components(list(enumerate(texts)))
+    assert joined(spark, texts) == [(k, n, c) for k, n, c in want]
+    assert [name for name, _ in tables].count("op2-open") == 1
+
+
+def test_sets_that_differ_by_little_more_than_a_link_allows_need_no_texts(spark, tables):
+    base = [f"w{i}" for i in range(1200)]
+    other = base[:900] + [f"x{i}" for i in range(300)]
+    got = joined(spark, [" ".join(base), " ".join(other)])
+    assert got == [(0, 1196, 0), (1, 1196, 1)]
+    rows = dict(tables)
+    assert rows["op2-pairs"] == 1 and rows["op2-candidates"] == 0
+
+
 NAMES = "doc_id long, text string, lang string, source string, n_chars long, score string, ids string, rid string, _rid string, kept string, n_words string, spans string, candidates string, rest string, document string, row string, bare string"
 
 
