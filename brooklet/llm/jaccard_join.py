@@ -31,8 +31,8 @@ CROWDED = 1
 PIVOT_ROUNDS = 3
 #: The same multiple after the last round, up to which the pairs themselves are listed.
 LISTED = 16
-#: Pairs still apart, as a multiple of all rows of open shingles, up to which the last round follows at once.
-FEW_LEFT = 4
+#: Pairs still apart, as a multiple of all rows before the first round, up to which the last round follows at once.
+FEW_LEFT = 8
 #: Classes of a block, and shingles of all their sets.
 BLOCK, BLOCK_SHINGLES = 1024, 1 << 21
 #: Pairs of texts that are compared at once.
@@ -328,6 +328,7 @@ def _similar_components(docs: DataFrame, key: str, size: int, percent: int) -> D
         return found if texts is None else texts.unionByName(found)
 
     live = buckets.withColumns({"label": F.col("class"), "crowded": F.col("c") - 1 > 2 * CROWDED}).drop("c")
+    rows = buckets.count()
     rounds: list[DataFrame] = []
     tried = texts = member = None
     for step in range(PIVOT_ROUNDS + 1):
@@ -335,13 +336,13 @@ def _similar_components(docs: DataFrame, key: str, size: int, percent: int) -> D
         if step:  # before the first round no two classes are known to be connected
             per = live.groupBy("shingle", "label").agg(F.count("*").alias("c")).groupBy("shingle").agg(F.sum("c").alias("all"), F.sum(F.col("c") * F.col("c")).alias("own"), F.count("*").alias("labels"))
             per = written(per.where("labels > 1").select("shingle", "all", (F.col("all") * F.col("all") - F.col("own")).alias("apart")), "op2-open")
-            left = per.agg(F.sum("all").alias("all"), F.sum("apart").alias("apart")).first()
-            if left["all"] is None:
+            left = per.agg(F.sum("apart")).first()[0]
+            if left is None:
                 break
-            last = last or left["apart"] <= 2 * FEW_LEFT * left["all"]
+            last = last or left <= 2 * FEW_LEFT * rows
             crowded = F.col("apart") > 2 * (LISTED if last else CROWDED) * F.col("all")
             live = written(live.join(per, "shingle").select("shingle", "class", "n", "place", "label", crowded.alias("crowded")), "op2-live")
-        elif live.isEmpty():
+        elif not rows:
             break
         least = F.ceil(F.lit(percent) * (F.col("x.n") + F.col("y.n")) / F.lit(100 + percent))  # common shingles that a link needs
         near = (F.lit(100) * F.least("x.n", "y.n") >= F.lit(percent) * F.greatest("x.n", "y.n")) & (F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place")) >= least)
