@@ -32,8 +32,9 @@ ALNUM = np.zeros(256, bool)
 ALNUM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
 
-#: Settings for jobs on long texts: rows of an Arrow batch, whose buffers count as memory on both sides.
-SMALL_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
+#: Settings for jobs on long texts: rows of an Arrow batch, whose buffers count as memory on both sides, and of a batch of the
+#: Parquet reader, whose vectors of text double until they hold it.
+SMALL_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.parquet.columnarReaderBatchSize": "1000"}
 
 @contextmanager
 def settings(spark: SparkSession, **wanted: str) -> Iterator[None]:

@@ -30,8 +30,6 @@ WALK_CHARS = 4 << 20
 REMEMBERED = 600_000
 REMEMBERED_WORDS = 200_000
 
-_walks: dict[str, Walk] = {}
-
 _UNITS = re.compile(f"{MARK}?[^{MARK}\n]+|{MARK}{{2,}}[^{MARK}\n]*|{MARK}|\n")
 
 
@@ -61,12 +59,15 @@ class Vocabulary:
                 lengths.setdefault(p[-3:], set()).add(len(p))
         #: Lengths of the pieces with the same last three characters, longest first, and that of two characters.
         self.ends = {end: (*sorted(n, reverse=True), 2) for end, n in lengths.items()}
-        self.name = f"{path}:{size}"
         self.run = max((len(p) for p in self.ids if not p.strip(MARK)), default=1)
 
 
 class Walk:
-    """The forward table along a path of the trie."""
+    """The forward table along a path of the trie.
+
+    It is what tasks share: a worker keeps what it remembers from task to task of a job, and forgets it
+    with the broadcast, so that other stages have the memory.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
@@ -182,8 +183,7 @@ def _encoded(texts: list[str], walk: Walk) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([[0], ends]).astype(np.int32), flat[place]
 
 
-def _encode_rows(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary) -> Iterator[pa.RecordBatch]:
-    walk = _walks.setdefault(vocabulary.name, Walk(vocabulary))
+def _encode_rows(batches: Iterator[pa.RecordBatch], walk: Walk) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = [t or "" for t in column(batch, "text").to_pylist()]
         first = 0
@@ -218,7 +218,7 @@ def encode(docs: DataFrame, model: str = MODEL, carry: Sequence[str] = ()) -> Da
     one by one; an empty table gives an empty table; other columns are not read. A walk of the trie
     takes the words of about ``WALK_CHARS`` characters, or of one longer text.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(model))
+    shared = docs.sparkSession.sparkContext.broadcast(Walk(Vocabulary(model)))
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *carry, F.col("text").cast("string").alias("text"))
     schema = StructType([*source.schema.fields[:-1], StructField("ids", ArrayType(IntegerType()))])
     return source.mapInArrow(lambda it: _encode_rows(it, shared.value), schema)

@@ -60,3 +60,30 @@ def test_stages_run_in_small_arrow_batches(spark, monkeypatch):
     monkeypatch.setattr(corpus_pipeline, "STAGES", [("one", noted), ("two", noted)])
     corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert seen[0] == "1000" and spark.conf.get(name) == before
+
+
+def test_workers_forget_the_vocabulary_after_the_job(spark):
+    from brooklet.llm.sentence_pieces import encode
+
+    def left(batches):
+        import gc
+
+        import pyarrow as pa
+
+        for _ in batches:
+            pass
+        known = [len(x.known) for x in gc.get_objects() if type(x).__name__ == "Walk"]
+        yield pa.RecordBatch.from_arrays([pa.array(known, pa.int64())], names=["n"])
+
+    encode(spark.read.parquet(f"{SF}/documents.parquet").repartition(8)).write.format("noop").mode("overwrite").save()
+    assert spark.range(0, 64, 1, 16).mapInArrow(left, "n long").collect() == []
+
+
+def test_long_texts_are_read_in_small_batches(spark):
+    from brooklet.llm.common import SMALL_BATCHES, settings
+
+    name = "spark.sql.parquet.columnarReaderBatchSize"
+    before = spark.conf.get(name)
+    with settings(spark, **SMALL_BATCHES):
+        assert int(spark.conf.get(name)) <= 1000 < int(before)
+    assert spark.conf.get(name) == before
